@@ -19,7 +19,7 @@ from ..schemas import (
     REGISTER_COLUMNS,
 )
 from ..sources.derived import derive_sources
-from ..sources.tables import read_raw, table_counts, write_table
+from ..sources.tables import PUBLISHED, read_raw, table_counts, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,8 +120,6 @@ def _(s: Stages) -> DataFrame:
 
 @query("a5_table_counts")
 def _(s: Stages) -> DataFrame:
-    from ..sources.tables import PUBLISHED
-
     return table_counts(s.pick(PUBLISHED, forest=False))
 
 

@@ -65,8 +65,11 @@ def iqr_flag(df: DataFrame, column: str, approximate: int | None = None) -> Colu
     return (x < bounds["lower_bound"]) | (x > bounds["upper_bound"])
 
 
-def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Each column as ``<column>_scaled``: mean 0, population deviation 1; constants become 0."""
+def standard_scale(df: DataFrame, columns: list[str], of: DataFrame | None = None) -> DataFrame:
+    """Each column as ``<column>_scaled``: mean 0, population deviation 1; constants become 0.
+
+    The moments are those of ``of``, by default of ``df`` itself.
+    """
     moments = [
         F.struct(
             F.avg(F.col(c).cast("double")).alias("mean"),
@@ -74,7 +77,7 @@ def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
         ).alias(c)
         for c in columns
     ]
-    stats = df.agg(F.struct(*moments)).scalar()
+    stats = (df if of is None else of).agg(F.struct(*moments)).scalar()
 
     def scaled(c: str) -> Column:
         std = stats[c]["std"]

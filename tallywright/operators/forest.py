@@ -17,18 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .anomaly import standard_scale
+from .trees import NODES, decide, grow_tree
 
 SAMPLE = 256
 _HASHES = 2.0**64
-_NODES = "tree int, node int, feature int, cut double, low int, high int, depth double"
-
-
-def mean_path(n: np.ndarray | float) -> np.ndarray:
-    """Mean length of an unsuccessful search in a binary tree of ``n`` rows."""
-    n = np.asarray(n, dtype=float)
-    many = np.maximum(n, 3.0) - 1.0
-    long = 2.0 * (np.log(many) + np.euler_gamma) - 2.0 * many / (many + 1.0)
-    return np.where(n <= 1, 0.0, np.where(n <= 2, 1.0, long))
 
 
 def _hash_below(h: Column, share: float) -> Column:
@@ -69,67 +61,28 @@ def draw_samples(
     )
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator) -> pd.DataFrame:
-    """Nodes of one tree; a leaf points to itself and holds its depth plus the path still open."""
-    limit = math.ceil(math.log2(max(len(x), 2)))
-    nodes: list[tuple] = []
-
-    def grow(rows: np.ndarray, depth: int) -> int:
-        at = len(nodes)
-        nodes.append(())
-        low, high = rows.min(axis=0), rows.max(axis=0)
-        open_features = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or len(open_features) == 0:
-            nodes[at] = (at, 0, np.inf, at, at, depth + float(mean_path(len(rows))))
-            return at
-        feature = int(rng.choice(open_features))
-        cut = float(rng.uniform(low[feature], high[feature]))
-        if cut >= high[feature]:
-            cut = float(low[feature])
-        below = rows[:, feature] <= cut
-        left = grow(rows[below], depth + 1)
-        right = grow(rows[~below], depth + 1)
-        nodes[at] = (at, feature, cut, left, right, 0.0)
-        return at
-
-    grow(x, 0)
-    return pd.DataFrame(nodes, columns=["node", "feature", "cut", "low", "high", "depth"])
-
-
 @dataclass
 class Forest:
-    """A fitted forest: per tree the arrays feature, cut, low, high and depth."""
+    """A fitted forest; each tree is the arrays feature, cut, children and depth."""
 
     features: list[str]
     trees: list[tuple[np.ndarray, ...]]
-    sample: int
     levels: int
-
-    def decide(self, x: np.ndarray) -> np.ndarray:
-        """Decision per row of ``x``: 0.5 minus the anomaly score; below 0 is an anomaly."""
-        total = np.zeros(len(x))
-        rows = np.arange(len(x))
-        for feature, cut, children, depth in self.trees:
-            node = np.zeros(len(x), dtype=np.int32)
-            for _ in range(self.levels):
-                node = children[2 * node + (x[rows, feature[node]] > cut[node])]
-            total += depth[node]
-        mean = total / max(len(self.trees), 1)
-        return 0.5 - 2.0 ** (-mean / float(mean_path(self.sample)))
+    sample: int
 
     def score(self, df: DataFrame, name: str) -> DataFrame:
         """Add the decision as column ``name``; only the features travel to Python."""
         scaled = standard_scale(df, self.features)
-        model = self
+        trees, levels, sample = self.trees, self.levels, self.sample
 
         @F.pandas_udf(DoubleType())
-        def decide(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        def decision(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for columns in batches:
                 x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-                yield pd.Series(model.decide(x))
+                yield pd.Series(decide(trees, levels, sample, x))
 
         inputs = [f"{c}_scaled" for c in self.features]
-        return scaled.withColumn(name, decide(*inputs)).drop(*inputs)
+        return scaled.withColumn(name, decision(*inputs)).drop(*inputs)
 
 
 def fit_forest(
@@ -139,28 +92,27 @@ def fit_forest(
     rows = df.count()
     sample = min(SAMPLE, rows)
     inputs = [f"{c}_scaled" for c in features]
-    scaled = standard_scale(df, features).select(*row_id, *inputs)
+    drawn = draw_samples(df.select(*row_id, *features), row_id, rows, trees, seed)
+    # scaled after drawing, by the moments of the whole table
+    scaled = standard_scale(drawn, features, of=df).select("tree", *row_id, *inputs)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = int(pdf["tree"].iloc[0])
-        ordered = pdf.sort_values(row_id)[inputs].to_numpy(dtype=float)
-        nodes = grow_tree(ordered, np.random.default_rng([seed, tree]))
-        return nodes.assign(tree=tree)[["tree", *nodes.columns]]
+        x = pdf.sort_values(row_id)[inputs].to_numpy(dtype=float)
+        return grow_tree(int(pdf["tree"].iloc[0]), x, seed)
 
-    drawn = draw_samples(scaled, row_id, rows, trees, seed)
     # at most trees * (2 * 256 - 1) nodes, whatever the table holds
-    nodes = drawn.groupBy("tree").applyInPandas(grow, _NODES).toPandas()
+    nodes = scaled.groupBy("tree").applyInPandas(grow, NODES).toPandas()
     grown = []
     for _, tree in nodes.sort_values(["tree", "node"]).groupby("tree"):
-        children = np.empty(2 * len(tree), dtype=np.int32)
+        children = np.empty(2 * len(tree), dtype=np.int64)
         children[0::2], children[1::2] = tree["low"], tree["high"]
         grown.append(
             (
-                tree["feature"].to_numpy(dtype=np.int32),
+                tree["feature"].to_numpy(dtype=np.int64),
                 tree["cut"].to_numpy(dtype=float),
                 children,
                 tree["depth"].to_numpy(dtype=float),
             )
         )
     levels = math.ceil(math.log2(max(sample, 2)))
-    return Forest(features, grown, sample, levels)
+    return Forest(features, grown, levels, sample)

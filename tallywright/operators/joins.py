@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_HEAVY = 256
+MIN_ROWS = 10_000
 _TRACKED = 8192
 
 # Stands for null on the left side, so that null keys are dealt out like any heavy key. It equals
@@ -25,15 +26,18 @@ def join_key(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(NULL_KEY))
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = 10_000) -> Column:
-    """Map of heavy key to number of salts, as a scalar subquery."""
+def heavy_keys(df: DataFrame, key: str) -> Column:
+    """Map of heavy key to number of salts, as a scalar subquery.
+
+    Heavy is a key with at least ``MIN_ROWS`` rows and one row in ``MAX_HEAVY``.
+    """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     top = df.select(join_key(key).alias("k")).agg(
         F.expr(f"approx_top_k(k, {MAX_HEAVY}, {_TRACKED})").alias("top"),
         F.count(F.lit(1)).alias("n"),
     )
     heavy = F.filter(
-        "top", lambda x: x["count"] >= F.greatest(F.lit(min_rows), F.col("n") / MAX_HEAVY)
+        "top", lambda x: x["count"] >= F.greatest(F.lit(MIN_ROWS), F.col("n") / MAX_HEAVY)
     )
     salts = F.transform(
         heavy,
@@ -68,7 +72,6 @@ def look_up(
     row_id: list[str],
     how: str = "left",
     profile: DataFrame | None = None,
-    min_rows: int = 10_000,
 ) -> DataFrame:
     """Join ``left`` to each of ``rights``; each right has a unique column ``_key``.
 
@@ -76,7 +79,7 @@ def look_up(
     the table to take the sketch from, where that is cheaper to scan than ``left``.
     """
     source = left if profile is None else profile
-    heavy = heavy_keys(source, key, min_rows)
+    heavy = heavy_keys(source, key)
     dealt = deal(left, key, heavy, row_id)
     joined = reduce(
         lambda acc, right: acc.join(repeat(right, heavy), ["_key", "_salt"], how), rights, dealt

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import join_key
+from .joins import join_key, look_up
 
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -49,8 +49,6 @@ def repeated_keys(df: DataFrame, key: str, keep: Column | None = None) -> DataFr
 
 def flag_repeated(df: DataFrame, key: str, row_id: list[str], name: str = "is_repeated"):
     """Mark every row whose key occurs more than once."""
-    from .joins import look_up
-
     copies = repeated_keys(df, key).select("_key", F.lit(True).alias("_many"))
     return (
         look_up(df, key, [copies], row_id)

@@ -1,16 +1,16 @@
 """Exact quantiles of a money column, without gathering the values anywhere.
 
 Spark's ``percentile`` builds one map of all distinct values in a single task. Here the order
-statistics are found digit by digit instead: a value in cents is four 16-bit digits; per digit one
-histogram (at most 65,536 rows per wanted rank, pre-aggregated in the map tasks) tells which digit
-holds the rank. Four narrow passes over the distinct values, no group larger than a histogram.
+statistics are found digit by digit instead: a value in cents is three 22-bit digits; per digit one histogram
+(at most 2^22 rows per wanted rank, pre-aggregated in the map tasks) tells which digit holds the
+rank. Three passes over one column, no value is shuffled, no group is larger than a histogram.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_DIGIT = 16
-_LEVELS = 4
+_DIGIT = 22
+_LEVELS = 3
 
 
 def _prefix(cents: Column, level: int) -> Column:
@@ -20,13 +20,13 @@ def _prefix(cents: Column, level: int) -> Column:
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> DataFrame:
     """One row with ``q0``, ``q1``, … : linearly interpolated quantiles, null for an empty input."""
-    values = (
-        df.where(F.col(column).isNotNull())
-        .groupBy((F.col(column) * 100).cast("bigint").alias("cents"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    values = df.where(F.col(column).isNotNull()).select(
+        (F.col(column) * 100).cast("bigint").alias("cents")
     )
 
-    digits = values.groupBy(_prefix(F.col("cents"), 1).alias("prefix")).agg(F.sum("n").alias("n"))
+    digits = values.groupBy(_prefix(F.col("cents"), 1).alias("prefix")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
     ordered = Window.orderBy("prefix")
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     wanted = []
@@ -57,7 +57,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> D
         )
         digits = narrowed.groupBy(
             "i", "end", "part", "rank", _prefix(F.col("cents"), level).alias("prefix")
-        ).agg(F.sum("n").alias("n"))
+        ).agg(F.count(F.lit(1)).alias("n"))
         ordered = Window.partitionBy("i", "end").orderBy("prefix")
         found = (
             digits.withColumn("before", F.sum("n").over(ordered) - F.col("n"))

@@ -16,6 +16,8 @@ def local_session(cores: str = "8", partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # local tables are many small files: pack them by their real size
+        .config("spark.sql.files.openCostInBytes", "16384")
         .getOrCreate()
     )
 

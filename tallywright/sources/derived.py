@@ -163,9 +163,12 @@ def source_sql(table: str, dialect: str, orders: str = "orders", customer: str =
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """Deal a scan of fewer splits than cores over all cores; larger scans stay as they are."""
+    """Deal a scan of no more splits than cores over all cores; larger scans stay as they are.
+
+    A small file is often a single row group, which one task would read whatever the splits are.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores)
 
 
 def derive_sources(orders: DataFrame, customer: DataFrame) -> dict[str, DataFrame]:

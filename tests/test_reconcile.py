@@ -1,0 +1,296 @@
+"""Matching and reconciling against a row-by-row reading of the rules."""
+
+import datetime as dt
+import random
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywright.operators import matching, reconcile
+from tallywright.operators.cleaning import clean
+from tallywright.schemas import ORDER_COLUMNS, RAW_COLUMNS, RECONCILIATION_COLUMNS, raw_schema
+
+from .test_functions import brute_lcs
+
+BLANK = {t: dict.fromkeys(c.split()) for t, c in RAW_COLUMNS.items()}
+
+
+def frame(spark, table, rows):
+    """Clean table from dicts; the row order is the list order."""
+    full = [tuple({**BLANK[table], **r}.values()) + (i,) for i, r in enumerate(rows)]
+    return clean(table, spark.createDataFrame(full, raw_schema(table)))
+
+
+def ledger(id, amount="100.00", date="2026-08-10", name="Asha Costa", email="a@x"):
+    return {
+        "transaction_id": id,
+        "amount": amount,
+        "transaction_date": date,
+        "customer_name": name,
+        "email": email,
+    }
+
+
+def payment(ref, pg, amount="100.00", date="2026-08-10", name="Asha Costa", email="a@x"):
+    return {
+        "merchant_reference": ref,
+        "gateway_transaction_id": pg,
+        "amount": amount,
+        "transaction_date": date,
+        "customer_name": name,
+        "email": email,
+        "gateway": "Gateway_A",
+    }
+
+
+def bank(pg, amount="100.00", date="2026-08-11"):
+    return {"reference_number": pg, "credit_amount": amount, "value_date": date}
+
+
+def run(spark, erp, pay, settled):
+    frames = (
+        frame(spark, "erp_transactions", erp),
+        frame(spark, "payment_gateway", pay),
+        frame(spark, "bank_transactions", settled),
+    )
+    return frames, reconcile.reconcile(*frames)
+
+
+def statuses(df):
+    return {
+        (r.transaction_id, r.src_row): r.reconciliation_status
+        for r in df.where("src_branch = 0").collect()
+    }
+
+
+def test_one_row_per_rung_and_the_order_of_the_rungs(spark):
+    bad_name = {"name": "Zzz Qqq", "email": "nobody@else.org"}
+    cases = [
+        # id, ledger, payment, bank, status
+        ("ok", {}, {}, {}, "MATCHED"),
+        ("none", {}, None, None, "MISSING_PAYMENT"),
+        ("who", {}, bad_name, {}, "ENTITY_UNCERTAIN"),
+        ("who_part", {}, {**bad_name, "amount": "50"}, {}, "ENTITY_UNCERTAIN"),
+        ("part", {}, {"amount": "60"}, {}, "PARTIAL_PAYMENT"),
+        ("part_late", {}, {"amount": "60", "date": "2026-08-20"}, {}, "PARTIAL_PAYMENT"),
+        ("over", {}, {"amount": "120"}, None, "OVERPAYMENT"),
+        ("late", {}, {"date": "2026-08-12"}, {}, "DATE_MISMATCH"),
+        ("early", {}, {"date": "2026-08-08"}, {}, "DATE_MISMATCH"),
+        ("next_day", {}, {"date": "2026-08-11"}, {}, "MATCHED"),
+        ("late_unsettled", {}, {"date": "2026-08-12"}, None, "DATE_MISMATCH"),
+        ("unsettled", {}, {}, None, "MISSING_BANK_SETTLEMENT"),
+        ("bank_less", {}, {}, {"amount": "1"}, "MATCHED"),
+        ("no_amount", {}, {"amount": "N/A"}, {}, "AMOUNT_MISMATCH"),
+        ("no_amount_late", {}, {"amount": "N/A", "date": "2026-08-20"}, {}, "DATE_MISMATCH"),
+        ("no_amount_unsettled", {}, {"amount": "N/A"}, None, "AMOUNT_MISMATCH"),
+        ("ledger_no_amount", {"amount": "?"}, {}, {}, "AMOUNT_MISMATCH"),
+        ("no_date", {}, {"date": "soon"}, {}, "MATCHED"),
+    ]
+    erp = [ledger(id, **e) for id, e, _, _, _ in cases]
+    pay = [payment(id, f"pg_{id}", **p) for id, _, p, _, _ in cases if p is not None]
+    settled = [bank(f"pg_{id}", **b) for id, _, _, b, _ in cases if b is not None]
+    erp += [ledger("twice"), ledger("twice"), ledger("twice_unpaid"), ledger("twice_unpaid")]
+    pay += [payment("twice", "pg_twice", amount="1")]
+    _, got = run(spark, erp, pay, settled)
+    found = {id: s for (id, _), s in statuses(got).items()}
+    want = {id: s for id, _, _, _, s in cases}
+    assert found == want | {"twice": "DUPLICATE", "twice_unpaid": "DUPLICATE"}
+
+
+def test_a_bank_difference_alone_is_not_an_exception(spark):
+    _, got = run(spark, [ledger("t")], [payment("t", "p")], [bank("p", "90")])
+    row = got.first()
+    assert row.reconciliation_status == "MATCHED" and row.bank_difference == Decimal("10.00")
+    assert row.bank_status == "SETTLED"
+
+
+def test_first_rows_count_and_null_never_matches(spark):
+    erp = [ledger("t"), ledger(None), ledger("u")]
+    pay = [
+        payment("t", "p1"),
+        payment("t", "p2", amount="1"),
+        payment(None, "p3"),
+        payment("x", "p4"),
+        payment("x", "p4"),
+        payment("u", None),
+    ]
+    _, got = run(spark, erp, pay, [bank("p1"), bank("p1", "1"), bank(None, "7")])
+    assert statuses(got) == {
+        ("t", 0): "MATCHED",
+        (None, 1): "MISSING_PAYMENT",
+        ("u", 2): "MISSING_BANK_SETTLEMENT",
+    }
+    extra = got.where("src_branch = 1").orderBy("src_row").collect()
+    assert [(r.transaction_id, r.gateway_transaction_id, r.bank_status) for r in extra] == [
+        (None, "p3", "UNKNOWN"),
+        ("x", "p4", "UNKNOWN"),
+        ("x", "p4", "UNKNOWN"),
+    ]
+    assert all(r.payment_difference is None for r in extra)
+
+
+def test_copies_share_the_score_of_the_first_copy(spark):
+    erp = [ledger("t", name="Asha Costa"), ledger("t", name="Zzz", email="q@q")]
+    frames, got = run(spark, erp, [payment("t", "p")], [])
+    assert {r.entity_match_score for r in got.collect()} == {100.0}
+    scores = matching.match_transactions(*frames[:2]).orderBy("src_row").collect()
+    assert scores[0].entity_match_score == 100.0 > scores[1].entity_match_score
+
+
+@pytest.mark.parametrize(
+    "score, band",
+    [
+        (95.0, "HIGH_CONFIDENCE"),
+        (94.99, "MEDIUM_CONFIDENCE"),
+        (80.0, "MEDIUM_CONFIDENCE"),
+        (79.99, "MANUAL_REVIEW"),
+    ],
+)
+def test_bands(spark, score, band):
+    assert spark.range(1).select(matching.match_band(F.lit(score))).first()[0] == band
+
+
+def test_an_amount_mismatch_alone_scores_80(spark):
+    frames, _ = run(spark, [ledger("t")], [payment("t", "p", amount="5")], [])
+    row = matching.match_transactions(*frames[:2]).first()
+    assert (row.entity_match_score, row.entity_match_confidence) == (80.0, "MEDIUM_CONFIDENCE")
+
+
+# --- whole tables with keys that hold a third of the rows ----------------------------------------
+
+
+def random_tables(seed):
+    rnd = random.Random(seed)
+
+    def key(prefix, n):
+        return rnd.choice([f"{prefix}hot", None, *[f"{prefix}{rnd.randrange(n)}"] * 3])
+
+    def person():
+        return {
+            "name": rnd.choice(["Asha Costa", "costa asha", "Bruno  Novak", None]),
+            "email": rnd.choice(["a@x", " A@X ", "b@longer.example", None]),
+        }
+
+    def day():
+        return rnd.choice(["2026-08-10", "2026-08-11", "2026-08-12", "2026-08-09 10:00:00", "?"])
+
+    def money():
+        return rnd.choice(["100.00", "100.00", "60", "120.5", "N/A"])
+
+    erp = [ledger(key("t", 150), money(), day(), **person()) for _ in range(400)]
+    pay = [payment(key("t", 200), key("p", 150), money(), day(), **person()) for _ in range(400)]
+    settled = [bank(key("p", 150), money(), day()) for _ in range(400)]
+    return erp, pay, settled
+
+
+def as_money(text):
+    try:
+        return Decimal(text).quantize(Decimal("0.01"))
+    except Exception:
+        return None
+
+
+def as_time(text):
+    try:
+        return dt.datetime.fromisoformat(text)
+    except Exception:
+        return None
+
+
+def similar(a, b):
+    return 200.0 * brute_lcs(a, b) / (len(a) + len(b)) if a and b else 0.0
+
+
+def row_by_row(erp, pay, settled):
+    """The rules read one row at a time."""
+    tidy = lambda s: None if s is None else " ".join(s.split())
+    first_pay, first_bank, first_score, out = {}, {}, {}, []
+    for p in pay:
+        if p["merchant_reference"] is not None:
+            first_pay.setdefault(p["merchant_reference"], p)
+    for b in settled:
+        if b["reference_number"] is not None:
+            first_bank.setdefault(b["reference_number"], b)
+    copies = Counter(e["transaction_id"] for e in erp)
+    for e in erp:
+        p = first_pay.get(e["transaction_id"])
+        if p is None or e["transaction_id"] in first_score:
+            continue
+        mine, theirs = tidy(e["email"]), tidy(p["email"])
+        mail = similar(mine and mine.lower(), theirs and theirs.lower())
+        mine, theirs = tidy(e["customer_name"]), tidy(p["customer_name"])
+        name = similar(mine and mine.upper(), theirs and theirs.upper())
+        a, b = as_money(e["amount"]), as_money(p["amount"])
+        same = 100.0 if a is not None and a == b else 0.0
+        first_score[e["transaction_id"]] = round(0.5 * mail + 0.3 * name + 0.2 * same, 2)
+    for e in erp:
+        id = e["transaction_id"]
+        p = first_pay.get(id)
+        b = first_bank.get(p["gateway_transaction_id"]) if p else None
+        score = first_score.get(id, 0.0)
+        due, paid = as_money(e["amount"]), as_money(p["amount"]) if p else None
+        d1, d2 = as_time(e["transaction_date"]), as_time(p["transaction_date"]) if p else None
+        days = (d2 - d1).days if d1 and d2 else None
+        known = due is not None and paid is not None
+        if copies[id] > 1:
+            status = "DUPLICATE"
+        elif p is None:
+            status = "MISSING_PAYMENT"
+        elif score < 80:
+            status = "ENTITY_UNCERTAIN"
+        elif known and paid < due:
+            status = "PARTIAL_PAYMENT"
+        elif known and paid > due:
+            status = "OVERPAYMENT"
+        elif abs(days or 0) > 1:
+            status = "DATE_MISMATCH"
+        elif known:
+            status = "MATCHED" if b else "MISSING_BANK_SETTLEMENT"
+        else:
+            status = "AMOUNT_MISMATCH"
+        got = as_money(b["credit_amount"]) if b else None
+        out.append(
+            (
+                id,
+                p["gateway_transaction_id"] if p else None,
+                due - paid if known else None,
+                paid - got if paid is not None and got is not None else None,
+                days,
+                score,
+                status,
+            )
+        )
+    ids = set(copies)
+    for p in pay:
+        ref = p["merchant_reference"]
+        if ref is None or ref not in ids:
+            pg = p["gateway_transaction_id"]
+            out.append((ref, pg, None, None, None, 0.0, "UNEXPECTED_PAYMENT"))
+    return out
+
+
+COMPARED = (
+    "transaction_id gateway_transaction_id payment_difference bank_difference "
+    "date_difference_days entity_match_score reconciliation_status"
+).split()
+
+
+@pytest.mark.parametrize("shuffle", [1, 6])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_heavy_keys_against_row_by_row(spark, low_bar, partitions, seed, shuffle):
+    partitions(shuffle)
+    tables = random_tables(seed)
+    frames, got = run(spark, *tables)
+    want = Counter(row_by_row(*tables))
+    assert Counter(tuple(r) for r in got.select(*COMPARED).collect()) == want
+    matches = matching.match_transactions(*frames[:2])
+    again = reconcile.reconcile(*frames, matches)
+    assert Counter(tuple(r) for r in again.select(*COMPARED).collect()) == want
+
+
+def test_columns_and_order(spark):
+    _, got = run(spark, [ledger("t")], [payment("t", "p")], [])
+    assert got.columns == [*RECONCILIATION_COLUMNS, *ORDER_COLUMNS]
+    assert len(RECONCILIATION_COLUMNS) == 20
