@@ -65,26 +65,29 @@ def iqr_flag(df: DataFrame, column: str, approximate: int | None = None) -> Colu
     return (x < bounds["lower_bound"]) | (x > bounds["upper_bound"])
 
 
-def standard_scale(df: DataFrame, columns: list[str], of: DataFrame | None = None) -> DataFrame:
+def moments(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
+    """Mean and divisor (population deviation, 1 for a constant) of each column, in one pass."""
+    row = df.agg(
+        *[F.avg(F.col(c).cast("double")).alias(f"{c}_mean") for c in columns],
+        *[F.stddev_pop(F.col(c).cast("double")).alias(f"{c}_std") for c in columns],
+    ).first()
+    return {c: (row[f"{c}_mean"] or 0.0, row[f"{c}_std"] or 1.0) for c in columns}
+
+
+def standard_scale(
+    df: DataFrame, columns: list[str], fitted: dict[str, tuple[float, float]] | None = None
+) -> DataFrame:
     """Each column as ``<column>_scaled``: mean 0, population deviation 1; constants become 0.
 
-    The moments are those of ``of``, by default of ``df`` itself.
+    ``fitted`` are the moments to scale by, by default those of ``df`` itself.
     """
-    moments = [
-        F.struct(
-            F.avg(F.col(c).cast("double")).alias("mean"),
-            F.stddev_pop(F.col(c).cast("double")).alias("std"),
-        ).alias(c)
-        for c in columns
-    ]
-    stats = (df if of is None else of).agg(F.struct(*moments)).scalar()
-
-    def scaled(c: str) -> Column:
-        std = stats[c]["std"]
-        divisor = F.when(std > 0, std).otherwise(F.lit(1.0))
-        return (F.col(c).cast("double") - stats[c]["mean"]) / divisor
-
-    return df.withColumns({f"{c}_scaled": scaled(c) for c in columns})
+    fitted = fitted or moments(df, columns)
+    return df.withColumns(
+        {
+            f"{c}_scaled": (F.col(c).cast("double") - F.lit(mean)) / F.lit(divisor)
+            for c, (mean, divisor) in fitted.items()
+        }
+    )
 
 
 def amount_flags(

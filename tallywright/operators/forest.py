@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .anomaly import standard_scale
+from .anomaly import moments, standard_scale
 from .trees import NODES, decide, grow_tree
 
 SAMPLE = 256
@@ -65,14 +65,14 @@ def draw_samples(
 class Forest:
     """A fitted forest; each tree is the arrays feature, cut, children and depth."""
 
-    features: list[str]
+    scaling: dict[str, tuple[float, float]]
     trees: list[tuple[np.ndarray, ...]]
     levels: int
     sample: int
 
     def score(self, df: DataFrame, name: str) -> DataFrame:
         """Add the decision as column ``name``; only the features travel to Python."""
-        scaled = standard_scale(df, self.features)
+        scaled = standard_scale(df, list(self.scaling), self.scaling)
         trees, levels, sample = self.trees, self.levels, self.sample
 
         @F.pandas_udf(DoubleType())
@@ -81,7 +81,7 @@ class Forest:
                 x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
                 yield pd.Series(decide(trees, levels, sample, x))
 
-        inputs = [f"{c}_scaled" for c in self.features]
+        inputs = [f"{c}_scaled" for c in self.scaling]
         return scaled.withColumn(name, decision(*inputs)).drop(*inputs)
 
 
@@ -93,8 +93,8 @@ def fit_forest(
     sample = min(SAMPLE, rows)
     inputs = [f"{c}_scaled" for c in features]
     drawn = draw_samples(df.select(*row_id, *features), row_id, rows, trees, seed)
-    # scaled after drawing, by the moments of the whole table
-    scaled = standard_scale(drawn, features, of=df).select("tree", *row_id, *inputs)
+    scaling = moments(df, features)
+    scaled = standard_scale(drawn, features, scaling).select("tree", *row_id, *inputs)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values(row_id)[inputs].to_numpy(dtype=float)
@@ -115,4 +115,4 @@ def fit_forest(
             )
         )
     levels = math.ceil(math.log2(max(sample, 2)))
-    return Forest(features, grown, levels, sample)
+    return Forest(scaling, grown, levels, sample)
