@@ -258,7 +258,7 @@ def _(s: Stages) -> DataFrame:
         F.round(matching.name_score(mine["name"], theirs["name"]), 6).alias("name_score"),
         F.round(matching.email_score(mine["email"], theirs["email"]), 6).alias("email_score"),
         matching.amount_score(mine["amount"], theirs["amount"]).alias("amount_score"),
-        matching.exact_match(mine["email"], theirs["email"]).alias("email_exact"),
+        matching.exact_match(F.col(mine["email"]), F.col(theirs["email"])).alias("email_exact"),
     )
 
 

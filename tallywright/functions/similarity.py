@@ -2,11 +2,12 @@
 
 The measure is 200 * LCS / (len(a) + len(b)), LCS being the length of the longest common
 subsequence. The LCS is counted bit-parallel: one bit per character of the shorter string, one
-add-and-mask step per character of the longer one. Up to 62 characters fit one BIGINT; longer
-strings carry over between 62-bit words, so no length is cut off.
-"""
+add-and-mask step per character of the longer one; the unset bits at the end are the LCS. Up to 62
+characters fit one BIGINT; longer strings carry over between 62-bit words, so no length is cut off.
 
-from collections.abc import Callable
+Written as SQL text: one parsed expression instead of some hundred calls to build it. ``let`` binds
+a value once; an expression used inside a lambda would be evaluated on every step.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,121 +16,68 @@ _WORD = 62
 _FULL = (1 << _WORD) - 1
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` once; a plain Column used in a lambda would be evaluated on every step."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _let(name: str, value: str, body: str) -> str:
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _long(n: int) -> Column:
-    return F.lit(n).cast("bigint")
+def _chars(s: str) -> str:
+    return f"transform(sequence(1, length({s})), i -> substr({s}, i, 1))"
 
 
-def _chars(s: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.substr(s, i, F.lit(1)))
+def _bits(s: str) -> str:
+    """Each character with its own bit."""
+    return f"transform({_chars(s)}, (x, i) -> struct(x AS x, shiftleft(1L, i) AS bit))"
 
 
-def _bits(letters: Column) -> Column:
-    """Each letter with its own bit."""
-    return F.transform(
-        letters,
-        lambda x, i: F.struct(
-            x.alias("x"), F.call_function("shiftleft", _long(1), i).alias("bit")
-        ),
-    )
-
+# bit mask of the places that hold the character c
+_PLACES = "aggregate({bits}, 0L, (m, b) -> if(b.x = c, m | b.bit, m))"
+_LOW_BITS = "shiftleft(1L, {n}) - 1L"
 
-def _positions(bits: Column, c: Column) -> Column:
-    """Bit mask of the places that hold the character ``c``."""
-    return F.aggregate(
-        bits,
-        _long(0),
-        lambda acc, b: F.when(b["x"] == c, acc.bitwiseOR(b["bit"])).otherwise(acc),
+_ONE_WORD = "length(p.short) - bit_count({})".format(
+    _let(
+        "e",
+        f"struct({_bits('p.short')} AS bits, {_LOW_BITS.format(n='length(p.short)')} AS full)",
+        f"""aggregate({_chars('p.long')}, e.full, (v, c) -> {
+            _let("u", f"v & {_PLACES.format(bits='e.bits')}", "((v + u) | (v - u)) & e.full")})""",
     )
-
-
-def _low_bits(n: Column) -> Column:
-    return F.call_function("shiftleft", _long(1), n) - 1
-
-
-def _lcs_one_word(short: Column, long: Column) -> Column:
-    full = _low_bits(F.length(short))
-
-    def step(state: Column, c: Column, bits: Column, full: Column) -> Column:
-        return _let(
-            state.bitwiseAND(_positions(bits, c)),
-            lambda u: (state + u).bitwiseOR(state - u).bitwiseAND(full),
-        )
-
-    end = _let(
-        F.struct(_bits(_chars(short)).alias("bits"), full.alias("full")),
-        lambda env: F.aggregate(
-            _chars(long), env["full"], lambda state, c: step(state, c, env["bits"], env["full"])
+)
+
+_WORDS = f"""transform(sequence(0, (length(p.short) - 1) DIV {_WORD}), w -> struct(
+    CAST(w AS INT) AS no,
+    {_bits(f'substr(p.short, CAST(w AS INT) * {_WORD} + 1, {_WORD})')} AS bits,
+    {_LOW_BITS.format(n=f'least({_WORD}, length(p.short) - CAST(w AS INT) * {_WORD})')} AS used))"""
+
+# one character of the longer string: add in every word, the carry goes to the next
+_STEP = """aggregate(words, struct(0L AS carry, CAST(array() AS ARRAY<BIGINT>) AS done),
+    (acc, w) -> {add}, acc -> acc.done)""".format(
+    add=_let(
+        "n",
+        _let(
+            "v",
+            "get(state, w.no)",
+            f"struct(v AS v, v & {_PLACES.format(bits='w.bits')} AS u)",
         ),
+        f"""struct(shiftright(n.v + n.u + acc.carry, {_WORD}) AS carry,
+            array_append(acc.done, ((n.v + n.u + acc.carry) & {_FULL}L) | (n.v - n.u)) AS done)""",
     )
-    return F.length(short) - F.bit_count(end)
-
-
-def _lcs_many_words(short: Column, long: Column) -> Column:
-    m = F.length(short)
-    last = F.floor((m - 1) / F.lit(_WORD)).cast("int")
-    words = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda w: F.struct(
-            w.alias("no"),
-            _bits(_chars(F.substr(short, w * _WORD + 1, F.lit(_WORD)))).alias("bits"),
-            _low_bits(F.least(F.lit(_WORD), m - w * _WORD)).alias("used"),
-        ),
-    )
-
-    def add_word(acc: Column, word: Column, state: Column, c: Column) -> Column:
-        def combine(x: Column) -> Column:
-            total = x["v"] + x["u"] + acc["carry"]
-            return F.struct(
-                F.shiftright(total, _WORD).alias("carry"),
-                F.array_append(
-                    acc["out"],
-                    total.bitwiseAND(_long(_FULL)).bitwiseOR(x["v"] - x["u"]),
-                ).alias("out"),
-            )
-
-        v = F.get(state, word["no"])
-        return _let(
-            F.struct(v.alias("v"), v.bitwiseAND(_positions(word["bits"], c)).alias("u")), combine
-        )
-
-    def step(state: Column, c: Column, words: Column) -> Column:
-        start = F.struct(
-            _long(0).alias("carry"), F.array().cast("array<bigint>").alias("out")
-        )
-        return F.aggregate(
-            words, start, lambda acc, word: add_word(acc, word, state, c), lambda acc: acc["out"]
-        )
-
-    def run(words: Column) -> Column:
-        start = F.transform(words, lambda word: _long(_FULL))
-        end = F.aggregate(_chars(long), start, lambda state, c: step(state, c, words))
-        unset = F.zip_with(
-            words, end, lambda word, v: F.bit_count(F.bitwise_not(v).bitwiseAND(word["used"]))
-        )
-        return F.aggregate(unset, F.lit(0), lambda acc, n: acc + n)
-
-    return _let(words, run)
-
-
-def lcs_ratio(a: Column, b: Column) -> Column:
-    """Similarity of ``a`` and ``b``; null or empty gives 0, equal strings short-cut to 100."""
-    pair = F.when(
-        F.length(a) <= F.length(b), F.struct(a.alias("short"), b.alias("long"))
-    ).otherwise(F.struct(b.alias("short"), a.alias("long")))
-
-    def lcs(p: Column) -> Column:
-        return F.when(
-            F.length(p["short"]) <= _WORD, _lcs_one_word(p["short"], p["long"])
-        ).otherwise(_lcs_many_words(p["short"], p["long"]))
-
-    total = F.length(a) + F.length(b)
-    return (
-        F.when(a.isNull() | b.isNull() | (F.length(a) == 0) | (F.length(b) == 0), F.lit(0.0))
-        .when(a == b, F.lit(100.0))
-        .otherwise(F.lit(200.0) * _let(pair, lcs) / total)
-    )
+)
+
+_MANY_WORDS = _let(
+    "words",
+    _WORDS,
+    f"""aggregate(zip_with(words,
+            aggregate({_chars('p.long')}, transform(words, w -> {_FULL}L), (state, c) -> {_STEP}),
+            (w, v) -> bit_count(~v & w.used)),
+        0, (total, n) -> total + n)""",
+)
+
+
+def lcs_ratio(a: str, b: str) -> Column:
+    """Similarity of the columns ``a`` and ``b``; null or empty gives 0, equal strings 100."""
+    pair = f"""if(length({a}) <= length({b}), struct({a} AS short, {b} AS long),
+                  struct({b} AS short, {a} AS long))"""
+    lcs = _let("p", pair, f"if(length(p.short) <= {_WORD}, {_ONE_WORD}, {_MANY_WORDS})")
+    return F.expr(f"""CASE
+        WHEN {a} IS NULL OR {b} IS NULL OR length({a}) = 0 OR length({b}) = 0 THEN 0.0D
+        WHEN {a} = {b} THEN 100.0D
+        ELSE 200.0D * {lcs} / (length({a}) + length({b})) END""")

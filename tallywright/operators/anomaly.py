@@ -1,5 +1,7 @@
 """Statistical flags on the reconciliation table: z-score, quartile range, isolation forest."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,17 +67,28 @@ def iqr_flag(df: DataFrame, column: str, approximate: int | None = None) -> Colu
     return (x < bounds["lower_bound"]) | (x > bounds["upper_bound"])
 
 
-def moments(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and divisor (population deviation, 1 for a constant) of each column, in one pass."""
+@dataclass
+class Moments:
+    """Rows of a table, and mean and divisor of its columns; a constant is divided by 1."""
+
+    rows: int
+    of: dict[str, tuple[float, float]]
+
+
+def moments(df: DataFrame, columns: list[str]) -> Moments:
+    """The moments of some columns, in one pass."""
     row = df.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[F.avg(F.col(c).cast("double")).alias(f"{c}_mean") for c in columns],
         *[F.stddev_pop(F.col(c).cast("double")).alias(f"{c}_std") for c in columns],
     ).first()
-    return {c: (row[f"{c}_mean"] or 0.0, row[f"{c}_std"] or 1.0) for c in columns}
+    return Moments(
+        row["rows"], {c: (row[f"{c}_mean"] or 0.0, row[f"{c}_std"] or 1.0) for c in columns}
+    )
 
 
 def standard_scale(
-    df: DataFrame, columns: list[str], fitted: dict[str, tuple[float, float]] | None = None
+    df: DataFrame, columns: list[str], fitted: Moments | None = None
 ) -> DataFrame:
     """Each column as ``<column>_scaled``: mean 0, population deviation 1; constants become 0.
 
@@ -85,7 +98,7 @@ def standard_scale(
     return df.withColumns(
         {
             f"{c}_scaled": (F.col(c).cast("double") - F.lit(mean)) / F.lit(divisor)
-            for c, (mean, divisor) in fitted.items()
+            for c, (mean, divisor) in fitted.of.items()
         }
     )
 

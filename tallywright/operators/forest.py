@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .anomaly import moments, standard_scale
+from .anomaly import Moments, moments, standard_scale
 from .trees import NODES, decide, grow_tree
 
 SAMPLE = 256
@@ -65,14 +65,15 @@ def draw_samples(
 class Forest:
     """A fitted forest; each tree is the arrays feature, cut, children and depth."""
 
-    scaling: dict[str, tuple[float, float]]
+    scaling: Moments
     trees: list[tuple[np.ndarray, ...]]
     levels: int
     sample: int
 
     def score(self, df: DataFrame, name: str) -> DataFrame:
         """Add the decision as column ``name``; only the features travel to Python."""
-        scaled = standard_scale(df, list(self.scaling), self.scaling)
+        features = list(self.scaling.of)
+        scaled = standard_scale(df, features, self.scaling)
         trees, levels, sample = self.trees, self.levels, self.sample
 
         @F.pandas_udf(DoubleType())
@@ -81,7 +82,7 @@ class Forest:
                 x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
                 yield pd.Series(decide(trees, levels, sample, x))
 
-        inputs = [f"{c}_scaled" for c in self.scaling]
+        inputs = [f"{c}_scaled" for c in features]
         return scaled.withColumn(name, decision(*inputs)).drop(*inputs)
 
 
@@ -89,12 +90,15 @@ def fit_forest(
     df: DataFrame, features: list[str], row_id: list[str], trees: int = 200, seed: int = 42
 ) -> Forest:
     """Grow the forest; ``row_id`` names the columns that identify a row."""
-    rows = df.count()
+    scaling = moments(df, features)
+    rows = scaling.rows
     sample = min(SAMPLE, rows)
     inputs = [f"{c}_scaled" for c in features]
     drawn = draw_samples(df.select(*row_id, *features), row_id, rows, trees, seed)
-    scaling = moments(df, features)
     scaled = standard_scale(drawn, features, scaling).select("tree", *row_id, *inputs)
+    # the samples are small, but growing a tree takes its time: spread the trees over the cores
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
+    scaled = scaled.repartition(tasks, "tree")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values(row_id)[inputs].to_numpy(dtype=float)

@@ -51,18 +51,24 @@ def heavy_keys(df: DataFrame, key: str) -> Column:
     return top.select(F.map_from_entries(salts).alias("salts")).scalar()
 
 
+def _salts(heavy: Column) -> Column:
+    return F.coalesce(F.try_element_at(heavy, F.col("_key")), F.lit(1))
+
+
 def deal(df: DataFrame, key: str, heavy: Column, row_id: list[str]) -> DataFrame:
     """Add ``_key`` and ``_salt`` to the many-rows side; ``row_id`` names a unique row number."""
-    salts = F.coalesce(F.try_element_at(heavy, F.col("_key")), F.lit(1))
-    return df.withColumn("_key", join_key(key)).withColumn(
-        "_salt", F.when(salts > 1, F.pmod(F.xxhash64(*row_id), salts)).otherwise(F.lit(0)).cast("int")
+    keyed = df.withColumn("_key", join_key(key)).withColumn("_salt", _salts(heavy))
+    return keyed.withColumn(
+        "_salt",
+        F.when(F.col("_salt") > 1, F.pmod(F.xxhash64(*row_id), F.col("_salt")))
+        .otherwise(F.lit(0))
+        .cast("int"),
     )
 
 
 def repeat(df: DataFrame, heavy: Column) -> DataFrame:
     """Repeat the rows of a one-row-per-``_key`` side, once per salt of the key."""
-    salts = F.coalesce(F.try_element_at(heavy, F.col("_key")), F.lit(1))
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), _salts(heavy) - 1)))
 
 
 def look_up(

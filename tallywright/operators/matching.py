@@ -16,20 +16,20 @@ def exact_match(a: Column, b: Column) -> Column:
     return F.coalesce(a == b, F.lit(False))
 
 
-def email_score(a: Column, b: Column) -> Column:
-    return F.when(exact_match(a, b), F.lit(100.0)).otherwise(lcs_ratio(a, b))
+def email_score(a: str, b: str) -> Column:
+    return F.when(exact_match(F.col(a), F.col(b)), F.lit(100.0)).otherwise(lcs_ratio(a, b))
 
 
-def name_score(a: Column, b: Column) -> Column:
+def name_score(a: str, b: str) -> Column:
     return lcs_ratio(a, b)
 
 
-def amount_score(a: Column, b: Column) -> Column:
-    return F.when(exact_match(a, b), F.lit(100.0)).otherwise(F.lit(0.0))
+def amount_score(a: str, b: str) -> Column:
+    return F.when(exact_match(F.col(a), F.col(b)), F.lit(100.0)).otherwise(F.lit(0.0))
 
 
-def match_score(ledger: dict[str, Column], payment: dict[str, Column]) -> Column:
-    """Weighted score; both sides give name, email and amount."""
+def match_score(ledger: dict[str, str], payment: dict[str, str]) -> Column:
+    """Weighted score; both sides name their columns for name, email and amount."""
     return F.round(
         EMAIL_WEIGHT * email_score(ledger["email"], payment["email"])
         + NAME_WEIGHT * name_score(ledger["name"], payment["name"])
@@ -46,11 +46,11 @@ def match_band(score: Column) -> Column:
     )
 
 
-def evidence(prefix: str = "") -> dict[str, Column]:
+def evidence(prefix: str = "") -> dict[str, str]:
     return {
-        "name": F.col(f"{prefix}customer_name_clean"),
-        "email": F.col(f"{prefix}email_clean"),
-        "amount": F.col(f"{prefix}amount"),
+        "name": f"{prefix}customer_name_clean",
+        "email": f"{prefix}email_clean",
+        "amount": f"{prefix}amount",
     }
 
 

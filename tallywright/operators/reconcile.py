@@ -73,14 +73,17 @@ def reconcile_transactions(
     paid = F.col("p_found").isNotNull()
     settled = F.col("b_found").isNotNull()
     if matches is None:
-        own = evidence()
-        first = {"name": "customer_name_clean", "email": "email_clean", "amount": "amount"}
-        side = {k: F.when(is_copy, F.col(f"lead.{c}")).otherwise(own[k]) for k, c in first.items()}
-        score = F.when(paid, match_score(side, evidence("p_"))).otherwise(F.lit(0.0))
-        rows = rows.withColumn("entity_match_score", score).withColumn(
-            "entity_match_confidence",
-            F.when(paid, match_band(F.col("entity_match_score"))).otherwise("NO_MATCH"),
+        # the first copy speaks for all copies
+        first = {
+            f"first_{c}": F.when(is_copy, F.col(f"lead.{c}")).otherwise(F.col(c))
+            for c in evidence().values()
+        }
+        score = match_score(evidence("first_"), evidence("p_"))
+        rows = rows.withColumns(first).withColumn(
+            "entity_match_score", F.when(paid, score).otherwise(F.lit(0.0))
         )
+        band = F.when(paid, match_band(F.col("entity_match_score"))).otherwise("NO_MATCH")
+        rows = rows.withColumn("entity_match_confidence", band)
     else:
         rows = rows.withColumns(
             {
