@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 MAX_HEAVY = 256
 MIN_ROWS = 10_000
-_TRACKED = 8192
+_TRACKED = 2048
+_MERGERS = 256
 
 # Stands for null on the left side, so that null keys are dealt out like any heavy key. It equals
 # no real key, and right sides hold no null: null never matches.
@@ -31,11 +32,23 @@ def heavy_keys(df: DataFrame, key: str) -> Column:
 
     Heavy is a key with at least ``MIN_ROWS`` rows and one row in ``MAX_HEAVY``.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = df.select(join_key(key).alias("k")).agg(
-        F.expr(f"approx_top_k(k, {MAX_HEAVY}, {_TRACKED})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # one row more, as sketches of no rows cannot be merged
+    rows = df.select(join_key(key).alias("k")).union(spark.range(1).select(F.lit(NULL_KEY)))
+    # two rounds, so that no task merges the sketches of all scan tasks
+    sketches = (
+        rows.withColumn("merger", F.pmod(F.spark_partition_id(), F.lit(_MERGERS)))
+        .groupBy("merger")
+        .agg(
+            F.expr(f"approx_top_k_accumulate(k, {_TRACKED})").alias("sketch"),
+            F.count(F.lit(1)).alias("n"),
+        )
     )
+    top = sketches.agg(
+        F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"),
+        F.sum("n").alias("n"),
+    ).select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HEAVY})").alias("top"), "n")
     heavy = F.filter(
         "top", lambda x: x["count"] >= F.greatest(F.lit(MIN_ROWS), F.col("n") / MAX_HEAVY)
     )

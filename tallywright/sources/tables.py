@@ -20,25 +20,29 @@ PUBLISHED = [
     "anomaly_detection",
 ]
 
+MAX_BLOCKS = 200_000
+
 
 def with_src_row(scan: DataFrame) -> DataFrame:
     """Number the rows of a plain file scan in file order.
 
-    File and block give the coarse order, the position inside the scan task the fine one. The
-    table of blocks has one row per input split, a list the Spark driver holds anyway.
+    File and block give the coarse order, the position inside the scan task the fine one. There are
+    at most as many blocks as scan tasks and files together. Up to ``MAX_BLOCKS`` the table of
+    blocks is broadcast; beyond, the join is left to Spark.
     """
-    placed = scan.select(
-        "*",
-        F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start")).alias("_block"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
+    block = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = scan.select("*", block.alias("_block"), place.alias("_place"))
+    numbered = (
+        scan.select(block.alias("_block"))
+        .distinct()
+        .withColumn("_no", F.row_number().over(Window.orderBy("_block")) - 1)
     )
-    blocks = scan.select(
-        F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start")).alias("_block")
-    ).distinct()
-    numbered = blocks.withColumn("_no", F.row_number().over(Window.orderBy("_block")) - 1)
+    if scan.rdd.getNumPartitions() + len(scan.inputFiles()) <= MAX_BLOCKS:
+        numbered = F.broadcast(numbered)
     number = F.shiftleft(F.col("_no").cast("bigint"), 33) + F.col("_place")
     return (
-        placed.join(F.broadcast(numbered), "_block")
+        placed.join(numbered, "_block")
         .withColumn("src_row", number)
         .drop("_block", "_place", "_no")
     )

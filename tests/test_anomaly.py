@@ -144,3 +144,12 @@ def test_leaves_share_out_the_sample():
     assert leaves["depth"].min() >= 1
     same = trees.grow_tree(0, x, 42)
     pd.testing.assert_frame_equal(nodes, same)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 2])
+@pytest.mark.parametrize("with_forest", [True, False])
+def test_tables_of_hardly_any_rows(spark, rows, with_forest):
+    recon = recon_table(spark, [(str(i), "MATCHED", "0", None) for i in range(2)]).limit(rows)
+    got = anomaly.detect_anomalies(recon, forest=with_forest)
+    assert got.count() == rows
+    assert got.where("amount_z_anomaly OR amount_iqr_anomaly").count() == 0

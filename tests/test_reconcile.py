@@ -294,3 +294,22 @@ def test_columns_and_order(spark):
     _, got = run(spark, [ledger("t")], [payment("t", "p")], [])
     assert got.columns == [*RECONCILIATION_COLUMNS, *ORDER_COLUMNS]
     assert len(RECONCILIATION_COLUMNS) == 20
+
+
+@pytest.mark.parametrize("empty", ["erp", "pay", "bank", "all"])
+def test_empty_sources(spark, empty):
+    keep = lambda name, rows: [] if empty in (name, "all") else rows
+    frames, got = run(
+        spark,
+        keep("erp", [ledger("t")]),
+        keep("pay", [payment("t", "p")]),
+        keep("bank", [bank("p")]),
+    )
+    found = [r.reconciliation_status for r in got.collect()]
+    assert found == {
+        "erp": ["UNEXPECTED_PAYMENT"],
+        "pay": ["MISSING_PAYMENT"],
+        "bank": ["MISSING_BANK_SETTLEMENT"],
+        "all": [],
+    }[empty]
+    assert matching.match_transactions(*frames[:2]).count() == (empty not in ("erp", "all"))
