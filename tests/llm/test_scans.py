@@ -1,0 +1,117 @@
+"""Secret scan and personal data against plain regular expressions."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallywright.llm.pii import luhn, mod97, personal_data
+from tallywright.llm.secret_scan import secret_scan
+
+from . import brute
+
+ORDER = ["email", "ip", "card", "phone", "iban", "national_phone", "ssn"]
+ATOMS = [
+    *"password secret TOKEN api_key ApiKey passwd user login AKIA AKIA1234567890ABCD".split(),
+    *["=", ":", " : ", "='", '="', " ", "  ", "\n", "é", "😀", "-", ".", "@", "+", "(", ")", "x"],
+    *"abcdef0123456789abcdef0123456789 deadbeef 12345678 4111111111111111 4111-1111 1111".split(),
+    *"192.168.0.1 999.1.1.1 1.2.3 +1 (555) 555-0100 a.b%c@d-e.f.g x@y z@ 0 7 255. 00255".split(),
+    *"https://host/a?b wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY user=root DE89370400440532013000".split(),
+    *"123-45-6789 ssn call".split(),
+]
+
+
+def made(n):
+    draw = random.Random(11)
+    return [
+        "".join(draw.choice(ATOMS) + draw.choice(["", "", " "]) for _ in range(draw.randint(1, 40)))
+        for _ in range(n)
+    ]
+
+
+@pytest.fixture(scope="module")
+def soup(spark):
+    rows = list(enumerate(made(600)))
+    return rows, spark.createDataFrame(rows, "doc_id bigint, text string")
+
+
+def check_secrets(rows, df):
+    got = {r.doc_id: tuple(r)[2:] for r in secret_scan(df).collect()}
+    for doc, text in rows:
+        assert got[doc] == brute.secrets(text), repr(text)
+
+
+def check_personal(rows, df):
+    got = {r.doc_id: r for r in personal_data(df).collect()}
+    for doc, text in rows:
+        spans = brute.personal(text)
+        r = got[doc]
+        kinds = [k for k, _, _ in spans]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [kinds.count(k) for k in ORDER[:4]], repr(text)
+        assert r.base_sha256 == brute.sha(brute.listed(spans, ORDER)), repr(text)
+        assert set(filter(None, brute.listed(spans, ORDER).split(","))) <= set(r.spans.split(","))
+
+
+def test_secrets_in_made_up_texts(soup):
+    check_secrets(*soup)
+
+
+def test_secrets_in_the_small_table(spark, small):
+    rows = [(d, t) for d, t, _ in small]
+    check_secrets(rows, spark.createDataFrame(rows, "doc_id bigint, text string"))
+
+
+def test_personal_data_in_made_up_texts(soup):
+    check_personal(*soup)
+
+
+def test_personal_data_in_the_small_table(spark, small):
+    rows = [(d, t) for d, t, _ in small]
+    check_personal(rows, spark.createDataFrame(rows, "doc_id bigint, text string"))
+
+
+def test_weak_parts_need_each_other(spark):
+    key = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"
+    rows = [
+        (1, f"just {key} alone"),
+        (2, f"user=root then {key}"),
+        (3, f"user=root {'x ' * 400} {key}"),
+        (4, "see https://example.com/a only"),
+        (5, f"post to https://example.com/a with {key}"),
+        (6, "user=root only"),
+        (7, f"{'z' * 280} user=root {'y' * 280} {key}"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    check_secrets(rows, df)
+    got = {r.doc_id: r.spans for r in secret_scan(df).collect()}
+    assert got[1] == got[3] == got[4] == got[6] == ""
+    assert "key_material" in got[2] and "account" in got[2] and "endpoint" in got[5]
+
+
+def test_checksums(spark):
+    draw = random.Random(5)
+    cards = ["".join(draw.choice("0123456789") for _ in range(draw.randint(12, 19))) for _ in range(300)]
+    accounts = ["DE89370400440532013000", "GB82WEST12345698765432", "DE89370400440532013001"]
+    df = spark.createDataFrame([(c,) for c in cards], "c string").select("c", luhn(F.col("c")))
+    assert {r[0]: r[1] for r in df.collect()} == {c: brute.luhn(c) for c in cards}
+    df = spark.createDataFrame([(c,) for c in accounts], "c string").select(mod97(F.col("c")))
+    assert [r[0] for r in df.collect()] == [brute.iban(a) for a in accounts] == [True, True, False]
+
+
+def test_context_raises_the_score(spark):
+    rows = [(1, "ssn: 123-45-6789"), (2, "part 123-45-6789"), (3, "iban DE89 3704 0044 0532 0130 00 ok")]
+    got = personal_data(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    spans = {r.doc_id: r.spans for r in got}
+    assert "ssn:5:16" in spans[1] and "ssn" not in spans[2] and "iban:5:32" in spans[3]
+
+
+@pytest.mark.parametrize("op", [secret_scan, personal_data])
+def test_odd_rows(op, odd_docs, no_docs):
+    got = op(odd_docs).collect()
+    assert len(got) == odd_docs.count()
+    assert all(r.spans == "" for r in got if r.doc_id in (1, 2, 3, 4, 11))
+    assert op(no_docs).count() == 0
+    want = brute.secrets if op is secret_scan else None
+    if want:
+        texts = {r.doc_id: r.text for r in odd_docs.collect()}
+        assert all(tuple(r)[2:] == want(texts[r.doc_id]) for r in got if r.doc_id and r.doc_id > 4)
