@@ -8,16 +8,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tallywright.checks import registry
+from tallywright.checks import duck, registry
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, duck.ORACLES
 
 
 @pytest.fixture(scope="module")
-def duck():
+def db():
     con = duckdb.connect()
     for path in glob.glob(f"{FOLDER}/*.parquet"):
         name = os.path.basename(path).removesuffix(".parquet")
@@ -45,9 +45,9 @@ def test_only_the_forest_has_no_sql():
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query(spark, duck, name):
+def test_query(spark, db, name):
     got = QUERIES[name](spark, FOLDER)
-    want = duck.sql(ORACLES[name])
+    want = db.sql(ORACLES[name])
     assert sorted(got.columns) == sorted(want.columns)
     kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     assert {f.name: kinds[f.dataType.simpleString()] for f in got.schema} == {
@@ -64,6 +64,10 @@ def test_forest_queries_have_the_columns_of_their_twins(spark, name):
         assert got.columns == QUERIES[f"{name}_amounts"](spark, FOLDER).columns
 
 
+def test_entry_names_them_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert sum(r.record_count for r in rows) == 1528
