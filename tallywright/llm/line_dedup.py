@@ -231,9 +231,13 @@ def repeated_lines(docs: DataFrame, edits: int, min_chars: int, crowd: int) -> D
     heads = known.groupBy(F.coalesce("component", "id").alias("class")).agg(
         F.min("first").alias("head")
     )
-    of_line = known.select(
-        F.col("id").alias("k_id"), F.coalesce("component", "id").alias("k_class")
-    ).join(heads, F.col("k_class") == F.col("class"))
+    # written, so that the join of a hot line can be split
+    of_line = scratch(
+        known.select(F.col("id").alias("k_id"), F.coalesce("component", "id").alias("k_class"))
+        .join(heads, F.col("k_class") == F.col("class"))
+        .select("k_id", "head"),
+        "heads",
+    )
     return (
         lines.select(KEY, "no", "id")
         .join(of_line, F.col("id") == F.col("k_id"))

@@ -94,13 +94,15 @@ def quality_rules(
     )
     base = scratch(texts(source, measure, BASE, ("__id", "__host")), "quality")
     lines = base.select(KEY, "host", F.inline("lines"))
-    frequent = (
+    # written, so that the join of a hot line can be split
+    frequent = scratch(
         lines.select("host", "h", "family")
         .distinct()
         .groupBy("host", "h")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > max_families)
-        .select(F.col("host").alias("host_2"), F.col("h").alias("h_2"))
+        .select(F.col("host").alias("host_2"), F.col("h").alias("h_2")),
+        "frequent",
     )
     removed = (
         lines.join(frequent, F.col("host").eqNullSafe(F.col("host_2")) & (F.col("h") == F.col("h_2")))

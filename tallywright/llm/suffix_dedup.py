@@ -298,10 +298,11 @@ def settle_by_hash(stretches: DataFrame, length: int) -> DataFrame:
         work, f"w1 bigint, w2 bigint, {KEY} bigint, start bigint"
     )
     place = F.struct(KEY, "start")
-    firsts = (
+    firsts = scratch(
         windows.groupBy(F.col("w1").alias("f1"), F.col("w2").alias("f2"))
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
+        .where("n > 1"),
+        "windows",
     )
     return (
         windows.join(firsts, (F.col("w1") == F.col("f1")) & (F.col("w2") == F.col("f2")))
@@ -316,7 +317,15 @@ def settle_by_hash(stretches: DataFrame, length: int) -> DataFrame:
 def repeated_bytes(packed: DataFrame, length: int, seed: int, crowd: int) -> DataFrame:
     """(__row_key, start, stop): stretches of bytes whose windows all start earlier too."""
     found = anchors(packed, length, seed)
-    twice = found.groupBy(F.col("h").alias("h2")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written, as are other aggregates that are joined on their key: a join with an aggregate in the
+    # same stage could not be split where a key is hot
+    twice = scratch(
+        found.groupBy(F.col("h").alias("h2"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("h2"),
+        "twice",
+    )
     live = scratch(
         found.join(twice, F.col("h") == F.col("h2"), "left_semi"), "anchors"
     )
@@ -335,8 +344,9 @@ def repeated_bytes(packed: DataFrame, length: int, seed: int, crowd: int) -> Dat
         .where(place != F.col("first"))
         .select(KEY, begin.alias("start"), (begin + windows + length).alias("stop"))
     )
-    several = (
-        kinds.groupBy(F.col("h").alias("h2")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    several = scratch(
+        kinds.groupBy(F.col("h").alias("h2")).agg(F.count(F.lit(1)).alias("m")).where("m > 1"),
+        "several",
     )
     wanted = (
         kinds.join(several, F.col("h") == F.col("h2"))
