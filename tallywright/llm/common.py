@@ -75,7 +75,7 @@ def texts(
 
     def run(batches):
         work = fn() if isinstance(fn, type) else fn
-        for batch in batches:
+        for batch in slices(batches):
             rows, size = [], 0
             for row in zip(*[batch.column(c).to_pylist() for c in columns], strict=True):
                 made = list(work(*row))
@@ -89,6 +89,13 @@ def texts(
     return source.mapInArrow(run, schema)
 
 
+def slices(batches, rows: int = 512):
+    """Parts of Arrow batches, so that only few rows are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

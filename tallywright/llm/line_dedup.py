@@ -10,7 +10,7 @@ bit-parallel edit distance. Lines that are linked form classes, of which the fir
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, pa_schema, scratch, with_key
+from .common import KEY, pa_schema, scratch, slices, with_key
 from .components import connected_components
 
 MAX_EDITS = 1
@@ -118,7 +118,7 @@ def _crowd_codes(batches):
     import xxhash
 
     digest = xxhash.xxh64_intdigest
-    for batch in batches:
+    for batch in slices(batches):
         for h, line in zip(batch["h"].to_pylist(), batch["line"].to_pylist(), strict=True):
             codes, own = [digest(line, 2)], [True]
             previous = None
@@ -275,7 +275,7 @@ def dedup_lines(
         import pyarrow as pa
 
         place = names.index("text")
-        for batch in batches:
+        for batch in slices(batches):
             texts, counts = [], []
             for text, lost in zip(batch["text"].to_pylist(), batch["__gone"].to_pylist(), strict=True):
                 if lost:

@@ -22,13 +22,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, scratch, with_key
+from .common import KEY, scratch, slices, with_key
 from .suffix_array import longest_earlier, suffix_array
 
 LENGTH = 100
 SEED = 24
 CROWD = 256  # different stretches of one anchor beyond which windows are hashed
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20  # bytes of a text that are looked at together
+_BUFFER = 1 << 19  # bytes of short texts that are
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BASE_2 = 0xD6E8FEB86659FD93
@@ -53,18 +54,20 @@ class Hashes:
     def __init__(self):
         self.size = 0
 
-    def load(self, data: np.ndarray) -> None:
+    def load(self, data: np.ndarray, second: bool = True) -> None:
         n = len(data) + 1
         if n > self.size:
-            self.size = max(n, 2 * self.size)
+            self.size = max(n, 1 << 16)
             self.powers = [
                 (_powers(b, self.size), _powers(i, self.size))
                 for b, i in ((_BASE, _INVERSE), (_BASE_2, _INVERSE_2))
             ]
-        self.sums = []
         letters = data.astype(np.uint64) + np.uint64(1)
-        # squares tell more strings apart than the letters alone
-        for (power, _), value in zip(self.powers, (letters, letters * letters + np.uint64(77)), strict=True):
+        values = [letters]
+        if second:  # squares, as they tell more strings apart than the letters alone
+            values.append(letters * letters + np.uint64(77))
+        self.sums = []
+        for (power, _), value in zip(self.powers, values, strict=False):
             sums = np.zeros(n, np.uint64)
             np.cumsum(value * power[: n - 1], out=sums[1:])
             self.sums.append(sums)
@@ -73,69 +76,85 @@ class Hashes:
         sums, inverse = self.sums[which], self.powers[which][1]
         return _mix((sums[stops] - sums[starts]) * inverse[starts])
 
+    def all(self, size: int) -> np.ndarray:
+        """Hashes of every substring of ``size`` bytes."""
+        sums, inverse = self.sums[0], self.powers[0][1]
+        return _mix((sums[size:] - sums[:-size]) * inverse[: len(sums) - size])
+
 
-def runs(data: np.ndarray, hashes: Hashes, length: int, seed: int):
-    """Runs of windows with the same anchor: anchor place, first and last window start."""
-    n = len(data)
-    if n < length:
-        return (np.zeros(0, np.int64),) * 3
-    hashes.load(data)
-    at = np.arange(n - seed + 1)
+def anchor_places(hashes: Hashes, length: int, seed: int) -> np.ndarray:
+    """For each window of the loaded bytes the place of its anchor: the least hash, and of equal ones
+    the first place."""
     low = np.uint64((1 << 24) - 1)
-    # the least hash, and of equal ones the first place
-    least = (hashes.of(at, at + seed) & ~low) | at.astype(np.uint64)
+    least = hashes.all(seed) & ~low
+    least |= np.arange(len(least), dtype=np.uint64)
     wide, span = length - seed + 1, 1
     while 2 * span <= wide:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
     if rest := wide - span:
         least = np.minimum(least[:-rest], least[rest:])
-    anchor = (least & low).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-    last = np.r_[first[1:], len(anchor)] - 1
-    return anchor[first], first, last
+    return (least & low).astype(np.int64)
 
 
-def chunks(data: np.ndarray, length: int):
+def chunks(data: bytes, length: int):
     """(offset, part): parts of long texts that share all but one byte of a window at their ends."""
     for at in range(0, max(1, len(data) - length + 1), _CHUNK):
         yield at, data[at : at + _CHUNK + length - 1]
 
 
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
-
-
-def anchors(packed: DataFrame, length: int, seed: int) -> DataFrame:
-    """(h, c, key, at, meta) for every run: hashes of anchor and stretch, row, first window, and the
-    anchor's offset in the stretch and the number of windows (packed)."""
-
-    def work(batches):
-        hashes, unzip = Hashes(), zstandard.ZstdDecompressor()
-        names = ["h", "c", KEY, "meta"]
-        for batch in batches:
-            parts = []
-            for key, z in zip(batch[KEY].to_pylist(), batch["z"].to_pylist(), strict=True):
-                whole = np.frombuffer(unzip.decompress(z), np.uint8)
-                for offset, data in chunks(whole, length):
-                    place, first, last = runs(data, hashes, length, seed)
-                    if not len(place):
-                        continue
-                    h = hashes.of(place, place + seed)
-                    c = hashes.of(first, last + length) ^ _mix(
-                        hashes.of(first, last + length, 1) + (place - first).astype(np.uint64)
-                    )
-                    meta = ((first + offset) << 16) | ((last - first) << 8) | (place - first)
-                    parts.append((h, c, np.full(len(h), key), meta))
-            if parts:
-                h, c, key, meta = (np.concatenate(x) for x in zip(*parts, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (_signed(h), _signed(c), key, meta)], names=names
-                )
-
+def buffers(batches, length: int):
+    """Lists of (key, offset, bytes): texts or parts of them, together of some size."""
+    held, size = [], 0
+    for batch in slices(batches):
+        for key, text in zip(batch[KEY].to_pylist(), batch["text"].to_pylist(), strict=True):
+            for offset, part in chunks((text or "").encode(), length):
+                if len(part) < length:
+                    continue
+                held.append((key, offset, part))
+                size += len(part)
+                if size >= _BUFFER:
+                    yield held
+                    held, size = [], 0
+    if held:
+        yield held
+
+
+def anchors(docs: DataFrame, length: int, seed: int, stretches: bool) -> DataFrame:
+    """One row per run: h, the hash of its anchor; with ``stretches`` also c, the hash of the bytes
+    that its windows cover, __row_key, and meta: first window, number of windows less one, and offset
+    of the anchor, packed."""
     if length - seed > 255:
         raise ValueError("length may exceed the seed by 255 at most")
-    return packed.select(KEY, "z").mapInArrow(work, f"h bigint, c bigint, {KEY} bigint, meta bigint")
+    names = ["h", "c", KEY, "meta"] if stretches else ["h"]
+
+    def work(batches):
+        hashes = Hashes()
+        for held in buffers(batches, length):
+            keys = np.array([k for k, _, _ in held])
+            offsets = np.array([o for _, o, _ in held])
+            sizes = np.array([len(p) for _, _, p in held])
+            begins = np.cumsum(sizes) - sizes
+            hashes.load(np.frombuffer(b"".join(p for _, _, p in held), np.uint8), stretches)
+            # starts of the windows that lie in one text
+            count = sizes - length + 1
+            text = np.repeat(np.arange(len(held)), count)
+            start = np.arange(len(text)) + (begins - (np.cumsum(count) - count))[text]
+            place = anchor_places(hashes, length, seed)[start]
+            head = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            tail = np.r_[head[1:], len(place)] - 1
+            place, first, last, text = place[head], start[head], start[tail], text[head]
+            columns = [hashes.of(place, place + seed).view(np.int64)]
+            if stretches:
+                inside = (place - first).astype(np.uint64)
+                c = hashes.of(first, last + length)
+                c ^= _mix(hashes.of(first, last + length, 1) + inside)
+                at = first - begins[text] + offsets[text]
+                meta = (at << 16) | ((last - first) << 8) | (place - first)
+                columns += [c.view(np.int64), keys[text], meta]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
+
+    return docs.select(KEY, "text").mapInArrow(work, ", ".join(f"{n} bigint" for n in names))
 
 
 def unpack(meta: int) -> tuple[int, int, int]:
@@ -280,13 +299,13 @@ def settle_by_hash(stretches: DataFrame, length: int) -> DataFrame:
 
     def work(batches):
         hashes = Hashes()
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for key, meta, data in zip(*[batch[c].to_pylist() for c in (KEY, "meta", "bytes")], strict=True):
                 first, more, _ = unpack(meta)
                 hashes.load(np.frombuffer(data, np.uint8))
                 at = np.arange(more + 1)
-                w = [_signed(hashes.of(at, at + length, k)) for k in (0, 1)]
+                w = [hashes.of(at, at + length, k).view(np.int64) for k in (0, 1)]
                 out.append((*w, np.full(more + 1, key), first + at))
             if out:
                 yield pa.RecordBatch.from_arrays(
@@ -314,21 +333,23 @@ def settle_by_hash(stretches: DataFrame, length: int) -> DataFrame:
 # --- the operator ----------------------------------------------------------------------------------
 
 
-def repeated_bytes(packed: DataFrame, length: int, seed: int, crowd: int) -> DataFrame:
-    """(__row_key, start, stop): stretches of bytes whose windows all start earlier too."""
-    found = anchors(packed, length, seed)
+def repeated_bytes(
+    docs: DataFrame, packed: DataFrame, length: int, seed: int, crowd: int
+) -> DataFrame:
+    """(__row_key, start, stop): stretches of bytes whose windows all start earlier too. ``packed``
+    has the texts of ``docs`` compressed, as z."""
     # written, as are other aggregates that are joined on their key: a join with an aggregate in the
     # same stage could not be split where a key is hot
     twice = scratch(
-        found.groupBy(F.col("h").alias("h2"))
+        anchors(docs, length, seed, stretches=False)
+        .groupBy(F.col("h").alias("h2"))
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .select("h2"),
         "twice",
     )
-    live = scratch(
-        found.join(twice, F.col("h") == F.col("h2"), "left_semi"), "anchors"
-    )
+    found = anchors(docs, length, seed, stretches=True)
+    live = scratch(found.join(twice, F.col("h") == F.col("h2"), "left_semi"), "anchors")
     place = F.struct(KEY, "meta")
     kinds = scratch(
         live.groupBy("h", "c").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")),
@@ -358,7 +379,7 @@ def repeated_bytes(packed: DataFrame, length: int, seed: int, crowd: int) -> Dat
 
     def take(batches):
         unzip = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for key, z, rows in zip(*[batch[c].to_pylist() for c in (KEY, "z", "wanted")], strict=True):
                 data = unzip.decompress(z)
@@ -403,7 +424,7 @@ def remove_repeats(
 
     def pack(batches):
         zip_ = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in slices(batches):
             data = [zip_.compress((t or "").encode()) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch[KEY], batch["doc_id"], pa.array(data, pa.binary())], names=[KEY, "doc_id", "z"]
@@ -413,14 +434,14 @@ def remove_repeats(
         pack, f"{KEY} bigint, doc_id {id_type}, z binary"
     )
     gone = (
-        repeated_bytes(packed, length, seed, crowd)
+        repeated_bytes(keyed, packed, length, seed, crowd)
         .groupBy(F.col(KEY).alias("g_key"))
         .agg(F.collect_list(F.struct("start", "stop")).alias("gone"))  # of one document
     )
 
     def cut(batches):
         unzip = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for z, gone in zip(batch["z"].to_pylist(), batch["gone"].to_pylist(), strict=True):
                 data = unzip.decompress(z)
