@@ -27,7 +27,7 @@ from .suffix_array import longest_earlier, suffix_array
 
 LENGTH = 100
 SEED = 24
-CROWD = 256  # different stretches of one anchor beyond which windows are hashed
+CROWD = 4096  # different stretches of one anchor beyond which windows are hashed
 _CHUNK = 1 << 20  # bytes of a text that are looked at together
 _BUFFER = 1 << 19  # bytes of short texts that are
 _BASE = 0x9E3779B97F4A7C15
