@@ -63,10 +63,11 @@ def within(a: str, b: str, most: int) -> bool:
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
     """Every line of ``min_chars`` or more, trimmed: key, number, line, id (128 bits), h (64 bits)."""
-    line = F.btrim(F.col("raw"), F.lit(_BLANK))
+    # trimmed before they are exploded, so that no later expression trims again
+    raw = F.split(F.coalesce("text", F.lit("")), "\n", -1)
+    trimmed = F.transform(raw, lambda x: F.btrim(x, F.lit(_BLANK)))
     return (
-        docs.select(KEY, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("no", "raw"))
-        .select(KEY, "no", line.alias("line"))
+        docs.select(KEY, F.posexplode(trimmed).alias("no", "line"))
         .where(F.char_length("line") >= min_chars)
         .withColumn("h", F.xxhash64("line"))
         .withColumn("id", F.struct("h", F.xxhash64(F.lit("second"), "line").alias("h2")))
@@ -147,7 +148,7 @@ def line_links(lines: DataFrame, edits: int = MAX_EDITS, crowd: int = CROWD) ->
     linked by codes, so that each still reaches all its neighbours. With more edits crowds are
     compared pair by pair.
     """
-    rows = segment_rows(lines, edits)
+    rows = scratch(segment_rows(lines, edits), "substrings")
     live = (
         rows.groupBy("k")
         .agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("owned"))
@@ -224,7 +225,8 @@ def repeated_lines(docs: DataFrame, edits: int, min_chars: int, crowd: int) -> D
     lines = lines_of(docs, min_chars)
     classes = connected_components(line_links(lines, edits, crowd))
     at = F.struct(KEY, "no")
-    firsts = lines.groupBy("id").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
+    places = scratch(lines.select(KEY, "no", "id"), "places")
+    firsts = places.groupBy("id").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
     known = firsts.join(classes, F.col("id") == F.col("node"), "left").where(
         "n > 1 or component is not null"
     )
@@ -239,8 +241,7 @@ def repeated_lines(docs: DataFrame, edits: int, min_chars: int, crowd: int) -> D
         "heads",
     )
     return (
-        lines.select(KEY, "no", "id")
-        .join(of_line, F.col("id") == F.col("k_id"))
+        places.join(of_line, F.col("id") == F.col("k_id"))
         .where(at != F.col("head"))
         .groupBy(F.col(KEY).alias("g_key"))
         .agg(F.collect_list("no").alias("gone"))
