@@ -266,7 +266,9 @@ def dedup_lines(
         repeated_lines(keyed.select(KEY, "text"), edits, min_chars, crowd), "gone"
     )
     # names of their own, as the columns of a corpus may be called anything
-    joined = keyed.join(gone.withColumnRenamed("gone", "__gone"), F.col(KEY) == F.col("g_key"), "left")
+    # a merge join whatever the size, so that a run on a part of a corpus tells what the whole needs
+    lost = gone.withColumnRenamed("gone", "__gone").hint("merge")
+    joined = keyed.join(lost, F.col(KEY) == F.col("g_key"), "left")
     source = joined.drop("g_key")
     names = [c for c in source.columns if c != "__gone"]
     schema = source.select(*names, F.lit(0).cast("int").alias("n_gone")).schema
