@@ -81,45 +81,39 @@ _SCORE = f"""round(0.50::DOUBLE * ({_ratio('e.email_clean', 'p.email_clean')})
         2)"""
 
 
-def _by_status(pairs: str, default: str) -> str:
-    arms = [p.split("=") for p in pairs.strip().splitlines()]
-    whens = " ".join(f"WHEN '{s.strip()}' THEN '{v.strip()}'" for s, v in arms)
-    return f"CASE reconciliation_status {whens} ELSE '{default}' END"
-
-
 # The wording per status.
-_CAUSE = _by_status(
-    """PARTIAL_PAYMENT = Potential partial payment
-    OVERPAYMENT = Potential overpayment
-    AMOUNT_MISMATCH = Payment amount differs from ERP amount
-    MISSING_PAYMENT = ERP transaction has no payment gateway record
-    UNEXPECTED_PAYMENT = Payment exists without corresponding ERP transaction
-    MISSING_BANK_SETTLEMENT = Payment received but bank settlement is missing
-    DUPLICATE = Duplicate ERP transaction detected
-    DATE_MISMATCH = Transaction dates differ across systems
-    ENTITY_UNCERTAIN = Customer/entity relationship requires review""",
-    "No exception",
-)
-_ACTION = _by_status(
-    """PARTIAL_PAYMENT = Review outstanding payment balance
-    OVERPAYMENT = Review excess payment and refund requirements
-    AMOUNT_MISMATCH = Compare ERP, gateway and settlement records
-    MISSING_PAYMENT = Verify payment gateway processing and payment status
-    UNEXPECTED_PAYMENT = Investigate payment origin and identify related transaction
-    MISSING_BANK_SETTLEMENT = Review bank settlement file and settlement cycle
-    DUPLICATE = Verify duplicate posting and reverse erroneous entry if confirmed
-    DATE_MISMATCH = Review transaction and settlement dates
-    ENTITY_UNCERTAIN = Perform manual entity verification""",
-    "No action required",
-)
-_OWNER = _by_status(
-    """AMOUNT_MISMATCH = Payments
-    PARTIAL_PAYMENT = Payments
-    OVERPAYMENT = Payments
-    ENTITY_UNCERTAIN = Data Quality
-    DATE_MISMATCH = Operations""",
-    "Finance",
-)
+_CAUSE = """CASE reconciliation_status
+    WHEN 'PARTIAL_PAYMENT' THEN 'Potential partial payment'
+    WHEN 'OVERPAYMENT' THEN 'Potential overpayment'
+    WHEN 'AMOUNT_MISMATCH' THEN 'Payment amount differs from ERP amount'
+    WHEN 'MISSING_PAYMENT' THEN 'ERP transaction has no payment gateway record'
+    WHEN 'UNEXPECTED_PAYMENT' THEN 'Payment exists without corresponding ERP transaction'
+    WHEN 'MISSING_BANK_SETTLEMENT' THEN 'Payment received but bank settlement is missing'
+    WHEN 'DUPLICATE' THEN 'Duplicate ERP transaction detected'
+    WHEN 'DATE_MISMATCH' THEN 'Transaction dates differ across systems'
+    WHEN 'ENTITY_UNCERTAIN' THEN 'Customer/entity relationship requires review'
+    ELSE 'No exception'
+    END"""
+_ACTION = """CASE reconciliation_status
+    WHEN 'PARTIAL_PAYMENT' THEN 'Review outstanding payment balance'
+    WHEN 'OVERPAYMENT' THEN 'Review excess payment and refund requirements'
+    WHEN 'AMOUNT_MISMATCH' THEN 'Compare ERP, gateway and settlement records'
+    WHEN 'MISSING_PAYMENT' THEN 'Verify payment gateway processing and payment status'
+    WHEN 'UNEXPECTED_PAYMENT' THEN 'Investigate payment origin and identify related transaction'
+    WHEN 'MISSING_BANK_SETTLEMENT' THEN 'Review bank settlement file and settlement cycle'
+    WHEN 'DUPLICATE' THEN 'Verify duplicate posting and reverse erroneous entry if confirmed'
+    WHEN 'DATE_MISMATCH' THEN 'Review transaction and settlement dates'
+    WHEN 'ENTITY_UNCERTAIN' THEN 'Perform manual entity verification'
+    ELSE 'No action required'
+    END"""
+_OWNER = """CASE reconciliation_status
+    WHEN 'AMOUNT_MISMATCH' THEN 'Payments'
+    WHEN 'PARTIAL_PAYMENT' THEN 'Payments'
+    WHEN 'OVERPAYMENT' THEN 'Payments'
+    WHEN 'ENTITY_UNCERTAIN' THEN 'Data Quality'
+    WHEN 'DATE_MISMATCH' THEN 'Operations'
+    ELSE 'Finance'
+    END"""
 _PRIORITY = """CASE reconciliation_status WHEN 'MATCHED' THEN 0 WHEN 'DATE_MISMATCH' THEN 1
         WHEN 'PARTIAL_PAYMENT' THEN 2 WHEN 'OVERPAYMENT' THEN 3 WHEN 'MISSING_PAYMENT' THEN 4
         WHEN 'UNEXPECTED_PAYMENT' THEN 5 WHEN 'DUPLICATE' THEN 6 WHEN 'ENTITY_UNCERTAIN' THEN 7
@@ -366,7 +360,7 @@ def _grouped(table: str, key: str, columns: str, where: str = "TRUE") -> str:
 
 
 def _clean_columns(table: str) -> list[str]:
-    return RAW_COLUMNS[table].split() + [f"{c}_clean" for c in _CLEAN[table][0]]
+    return RAW_COLUMNS[table] + [f"{c}_clean" for c in _CLEAN[table][0]]
 
 
 _FIRST = "abs(coalesce(payment_difference, bank_difference, 0))"
@@ -377,7 +371,7 @@ _MEAN = "CAST(sum(financial_impact) AS DOUBLE) / count(*) AS average_impact"
 
 def _all() -> dict[str, str]:
     q: dict[str, str] = {}
-    raw_payment = ", ".join(RAW_COLUMNS["payment_gateway"].split())
+    raw_payment = ", ".join(RAW_COLUMNS["payment_gateway"])
     match_columns = (
         "transaction_id gateway_transaction_id erp_customer_id erp_customer_name "
         "payment_customer_name entity_match_score entity_match_confidence erp_amount "
@@ -387,6 +381,8 @@ def _all() -> dict[str, str]:
     recon = _shown(RECONCILIATION_COLUMNS)
 
     q["a1_read_raw_csv"] = f"SELECT {raw_payment}, src_row FROM raw_payment_gateway"
+    for table, columns in RAW_COLUMNS.items():
+        q[f"a1_read_{table}"] = f"SELECT {', '.join(columns)}, src_row FROM raw_{table}"
     q["a2_read_staged_matches"] = f"SELECT {_shown(match_columns)} FROM entity_matches"
     q["a3_write_and_read_register"] = f"SELECT {register} FROM exception_register"
     q["a4_published_invoices"] = f"""SELECT customer_type, count(*) AS invoices,

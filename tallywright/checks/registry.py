@@ -15,11 +15,12 @@ from ..plans.stages import Stages
 from ..schemas import (
     ANOMALY_COLUMNS,
     ORDER_COLUMNS,
+    RAW_COLUMNS,
     RECONCILIATION_COLUMNS,
     REGISTER_COLUMNS,
 )
 from ..sources.derived import derive_sources
-from ..sources.tables import PUBLISHED, read_raw, table_counts, write_table
+from ..sources.tables import PUBLISHED, read_csv, read_raw, table_counts, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +98,21 @@ def _(s: Stages) -> DataFrame:
     return read_raw(s.spark, path, "payment_gateway")
 
 
+def _read_reordered(table: str):
+    """Written with the columns the other way round, read by name."""
+
+    def read(s: Stages) -> DataFrame:
+        raw = s.raw[table]
+        path = write_table(raw.select(*raw.columns[::-1]), _trial(s, f"csv_{table}"), "csv")
+        return read_raw(s.spark, path, table)
+
+    return read
+
+
+for _source in RAW_COLUMNS:
+    _named(f"a1_read_{_source}", _read_reordered(_source))
+
+
 @query("a2_read_staged_matches")
 def _(s: Stages) -> DataFrame:
     return s.matches.drop("src_row")
@@ -106,7 +122,7 @@ def _(s: Stages) -> DataFrame:
 def _(s: Stages) -> DataFrame:
     path = write_table(s.exceptions.select(*REGISTER_COLUMNS), _trial(s, "register"), "csv")
     schema = s.exceptions.select(*REGISTER_COLUMNS).schema
-    return s.spark.read.schema(schema).option("header", True).csv(path)
+    return read_csv(s.spark, path, schema)
 
 
 @query("a4_published_invoices")

@@ -20,6 +20,7 @@ from .anomaly import Moments, moments, standard_scale
 from .trees import NODES, decide, grow_tree
 
 SAMPLE = 256
+POOL = 65_536  # rows that the trees of a larger table draw from
 _HASHES = 2.0**64
 
 
@@ -35,30 +36,21 @@ def draw_samples(
 ) -> DataFrame:
     """``df`` with a column ``tree``: ``min(256, rows)`` rows per tree, without replacement.
 
-    Small tables are sampled anew for every tree. From larger ones a single hash per row draws all
-    samples at once, so that they do not overlap. A hash threshold keeps about twice the rows that
-    are needed, so only a bounded number of rows is ever ranked.
+    One way for every size: rows whose hash is below a share form a pool of about ``POOL`` rows (all
+    rows of a smaller table), and every tree draws its rows from the pool by a hash of its own. That
+    hash is cut at four times the share that a tree needs, so few rows are ranked.
     """
-    need = trees * SAMPLE
-    if rows <= 4 * need:
-        share = 1.0 if rows <= 4 * SAMPLE else 2.0 * SAMPLE / rows
-        drawn = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        drawn = drawn.withColumn("_h", F.xxhash64(F.lit(seed), "tree", *row_id)).where(
-            _hash_below(F.col("_h"), share)
-        )
-        w = Window.partitionBy("tree").orderBy("_h", *row_id)
-        ranked = drawn.withColumn("_rank", F.row_number().over(w))
-        return ranked.where(F.col("_rank") <= SAMPLE).drop("_h", "_rank")
-    drawn = df.withColumn("_h", F.xxhash64(F.lit(seed), *row_id)).where(
-        _hash_below(F.col("_h"), 2.0 * need / rows)
+    pool = df.where(
+        _hash_below(F.xxhash64(F.lit(seed), F.lit("pool"), *row_id), POOL / max(rows, 1))
     )
-    # about 2 * need rows reach this window, however large the table is
-    ranked = drawn.withColumn("_rank", F.row_number().over(Window.orderBy("_h", *row_id)) - 1)
-    return (
-        ranked.where(F.col("_rank") < need)
-        .withColumn("tree", F.floor(F.col("_rank") / SAMPLE).cast("int"))
-        .drop("_h", "_rank")
+    share = 4.0 * SAMPLE / max(1, min(rows, POOL))
+    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    drawn = drawn.withColumn("_h", F.xxhash64(F.lit(seed), "tree", *row_id)).where(
+        _hash_below(F.col("_h"), share)
     )
+    w = Window.partitionBy("tree").orderBy("_h", *row_id)
+    ranked = drawn.withColumn("_rank", F.row_number().over(w))
+    return ranked.where(F.col("_rank") <= SAMPLE).drop("_h", "_rank")
 
 
 @dataclass

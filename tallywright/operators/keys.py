@@ -71,20 +71,36 @@ def running_number(
     """Number the rows 1..n in (branch, row) order without a one-task sort.
 
     ``row`` is unique within ``branch``, so a bucket of ``width`` consecutive values holds at most
-    ``width`` rows. Buckets are numbered inside, and start behind the rows of all earlier buckets.
-    Bucket borders are plain arithmetic: a retried task sees the same ones.
+    ``width`` rows. Buckets are themselves put in buckets of ``width``, and those again: no window
+    sees more than ``width`` rows, however far the values of ``row`` are apart. Borders are plain
+    arithmetic, so a retried task sees the same ones.
     """
-    bucketed = df.withColumn("_bucket", F.floor(F.col(row) / F.lit(width)))
-    sizes = bucketed.groupBy(branch, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.orderBy(branch, "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        branch, "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
-    )
-    inside = Window.partitionBy(branch, "_bucket").orderBy(row)
+    levels = ["_b1", "_b2", "_b3"]
+    bucketed = df
+    for above, level in zip([row, *levels], levels):
+        bucketed = bucketed.withColumn(level, F.floor(F.col(above) / F.lit(width)))
+    sizes = bucketed.groupBy(branch, *levels).agg(F.count(F.lit(1)).alias("_size"))
+    starts = sizes.select(branch, *levels, F.lit(0).cast("bigint").alias("_start"))
+    for at, level in enumerate(levels):
+        outer = levels[at + 1 :]
+        if at:
+            sizes = sizes.groupBy(branch, *levels[at:]).agg(F.sum("_size").alias("_size"))
+        # the last window runs over the few outermost buckets of all branches
+        w = Window.partitionBy(branch, *outer).orderBy(level) if outer else Window.orderBy(branch, level)
+        before = F.sum("_size").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        offsets = sizes.select(
+            branch, *levels[at:], F.coalesce(before, F.lit(0)).alias("_offset")
+        )
+        starts = (
+            starts.join(offsets, [branch, *levels[at:]])
+            .withColumn("_start", F.col("_start") + F.col("_offset"))
+            .drop("_offset")
+        )
+    inside = Window.partitionBy(branch, *levels).orderBy(row)
     return (
-        bucketed.join(starts, [branch, "_bucket"])
+        bucketed.join(starts, [branch, *levels])
         .withColumn(name, F.col("_start") + F.row_number().over(inside))
-        .drop("_bucket", "_start")
+        .drop(*levels, "_start")
     )
 
 

@@ -98,6 +98,20 @@ class Stages:
         """Make stage tables known to SQL under their names."""
         publish(self.pick(names, forest), names)
 
+    def save_all(self, folder: str, fmt: str = "parquet") -> dict[str, str]:
+        """Write the nine published tables and the two reports to ``folder/<table>``."""
+        tables = self.pick(PUBLISHED) | {
+            "exception_table": self.exception_table(),
+            "transaction_table": self.transaction_table(),
+        }
+        return {n: write_table(df, f"{folder}/{n}", fmt) for n, df in tables.items()}
+
+    def close(self) -> None:
+        """Remove the folder of the stage tables; they cannot be read any more."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
     def pick(self, names: list[str], forest: bool = True) -> dict[str, DataFrame]:
         """Some of the published tables; only what is asked for is built."""
         build = {

@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import RAW_COLUMNS, raw_schema
 
@@ -22,6 +23,11 @@ PUBLISHED = [
 
 MAX_BLOCKS = 200_000
 
+# Quotes are doubled inside quoted fields; a row of the wrong width is an error.
+CSV = {"header": True, "quote": '"', "escape": '"'}
+CSV_IN = CSV | {"enforceSchema": False, "mode": "FAILFAST"}
+CSV_OUT = CSV | {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def with_src_row(scan: DataFrame) -> DataFrame:
     """Number the rows of a plain file scan in file order.
@@ -48,28 +54,61 @@ def with_src_row(scan: DataFrame) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv", ordered: bool = True):
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False):
+    """A CSV table whose columns are found by the names in its header, in any order.
+
+    A missing or unknown column raises, as do rows of the wrong width and files of one table whose
+    headers differ. Fields may be quoted and hold commas and doubled quotes. ``multi_line`` allows
+    line breaks in quoted fields too; files then cannot be split, so large ones should do without
+    (a row that is broken over lines raises).
+    """
+    options = CSV_IN | {"multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
+    if sorted(header) != sorted(schema.names):
+        missing, unknown = set(schema.names) - set(header), set(header) - set(schema.names)
+        raise ValueError(f"{path}: missing columns {sorted(missing)}, unknown {sorted(unknown)}")
+    as_found = StructType([schema[name] for name in header])
+    return spark.read.schema(as_found).options(**options).csv(path)
+
+
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    fmt: str = "csv",
+    ordered: bool = True,
+    multi_line: bool = False,
+):
     """One raw source, every column as text. Files without ``src_row`` are numbered on reading."""
     schema = raw_schema(table, with_order=ordered)
-    reader = spark.read.schema(schema)
-    df = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
-    return df if ordered else with_src_row(df)
+    if fmt == "csv":
+        df = read_csv(spark, path, schema, multi_line)
+    else:
+        df = spark.read.schema(schema).parquet(path)
+    return (df if ordered else with_src_row(df)).select(*RAW_COLUMNS[table], "src_row")
 
 
-def load_raw(spark: SparkSession, folder: str, fmt: str = "csv", ordered: bool = True):
+def load_raw(
+    spark: SparkSession,
+    folder: str,
+    fmt: str = "csv",
+    ordered: bool = True,
+    multi_line: bool = False,
+):
     """The five raw sources, each at ``folder/<table>``."""
-    return {t: read_raw(spark, f"{folder}/{t}", t, fmt, ordered) for t in RAW_COLUMNS}
+    return {t: read_raw(spark, f"{folder}/{t}", t, fmt, ordered, multi_line) for t in RAW_COLUMNS}
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None):
     """Write a table, replacing what was there."""
+    if partition_by:
+        # few files per value, and large values still split
+        df = df.hint("rebalance", partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if fmt == "csv":
-        writer.options(
-            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-        ).csv(path)
+        writer.options(**CSV_OUT).csv(path)
     else:
         writer.parquet(path)
     return path

@@ -118,16 +118,24 @@ def test_same_seed_same_forest_under_any_partitioning(spark, partitions):
     assert runs[0] == runs[1]
 
 
-@pytest.mark.parametrize("rows", [100, 1500, 30000])
+@pytest.mark.parametrize("rows", [100, 1500, 200_000])
 def test_samples(spark, rows):
-    """The last size takes the branch that draws all samples with one hash."""
     df = spark.range(rows).selectExpr("0 AS src_branch", "id AS src_row").cache()
     drawn = forest.draw_samples(df, ROW, rows, 20, 42).cache()
     sizes = {r.tree: r["count"] for r in drawn.groupBy("tree").count().collect()}
     assert sizes == dict.fromkeys(range(20), min(rows, 256))
     assert drawn.distinct().count() == drawn.count()
-    if rows == 30000:
-        assert drawn.select("src_row").distinct().count() == 20 * 256
+
+
+@pytest.mark.parametrize("rows", [300, 1024, 2000])
+def test_one_row_more_moves_few_flags(spark, rows, monkeypatch):
+    monkeypatch.setattr(forest, "POOL", 1024)
+    flags = []
+    for n in (rows, rows + 1):
+        df = points(spark, rows + 1).where(f"src_row < {n}").cache()
+        got = scores(df, forest.fit_forest(df, FEATURES, ROW, trees=100))
+        flags.append({i for i, s in got.items() if s < 0 and i < rows})
+    assert len(flags[0] ^ flags[1]) <= 0.05 * rows
 
 
 def test_path_length():

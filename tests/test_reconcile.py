@@ -14,7 +14,7 @@ from tallywright.schemas import ORDER_COLUMNS, RAW_COLUMNS, RECONCILIATION_COLUM
 
 from .test_functions import brute_lcs
 
-BLANK = {t: dict.fromkeys(c.split()) for t, c in RAW_COLUMNS.items()}
+BLANK = {t: dict.fromkeys(c) for t, c in RAW_COLUMNS.items()}
 
 
 def frame(spark, table, rows):

@@ -19,6 +19,43 @@ def test_csv_keeps_text_as_it_is(spark, tmp_path):
     assert raw.exceptAll(again).count() == again.exceptAll(raw).count() == 0
 
 
+CUSTOMER = RAW_COLUMNS["customer_master"]
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "i.csv").write_text(
+        "customer_id,invoice_id,net_amount,discount,tax,invoice_amount,invoice_date\n"
+        "CUST1,INV1,4,3,2,1,2026-01-02\n"
+    )
+    raw = read_raw(spark, str(tmp_path / "i.csv"), "invoice", ordered=False).drop("src_row")
+    assert [tuple(r) for r in raw.collect()] == [("INV1", "CUST1", "2026-01-02", "1", "2", "3", "4")]
+
+
+def test_wrong_headers_and_rows_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("invoice_id,customer_id\n1,2\n")
+    with pytest.raises(ValueError, match="missing columns .*discount"):
+        read_raw(spark, str(tmp_path / "a.csv"), "invoice", ordered=False)
+    head = ",".join(CUSTOMER)
+    (tmp_path / "b.csv").write_text(f"{head}\nC1,name,e,p\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        read_raw(spark, str(tmp_path / "b.csv"), "customer_master", ordered=False).collect()
+
+
+def test_quoted_fields_keep_commas_quotes_and_line_breaks(spark, tmp_path):
+    head = ",".join(CUSTOMER)
+    row = 'C1,"Al ""Ace"", Ltd",a@b.c,1,"12 A\nRoad",X,Y,Z,2026-01-01'
+    (tmp_path / "c.csv").write_text(f"{head}\n{row}\n")
+    path = str(tmp_path / "c.csv")
+    got = read_raw(spark, path, "customer_master", ordered=False, multi_line=True)
+    want = ("C1", 'Al "Ace", Ltd', "a@b.c", "1", "12 A\nRoad", "X", "Y", "Z", "2026-01-01")
+    assert [tuple(r)[:9] for r in got.collect()] == [want]
+    again = write_table(got.drop("src_row"), str(tmp_path / "d"), "csv")
+    back = read_raw(spark, again, "customer_master", ordered=False, multi_line=True)
+    assert [tuple(r)[:9] for r in back.collect()] == [want]
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        read_raw(spark, path, "customer_master", ordered=False).collect()
+
+
 def test_writing_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.range(5), path)
@@ -27,7 +64,7 @@ def test_writing_replaces(spark, tmp_path):
 
 
 def test_rows_of_plain_files_are_numbered_in_file_order(spark, tmp_path):
-    columns = RAW_COLUMNS["bank_transactions"].split()
+    columns = RAW_COLUMNS["bank_transactions"]
     n = 0
     folder = tmp_path / "bank_transactions"
     folder.mkdir()
@@ -81,6 +118,19 @@ def test_exceptions_are_read_by_partition(spark):
     assert "ReadSchema: struct<store_id:string>" in plan
 
 
+def test_stages_are_saved_and_removed(spark, tmp_path):
+    s = Stages(spark, raw_tables(spark, FOLDER))
+    n = s.exceptions.count()
+    saved = s.save_all(str(tmp_path / "all"))
+    assert len(saved) == 11
+    assert spark.read.parquet(saved["exception_register"]).count() == n
+    here = s.folder.removeprefix("file:")
+    parts = [f for _, _, fs in os.walk(f"{here}/reconciliation") for f in fs if f.endswith(".parquet")]
+    assert len(parts) <= 2 * 10
+    s.close()
+    assert not os.path.exists(here)
+
+
 def test_missing_sources_fail(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         load_raw(spark, str(tmp_path / "nowhere"))
