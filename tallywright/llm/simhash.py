@@ -141,8 +141,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
         .join(parts, "component")
         .select("fp", "least")
     )
-    classes = prints.join(least, "fp", "left").select(
-        "fp", F.coalesce("least", "first").alias("least")
+    # written, so that the join of a fingerprint with very many rows can be split
+    classes = scratch(
+        prints.join(least, "fp", "left").select("fp", F.coalesce("least", "first").alias("least")),
+        "classes",
     )
     return hashed.join(classes, "fp").select(
         KEY,
