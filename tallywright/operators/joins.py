@@ -1,11 +1,12 @@
 """Equi joins that survive a key holding a large share of the rows.
 
 Every lookup here joins many left rows to at most one right row per key. The heavy keys of the left
-side are found by one mergeable frequent-items sketch (a single narrow pass, a few kilobytes of
-result). Left rows of a heavy key are dealt over as many salts as its share of the rows asks for,
-and the one right row of that key is repeated per salt. The sketch only decides the salting: results
-do not depend on it. At most ``MAX_HEAVY`` keys can be heavy, so the repeated right rows are bounded
-by MAX_HEAVY plus twice the number of shuffle partitions.
+side are found by one mergeable frequent-items sketch (a single narrow pass, some kilobytes of
+result). Left rows of a heavy key, and those without a key, are dealt over all partitions and find
+their right row in a broadcast of the heavy keys' right rows: ``MAX_HEAVY`` and one at most, whatever
+the tables hold. All others meet their right row on the plain key, so a right side that is one row
+per key by an aggregation or a window keeps the partitioning that this left. The sketch only decides
+which way a row goes: results do not depend on it.
 """
 
 from functools import reduce
@@ -13,29 +14,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HEAVY = 256
+MAX_HEAVY = 1024
 MIN_ROWS = 10_000
-_TRACKED = 2048
+_TRACKED = 8192
 _MERGERS = 256
+_DEALT = 1 << 20
 
-# Stands for null on the left side, so that null keys are dealt out like any heavy key. It equals
-# no real key, and right sides hold no null: null never matches.
-NULL_KEY = "\u0000null"
 
+def heavy_keys(df: DataFrame, key: str) -> DataFrame:
+    """The heavy keys and null, as column ``_heavy``.
 
-def join_key(c: str | Column) -> Column:
-    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(NULL_KEY))
-
-
-def heavy_keys(df: DataFrame, key: str) -> Column:
-    """Map of heavy key to number of salts, as a scalar subquery.
-
-    Heavy is a key with at least ``MIN_ROWS`` rows and one row in ``MAX_HEAVY``.
+    Heavy is a key with at least ``MIN_ROWS`` rows that fill a quarter of a mean shuffle partition,
+    or a ``MAX_HEAVY``th of the table where partitions are very many.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text = df.schema[key].dataType.simpleString() == "string"
     # one row more, as sketches of no rows cannot be merged
-    rows = df.select(join_key(key).alias("k")).union(spark.range(1).select(F.lit(NULL_KEY)))
+    one = F.lit("") if text else F.lit(0).cast(df.schema[key].dataType)
+    rows = df.select(F.col(key).alias("k")).where("k IS NOT NULL")
+    rows = rows.union(spark.range(1).select(one.alias("k")))
     # two rounds, so that no task merges the sketches of all scan tasks
     sketches = (
         rows.withColumn("merger", F.pmod(F.spark_partition_id(), F.lit(_MERGERS)))
@@ -49,39 +47,37 @@ def heavy_keys(df: DataFrame, key: str) -> Column:
         F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"),
         F.sum("n").alias("n"),
     ).select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HEAVY})").alias("top"), "n")
-    heavy = F.filter(
-        "top", lambda x: x["count"] >= F.greatest(F.lit(MIN_ROWS), F.col("n") / MAX_HEAVY)
-    )
-    salts = F.transform(
-        heavy,
-        lambda x: F.struct(
-            x["item"].alias("key"),
-            F.least(F.lit(parts), F.ceil(x["count"] * (2.0 * parts) / F.col("n")))
-            .cast("int")
-            .alias("value"),
-        ),
+    bar = F.greatest(F.lit(MIN_ROWS), F.col("n") / min(MAX_HEAVY, 4 * parts))
+    heavy = F.transform(F.filter("top", lambda x: x["count"] >= bar), lambda x: x["item"])
+    return top.select(F.explode(F.array_append(heavy, F.lit(None))).alias("_heavy"))
+
+
+def deal(df: DataFrame, key: str, heavy: DataFrame, row_id: list[str]) -> DataFrame:
+    """Add ``_dealt``, whether the key is heavy or null, and ``_key``, which is the key or, for
+    dealt rows, a number from ``row_id``, which names a unique row number."""
+    marked = df.join(F.broadcast(heavy), F.col(key).eqNullSafe(F.col("_heavy")), "left")
+    kind = df.schema[key].dataType
+    # a null and a missing heavy key look alike in ``_heavy``
+    dealt = F.col(key).isNull() | F.col("_heavy").isNotNull()
+    spread = F.pmod(F.xxhash64(*row_id), F.lit(_DEALT)).cast(kind)
+    return (
+        marked.withColumn("_dealt", dealt)
+        .withColumn("_key", F.when(F.col("_dealt"), spread).otherwise(F.col(key)))
+        .drop("_heavy")
     )
-    return top.select(F.map_from_entries(salts).alias("salts")).scalar()
 
 
-def _salts(heavy: Column) -> Column:
-    return F.coalesce(F.try_element_at(heavy, F.col("_key")), F.lit(1))
-
-
-def deal(df: DataFrame, key: str, heavy: Column, row_id: list[str]) -> DataFrame:
-    """Add ``_key`` and ``_salt`` to the many-rows side; ``row_id`` names a unique row number."""
-    keyed = df.withColumn("_key", join_key(key)).withColumn("_salt", _salts(heavy))
-    return keyed.withColumn(
-        "_salt",
-        F.when(F.col("_salt") > 1, F.pmod(F.xxhash64(*row_id), F.col("_salt")))
-        .otherwise(F.lit(0))
-        .cast("int"),
+def heavy_rows(right: DataFrame, heavy: DataFrame) -> DataFrame:
+    """The rows of a one-row-per-``_key`` side whose key is heavy or null."""
+    return right.join(
+        F.broadcast(heavy), F.col("_key").eqNullSafe(F.col("_heavy")), "left_semi"
     )
 
 
-def repeat(df: DataFrame, heavy: Column) -> DataFrame:
-    """Repeat the rows of a one-row-per-``_key`` side, once per salt of the key."""
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), _salts(heavy) - 1)))
+def _named(right: DataFrame, prefix: str) -> DataFrame:
+    """All columns under names of their own, and whether there is a row."""
+    named = [F.col(c).alias(f"{prefix}{c}") for c in right.columns]
+    return right.select(*named, F.lit(True).alias(f"{prefix}_found"))
 
 
 def look_up(
@@ -94,13 +90,29 @@ def look_up(
 ) -> DataFrame:
     """Join ``left`` to each of ``rights``; each right has a unique column ``_key``.
 
-    All joins use the same (key, salt) partitioning, so ``left`` is shuffled once. ``profile`` is
-    the table to take the sketch from, where that is cheaper to scan than ``left``.
+    A null key matches a right row whose ``_key`` is null, if there is one. ``how`` is left, inner or
+    left_anti (found in none of ``rights``). All joins use the same key, so ``left`` is shuffled once.
+    ``profile`` is the table to take the sketch from, where that is cheaper to scan than ``left``.
     """
-    source = left if profile is None else profile
-    heavy = heavy_keys(source, key)
-    dealt = deal(left, key, heavy, row_id)
-    joined = reduce(
-        lambda acc, right: acc.join(repeat(right, heavy), ["_key", "_salt"], how), rights, dealt
-    )
-    return joined.drop("_key", "_salt")
+    if how not in ("left", "inner", "left_anti"):
+        raise ValueError(f"how must be left, inner or left_anti, not {how}")
+    heavy = heavy_keys(left if profile is None else profile, key)
+    rows = deal(left, key, heavy, row_id)
+    found: list[Column] = []
+    columns: list[Column] = []
+    for i, right in enumerate(rights):
+        plain = _named(right, f"_p{i}_")
+        meets = (F.col("_key") == F.col(f"_p{i}__key")) & ~F.col("_dealt")
+        rows = rows.join(plain, meets, "left")
+    for i, right in enumerate(rights):
+        few = _named(heavy_rows(right, heavy), f"_h{i}_")
+        rows = rows.join(F.broadcast(few), F.col(key).eqNullSafe(F.col(f"_h{i}__key")), "left")
+        found.append(F.col(f"_p{i}__found").isNotNull() | F.col(f"_h{i}__found").isNotNull())
+        columns += [
+            F.coalesce(f"_p{i}_{c}", f"_h{i}_{c}").alias(c) for c in right.columns if c != "_key"
+        ]
+    if how == "left_anti":
+        return rows.where(~reduce(lambda a, b: a | b, found)).select(*left.columns)
+    if how == "inner":
+        rows = rows.where(reduce(lambda a, b: a & b, found))
+    return rows.select(*left.columns, *columns)

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import join_key, look_up
+from .joins import look_up
 
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -41,7 +41,7 @@ def repeated_keys(df: DataFrame, key: str, keep: Column | None = None) -> DataFr
     """
     lead = F.lit(None).cast("string") if keep is None else F.min_by(keep, F.col("src_row"))
     return (
-        df.groupBy(join_key(key).alias("_key"))
+        df.groupBy(F.col(key).alias("_key"))
         .agg(F.count(F.lit(1)).alias("copies"), lead.alias("lead"))
         .where("copies > 1")
     )

@@ -76,30 +76,36 @@ def first_payments(payment: DataFrame) -> DataFrame:
     )
 
 
-def match_transactions(erp: DataFrame, payment: DataFrame) -> DataFrame:
-    """One row per ledger row: the payment found for it, the score and its band."""
-    pairs = look_up(erp, "transaction_id", [first_payments(payment)], ["src_row"])
+def score_pairs(pairs: DataFrame) -> DataFrame:
+    """Ledger rows with the payment found for them: adds ``own_score`` and ``own_band``."""
     found = F.col("p_found").isNotNull()
-    scored = pairs.withColumn(
-        "entity_match_score",
-        F.when(found, match_score(evidence(), evidence("p_"))).otherwise(F.lit(0.0)),
-    )
+    score = F.when(found, match_score(evidence(), evidence("p_"))).otherwise(F.lit(0.0))
+    band = F.when(found, match_band(F.col("own_score"))).otherwise("NO_MATCH")
+    return pairs.withColumn("own_score", score).withColumn("own_band", band)
+
+
+def match_table(scored: DataFrame) -> DataFrame:
+    """The match table's columns of scored pairs."""
     return scored.select(
         "transaction_id",
         F.col("p_gateway_transaction_id").alias("gateway_transaction_id"),
         F.col("customer_id").alias("erp_customer_id"),
         F.col("customer_name").alias("erp_customer_name"),
         F.col("p_customer_name").alias("payment_customer_name"),
-        "entity_match_score",
-        F.when(found, match_band(F.col("entity_match_score")))
-        .otherwise("NO_MATCH")
-        .alias("entity_match_confidence"),
+        F.col("own_score").alias("entity_match_score"),
+        F.col("own_band").alias("entity_match_confidence"),
         F.col("amount").alias("erp_amount"),
         F.col("p_amount").alias("payment_amount"),
         "src_row",
     )
 
 
+def match_transactions(erp: DataFrame, payment: DataFrame) -> DataFrame:
+    """One row per ledger row: the payment found for it, the score and its band."""
+    pairs = look_up(erp, "transaction_id", [first_payments(payment)], ["src_row"])
+    return match_table(score_pairs(pairs))
+
+
 def match_bands(matches: DataFrame) -> DataFrame:
     """Rows per band and their mean score."""
     return matches.groupBy("entity_match_confidence").agg(

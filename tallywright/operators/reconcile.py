@@ -7,7 +7,7 @@ from ..functions import DIFF, MONEY, whole_days_between
 from ..schemas import ORDER_COLUMNS, RECONCILIATION_COLUMNS
 from .joins import look_up
 from .keys import first_per_key, repeated_keys
-from .matching import evidence, first_payments, match_band, match_score
+from .matching import evidence, first_payments, match_band, match_score, score_pairs
 
 
 def status_of(
@@ -48,52 +48,51 @@ def settled_payments(payment: DataFrame, bank: DataFrame) -> DataFrame:
     ).withColumnRenamed("p_reference", "_key")
 
 
-def reconcile_transactions(
-    erp: DataFrame, payment: DataFrame, bank: DataFrame, matches: DataFrame | None = None
-) -> DataFrame:
-    """One row per ledger row, in the twenty reconciliation columns plus the row order.
+def scored_pairs(erp: DataFrame, payment: DataFrame, bank: DataFrame) -> DataFrame:
+    """One row per ledger row with its payment, bank row, number of copies and scores.
 
-    Copies of an id share the score of its first copy. Without ``matches`` that score is computed
-    here, on the row pair at hand; with it, the first match per id is looked up.
+    ``own_score`` belongs to the row, ``entity_match_score`` to the first copy of its id. The two
+    are scored apart only where a copy differs from the first in what is compared.
     """
-    lead = F.struct("customer_name_clean", "email_clean", "amount")
-    repeated = repeated_keys(erp, "transaction_id", None if matches is not None else lead)
-    rights = [repeated, settled_payments(payment, bank)]
-    if matches is not None:
-        rights.append(
-            first_per_key(matches, "transaction_id", ["src_row"]).select(
-                F.col("transaction_id").alias("_key"),
-                F.col("entity_match_score").alias("m_score"),
-                F.col("entity_match_confidence").alias("m_band"),
-            )
-        )
-    rows = look_up(erp, "transaction_id", rights, ["src_row"])
+    compared = list(evidence().values())
+    repeated = repeated_keys(erp, "transaction_id", F.struct(*compared))
+    rows = look_up(erp, "transaction_id", [repeated, settled_payments(payment, bank)], ["src_row"])
+    differs = F.lit(False)
+    for c in compared:
+        differs = differs | ~F.col(c).eqNullSafe(F.col(f"lead.{c}"))
+    apart = F.col("copies").isNotNull() & F.col("p_found").isNotNull() & differs
+    scored = score_pairs(rows).withColumns({f"first_{c}": F.col(f"lead.{c}") for c in compared})
+    score = F.when(apart, match_score(evidence("first_"), evidence("p_")))
+    band = F.when(apart, match_band(F.col("entity_match_score")))
+    return (
+        scored.withColumn("entity_match_score", score.otherwise(F.col("own_score")))
+        .withColumn("entity_match_confidence", band.otherwise(F.col("own_band")))
+        .drop("lead", *[f"first_{c}" for c in compared])
+    )
 
+
+def pairs_from_matches(
+    erp: DataFrame, payment: DataFrame, bank: DataFrame, matches: DataFrame
+) -> DataFrame:
+    """The same with the first score per id looked up in a match table."""
+    first = first_per_key(matches, "transaction_id", ["src_row"]).select(
+        F.col("transaction_id").alias("_key"),
+        "entity_match_score",
+        "entity_match_confidence",
+    )
+    rights = [repeated_keys(erp, "transaction_id"), settled_payments(payment, bank), first]
+    return look_up(erp, "transaction_id", rights, ["src_row"]).fillna(
+        {"entity_match_score": 0.0, "entity_match_confidence": "NO_MATCH"}
+    )
+
+
+def reconcile_pairs(pairs: DataFrame) -> DataFrame:
+    """The reconciliation columns and the row order of scored pairs."""
     is_copy = F.col("copies").isNotNull()
     paid = F.col("p_found").isNotNull()
     settled = F.col("b_found").isNotNull()
-    if matches is None:
-        # the first copy speaks for all copies
-        first = {
-            f"first_{c}": F.when(is_copy, F.col(f"lead.{c}")).otherwise(F.col(c))
-            for c in evidence().values()
-        }
-        score = match_score(evidence("first_"), evidence("p_"))
-        rows = rows.withColumns(first).withColumn(
-            "entity_match_score", F.when(paid, score).otherwise(F.lit(0.0))
-        )
-        band = F.when(paid, match_band(F.col("entity_match_score"))).otherwise("NO_MATCH")
-        rows = rows.withColumn("entity_match_confidence", band)
-    else:
-        rows = rows.withColumns(
-            {
-                "entity_match_score": F.coalesce("m_score", F.lit(0.0)),
-                "entity_match_confidence": F.coalesce("m_band", F.lit("NO_MATCH")),
-            }
-        )
-
     days = whole_days_between(F.col("transaction_date"), F.col("p_transaction_date"))
-    full = rows.withColumns(
+    full = pairs.withColumns(
         {
             "erp_transaction_date": F.col("transaction_date"),
             "erp_amount": F.col("amount"),
@@ -122,6 +121,19 @@ def reconcile_transactions(
     return full.select(*RECONCILIATION_COLUMNS, *ORDER_COLUMNS)
 
 
+def reconcile_transactions(
+    erp: DataFrame, payment: DataFrame, bank: DataFrame, matches: DataFrame | None = None
+) -> DataFrame:
+    """One row per ledger row, in the twenty reconciliation columns plus the row order.
+
+    Copies of an id share the score of its first copy. Without ``matches`` that score is computed
+    here, on the row pair at hand; with it, the first match per id is looked up.
+    """
+    if matches is None:
+        return reconcile_pairs(scored_pairs(erp, payment, bank))
+    return reconcile_pairs(pairs_from_matches(erp, payment, bank, matches))
+
+
 def unexpected_payments(payment: DataFrame, erp: DataFrame) -> DataFrame:
     """Every payment whose reference is null or no ledger id, in reconciliation columns."""
     ids = erp.select(F.col("transaction_id").alias("_key")).where("_key IS NOT NULL").distinct()

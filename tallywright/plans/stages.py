@@ -41,17 +41,23 @@ class Stages:
         c = self.cleaned
         return c["erp_transactions"], c["payment_gateway"], c["bank_transactions"]
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """Ledger rows with payment, bank row and scores; scored once for all that follows."""
+        return self._stage("ledger_pairs", reconcile.scored_pairs(*self.ledger))
+
     @cached_property
     def matches(self) -> DataFrame:
-        erp, payment, _ = self.ledger
-        return self._stage("entity_matches", matching.match_transactions(erp, payment))
+        return self._stage("entity_matches", matching.match_table(self.pairs))
 
     @cached_property
     def reconciliation(self) -> DataFrame:
         """Partitioned by status: most reports read the exceptions only."""
-        return self._stage(
-            "reconciliation", reconcile.reconcile(*self.ledger), "reconciliation_status"
+        erp, payment, _ = self.ledger
+        rows = reconcile.add_unexpected_payments(
+            reconcile.reconcile_pairs(self.pairs), payment, erp
         )
+        return self._stage("reconciliation", rows, "reconciliation_status")
 
     @cached_property
     def exceptions(self) -> DataFrame:

@@ -56,47 +56,83 @@ def test_running_number_over_many_buckets(spark, partitions, shuffle):
     assert {(r.src_branch, r.src_row): r.n for r in got} == want
 
 
-def heavy_map(spark, df, key):
-    return spark.range(1).select(joins.heavy_keys(df, key).alias("m")).first().m
+def heavy_set(df, key):
+    return {r["_heavy"] for r in joins.heavy_keys(df, key).collect()}
 
 
-def test_heavy_keys_are_found_and_bounded(spark, low_bar):
+def test_heavy_keys_are_found_and_null_is_one(spark, low_bar):
     ids = ["hot"] * 1000 + [None] * 500 + [str(i) for i in range(1500)]
     df = spark.createDataFrame([(k,) for k in ids], "k string")
-    found = heavy_map(spark, df, "k")
-    assert set(found) == {"hot", joins.NULL_KEY}
-    assert found["hot"] == 3  # a third of the rows over 4 partitions, twice as fine
+    assert heavy_set(df, "k") == {"hot", None}
+
+
+def test_a_key_of_a_three_hundredth_is_heavy_where_partitions_are_many(spark, low_bar, partitions):
+    df = spark.range(60_000).selectExpr("IF(id % 300 = 0, -1, id) AS k")
+    partitions(200)
+    assert heavy_set(df, "k") == {-1, None}
+    partitions(8)  # a few partitions would not notice it
+    assert heavy_set(df, "k") == {None}
 
 
 def test_no_heavy_keys_in_a_small_table(spark):
-    df = spark.createDataFrame([("a",)] * 100, "k string")
-    assert heavy_map(spark, df, "k") == {}
+    assert heavy_set(spark.createDataFrame([("a",)] * 100, "k string"), "k") == {None}
+    assert heavy_set(spark.createDataFrame([], "k string"), "k") == {None}
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
 def test_look_up_gives_what_a_plain_join_gives(spark, low_bar, how):
     ids = ["hot"] * 400 + ["warm"] * 100 + [None] * 300 + [str(i % 150) for i in range(300)]
+    ids += ["\0null"] * 3  # a text like any other
     left = spark.createDataFrame([(k, i) for i, k in enumerate(ids)], "k string, src_row long")
-    names = ["hot", *map(str, range(0, 150, 2)), "unused"]
+    names = ["hot", *map(str, range(0, 150, 2)), "unused", "\0null"]
     right = spark.createDataFrame([(k, f"v{k}") for k in names], "_key string, v string")
     got = joins.look_up(left, "k", [right], ["src_row"], how=how)
     want = left.join(right, left.k == right["_key"], how).drop("_key")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_a_heavy_key_is_dealt_over_several_partitions(spark, low_bar, partitions):
+def test_a_null_key_finds_the_right_row_without_key(spark):
+    left = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, src_row long")
+    right = spark.createDataFrame([(None, "none"), ("a", "A")], "_key string, v string")
+    got = joins.look_up(left, "k", [right], ["src_row"])
+    assert {tuple(r) for r in got.collect()} == {(None, 1, "none"), ("a", 2, "A"), ("b", 3, None)}
+
+
+def test_a_heavy_key_is_dealt_over_many_keys(spark, low_bar, partitions):
     partitions(8)
     left = spark.range(4000).selectExpr("'hot' AS k", "id AS src_row")
-    heavy = joins.heavy_keys(left, "k")
-    dealt = joins.deal(left, "k", heavy, ["src_row"]).groupBy("_salt").count().collect()
-    assert len(dealt) == 8 and max(r["count"] for r in dealt) < 800
+    dealt = joins.deal(left, "k", joins.heavy_keys(left, "k"), ["src_row"])
+    assert dealt.select("_key").distinct().count() > 3900
+    assert dealt.where("_dealt").count() == 4000
 
 
-def test_right_sides_are_repeated_only_for_heavy_keys(spark, low_bar):
+def test_only_right_rows_of_heavy_keys_are_broadcast(spark, low_bar):
     left = spark.createDataFrame(
         [("hot", i) for i in range(300)] + [(str(i), i) for i in range(600)], "k string, n long"
     )
-    heavy = joins.heavy_keys(left, "k")
     right = spark.createDataFrame([("hot",), ("1",), ("2",)], "_key string")
-    counts = {r["_key"]: r["count"] for r in joins.repeat(right, heavy).groupBy("_key").count().collect()}
-    assert counts["hot"] > 1 and counts["1"] == counts["2"] == 1
+    kept = joins.heavy_rows(right, joins.heavy_keys(left, "k"))
+    assert [r["_key"] for r in kept.collect()] == ["hot"]
+
+
+def test_one_exchange_for_each_side(spark):
+    """A right side of one row per key is not shuffled again; nor is the left for a second right."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = spark.range(1000).selectExpr("id % 700 AS k", "id AS src_row")
+        right = spark.range(900).selectExpr("id % 500 AS k", "id AS src_row", "id AS v")
+        first = keys.first_per_key(right, "k", ["src_row"]).selectExpr("k AS _key", "v")
+        twice = keys.repeated_keys(left, "k").select("_key", "copies")
+        got = joins.look_up(left, "k", [first, twice], ["src_row"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        # by key: left, first rows, copies, and the few rows of the last two that are broadcast
+        shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "merger" not in x]
+        joined = [x for x in plan.splitlines() if "SortMergeJoin" in x]
+        assert len(joined) == 2
+        assert len(shuffles) == 5
+        assert sum("_key" in x for x in shuffles) == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
