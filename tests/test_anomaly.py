@@ -56,6 +56,14 @@ def test_z_uses_the_sample_deviation_and_iqr_is_strict(spark):
     assert [x for x, _, f in z_and_iqr(spark, [*exact[:-2], 10.01, -6]) if f] == [10.01]
 
 
+@pytest.mark.parametrize("parts", [1, 200])
+def test_a_value_at_the_bound_is_flagged_under_any_partitioning(spark, parts):
+    # two values 30 cents from a mean of 100.10, whose sample deviation is 10 cents
+    df = amounts(spark, [100.1] * 17 + [100.4, 99.8]).repartition(parts).cache()
+    got = df.select("x", anomaly.z_score(df, "x").alias("z")).collect()
+    assert sorted(r.z for r in got if r.z) == [-3.0, 3.0]
+
+
 def test_scaling(spark):
     df = amounts(spark, [1, 2, 3, 6]).withColumn("c", F.lit(7))
     got = anomaly.standard_scale(df, ["x", "c"]).toPandas()
