@@ -383,6 +383,9 @@ def _all() -> dict[str, str]:
     q["a1_read_raw_csv"] = f"SELECT {raw_payment}, src_row FROM raw_payment_gateway"
     for table, columns in RAW_COLUMNS.items():
         q[f"a1_read_{table}"] = f"SELECT {', '.join(columns)}, src_row FROM raw_{table}"
+    bank = ", ".join(RAW_COLUMNS["bank_transactions"])
+    q["a1_number_plain_files"] = f"""SELECT {bank}, row_number() OVER (ORDER BY src_row) AS row_no
+        FROM raw_bank_transactions"""
     q["a2_read_staged_matches"] = f"SELECT {_shown(match_columns)} FROM entity_matches"
     q["a3_write_and_read_register"] = f"SELECT {register} FROM exception_register"
     q["a4_published_invoices"] = f"""SELECT customer_type, count(*) AS invoices,

@@ -115,6 +115,19 @@ for _source in RAW_COLUMNS:
     _named(f"a1_read_{_source}", _read_reordered(_source))
 
 
+@query("a1_number_plain_files")
+def _(s: Stages) -> DataFrame:
+    """Bank rows from files without row numbers, counted in file order."""
+    raw = s.raw["bank_transactions"]
+    sorted_rows = raw.repartitionByRange(5, "src_row").sortWithinPartitions("src_row")
+    path = write_table(sorted_rows.drop("src_row"), _trial(s, "plain_bank"), "csv")
+    numbered = read_raw(s.spark, path, "bank_transactions", ordered=False)
+    counted = keys.running_number(
+        numbered.withColumn("src_branch", F.lit(0)), "src_branch", "src_row", "row_no"
+    )
+    return counted.select(*RAW_COLUMNS["bank_transactions"], "row_no")
+
+
 @query("a2_read_staged_matches")
 def _(s: Stages) -> DataFrame:
     return s.matches.drop("src_row")

@@ -21,7 +21,7 @@ PUBLISHED = [
     "anomaly_detection",
 ]
 
-MAX_BLOCKS = 200_000
+_PLACE_BITS = 40
 
 # Quotes are doubled inside quoted fields; a row of the wrong width is an error.
 CSV = {"header": True, "quote": '"', "escape": '"'}
@@ -29,28 +29,40 @@ CSV_IN = CSV | {"enforceSchema": False, "mode": "FAILFAST"}
 CSV_OUT = CSV | {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def with_src_row(scan: DataFrame) -> DataFrame:
-    """Number the rows of a plain file scan in file order.
+def with_src_row(scan: DataFrame, path: str, fmt: str) -> DataFrame:
+    """Number the rows of a plain file scan in file order, in one pass over the files.
 
-    File and block give the coarse order, the position inside the scan task the fine one. There are
-    at most as many blocks as scan tasks and files together. Up to ``MAX_BLOCKS`` the table of
-    blocks is broadcast; beyond, the join is left to Spark.
+    The number is the file's rank by path and the row's place in the file: its row index in Parquet,
+    in CSV the start of the block that holds it plus its place in the scan task. A row takes a byte
+    at least and a task starts with any block that is not its file's last, so places rise through
+    a file; a scan that packs its blocks in another way raises. Only paths are ranked.
     """
-    block = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"))
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = scan.select("*", block.alias("_block"), place.alias("_place"))
-    numbered = (
-        scan.select(block.alias("_block"))
-        .distinct()
-        .withColumn("_no", F.row_number().over(Window.orderBy("_block")) - 1)
+    spark, meta = scan.sparkSession, F.col("_metadata")
+    files = (
+        spark.read.format("binaryFile")
+        .load(path)
+        .select(F.col("_metadata.file_path").alias("_file"))
+        .withColumn("_no", F.row_number().over(Window.orderBy("_file")).cast("bigint") - 1)
     )
-    if scan.rdd.getNumPartitions() + len(scan.inputFiles()) <= MAX_BLOCKS:
-        numbered = F.broadcast(numbered)
-    number = F.shiftleft(F.col("_no").cast("bigint"), 33) + F.col("_place")
+    if fmt == "parquet":
+        place = meta["row_index"]
+    else:
+        inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        start, length = meta["file_block_start"], meta["file_block_length"]
+        ends = start + length >= meta["file_size"]
+        place = F.when(ends | (inside < length), start + inside).otherwise(
+            F.raise_error(F.lit("file blocks are packed out of order; rows cannot be numbered"))
+        )
+    placed = scan.select("*", meta["file_path"].alias("_path"), place.alias("_place"))
+    fits = (F.col("_no") < 1 << 23) & (F.col("_place") < 1 << _PLACE_BITS)
+    number = F.when(fits, F.shiftleft(F.col("_no"), _PLACE_BITS) + F.col("_place")).otherwise(
+        F.raise_error(F.lit("more than 2^23 files, or a file of more than 2^40 bytes"))
+    )
+    # a path per file, 2^23 at most; the size of the list decides how it is joined
     return (
-        placed.join(numbered, "_block")
+        placed.join(files, F.col("_path") == F.col("_file"))
         .withColumn("src_row", number)
-        .drop("_block", "_place", "_no")
+        .drop("_path", "_file", "_place", "_no")
     )
 
 
@@ -85,7 +97,7 @@ def read_raw(
         df = read_csv(spark, path, schema, multi_line)
     else:
         df = spark.read.schema(schema).parquet(path)
-    return (df if ordered else with_src_row(df)).select(*RAW_COLUMNS[table], "src_row")
+    return (df if ordered else with_src_row(df, path, fmt)).select(*RAW_COLUMNS[table], "src_row")
 
 
 def load_raw(

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallywright.checks.registry import raw_tables
 from tallywright.plans.stages import Stages, from_files
@@ -63,28 +64,45 @@ def test_writing_replaces(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_rows_of_plain_files_are_numbered_in_file_order(spark, tmp_path):
+@pytest.mark.parametrize("block", ["150", "20000", "100000000"])
+def test_rows_of_plain_files_are_numbered_in_file_order(spark, tmp_path, block):
     columns = RAW_COLUMNS["bank_transactions"]
     n = 0
     folder = tmp_path / "bank_transactions"
     folder.mkdir()
     for part in range(3):
         lines = [",".join(columns)]
-        for _ in range(2000 * (part + 1)):
+        for _ in range((30 if block == "150" else 2000) * (part + 1)):
             lines.append(",".join([f"B{n:06d}", *[""] * (len(columns) - 1)]))
             n += 1
         (folder / f"part-{part}.csv").write_text("\n".join(lines) + "\n")
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
     try:
-        got = read_raw(spark, str(folder), "bank_transactions", ordered=False).collect()
+        for name, value in zip(names, (block, "1")):
+            spark.conf.set(name, value)
+        numbered = read_raw(spark, str(folder), "bank_transactions", ordered=False)
+        got = numbered.collect()
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("== Initial Plan ==")[0]
+    assert initial.count("FileScan csv") == initial.count("FileScan binaryFile") == 1
     ordered = [r.bank_transaction_id for r in sorted(got, key=lambda r: r.src_row)]
     assert ordered == [f"B{i:06d}" for i in range(n)]
     assert len({r.src_row for r in got}) == n
 
 
+def test_rows_of_parquet_files_are_numbered_in_file_order(spark, tmp_path):
+    columns = [F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS["bank_transactions"][1:]]
+    rows = spark.range(0, 3000, 1, 4).select(F.format_string("B%06d", "id").alias("bank_transaction_id"), *columns)
+    path = write_table(rows, str(tmp_path / "b"))
+    got = read_raw(spark, path, "bank_transactions", "parquet", ordered=False).collect()
+    ordered = [r.bank_transaction_id for r in sorted(got, key=lambda r: r.src_row)]
+    assert ordered == [f"B{i:06d}" for i in range(3000)]
+
+
 def test_stages_from_csv_files_equal_stages_from_tables(spark, tmp_path):
     raw = raw_tables(spark, FOLDER)
     for name, df in raw.items():
