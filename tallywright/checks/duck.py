@@ -386,6 +386,14 @@ def _all() -> dict[str, str]:
     bank = ", ".join(RAW_COLUMNS["bank_transactions"])
     q["a1_number_plain_files"] = f"""SELECT {bank}, row_number() OVER (ORDER BY src_row) AS row_no
         FROM raw_bank_transactions"""
+    q["b_unparsed"] = " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '{c}' AS column_name,
+            count(*) FILTER (coalesce(trim({c}), '') <> '' AND {kind(c)} IS NULL) AS lost
+            FROM raw_{table}"""
+        for table, (_, dates, amounts) in _CLEAN.items()
+        for columns, kind in ((dates, _date), (amounts, _money))
+        for c in columns
+    )
     q["a2_read_staged_matches"] = f"SELECT {_shown(match_columns)} FROM entity_matches"
     q["a3_write_and_read_register"] = f"SELECT {register} FROM exception_register"
     q["a4_published_invoices"] = f"""SELECT customer_type, count(*) AS invoices,

@@ -1,6 +1,7 @@
 """Every operator as a registered query over the tables of one folder."""
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -178,6 +179,13 @@ for _table, _short in {
     _named(f"b_clean_{_short}", lambda s, t=_table: cleaning.clean(t, s.raw[t]).drop("src_row"))
 
 
+@query("b_unparsed")
+def _(s: Stages) -> DataFrame:
+    """Texts of all sources that are no date or amount."""
+    counts = [cleaning.unparsed(table, df) for table, df in s.raw.items()]
+    return reduce(DataFrame.union, counts)
+
+
 @query("b11_clean_counts")
 def _(s: Stages) -> DataFrame:
     return table_counts(cleaning.clean_all(s.raw))

@@ -20,8 +20,15 @@ CREATED = "2026-09-01"
 
 
 class Stages:
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], created: str = CREATED):
+    def __init__(
+        self,
+        spark: SparkSession,
+        raw: dict[str, DataFrame],
+        created: str = CREATED,
+        date_formats: tuple[str, ...] = (),
+    ):
         self.spark, self.raw, self.created = spark, raw, created
+        self.date_formats = date_formats
         app = spark.sparkContext.applicationId
         self._reports: dict[tuple[str, bool], DataFrame] = {}
         self.folder = f"{shared_folder(spark)}/tallywright/{app}/{uuid.uuid4().hex}"
@@ -33,7 +40,9 @@ class Stages:
     @cached_property
     def cleaned(self) -> dict[str, DataFrame]:
         return {
-            name: self._stage(name, df) for name, df in cleaning.clean_all(self.raw).items()
+            name: self._stage(name, df) for name, df in cleaning.clean_all(
+                self.raw, self.date_formats
+            ).items()
         }
 
     @property
@@ -129,6 +138,13 @@ class Stages:
         return {n: build[n]() if n in build else self.cleaned[n] for n in names}
 
 
-def from_files(spark: SparkSession, folder: str, fmt: str = "csv", ordered: bool = True) -> Stages:
+def from_files(
+    spark: SparkSession,
+    folder: str,
+    fmt: str = "csv",
+    ordered: bool = True,
+    date_formats: tuple[str, ...] = (),
+) -> Stages:
     """Stages over raw source files."""
-    return Stages(spark, load_raw(spark, folder, fmt, ordered))
+    raw = load_raw(spark, folder, fmt, ordered)
+    return Stages(spark, raw, date_formats=date_formats)

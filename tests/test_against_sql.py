@@ -102,3 +102,45 @@ def test_stated_figures(spark):
     rows = got.groupBy("s", "b").agg({"*": "count", "score": "sum", "i": "sum"}).collect()
     lines = {f"{r.s} {r.b} {r['count(1)']} {r['sum(score)']} {r['sum(i)']}" for r in rows}
     assert lines == set(STATED.strip().splitlines())
+
+
+def _worst_first(severity):
+    order = ["CRITICAL", "HIGH", "MEDIUM"]
+    return order.index(severity) if severity in order else len(order)
+
+
+def _last(v):
+    return (v is None, v or "")
+
+
+#: sort keys of ordered results, as far as their columns show them
+ORDER = {
+    "r1_status_summary": lambda r: (-r.record_count, r.reconciliation_status),
+    "r2_exposure_by_status": lambda r: (-r.financial_exposure, r.reconciliation_status),
+    "r4_by_gateway": lambda r: (-r.financial_exposure, _last(r.gateway), r.reconciliation_status),
+    "r5_by_store": lambda r: (-r.financial_exposure, _last(r.store_id)),
+    "r6_by_customer": lambda r: (-r.financial_exposure, _last(r.customer_id), _last(r.customer_name)),
+    "r7_date_mismatches": lambda r: (-abs(r.date_difference_days), r.transaction_id),
+    "r8_entity_uncertain": lambda r: (r.entity_match_score, r.transaction_id),
+    "r9_duplicates": lambda r: (-r.occurrence_count, -r.transaction_amount, r.transaction_id),
+    "r10_open_workload": lambda r: (_worst_first(r.severity), -r.financial_exposure, r.owner),
+    "v5_exposure_by_owner": lambda r: (-r.financial_exposure, r.owner),
+    "v6_severity_sla": lambda r: (_worst_first(r.severity), r.severity, r.sla_status),
+    "v7_root_causes": lambda r: (-r.financial_exposure, r.root_cause),
+    "v8_largest_exceptions": lambda r: -r.financial_impact,
+    "v9_status_workload": lambda r: (-r.exception_count, r.status),
+    "h_by_type": lambda r: (-r.financial_exposure, r.reconciliation_status),
+    "h_by_gateway": lambda r: (-r.financial_exposure, r.gateway),
+    "h_by_store": lambda r: (-r.financial_exposure, r.store_id),
+    "h_by_customer": lambda r: (-r.exception_count, -r.financial_exposure, r.customer_id),
+    "h_by_severity": lambda r: _worst_first(r.severity),
+    "h_by_root_cause": lambda r: (-r.financial_exposure, r.root_cause),
+    "h_by_owner": lambda r: (-r.financial_exposure, r.owner),
+}
+
+
+@pytest.mark.parametrize("name", ORDER)
+def test_results_come_in_order(spark, name):
+    rows = QUERIES[name](spark, FOLDER).collect()
+    keys = [ORDER[name](r) for r in rows]
+    assert rows and keys == sorted(keys)

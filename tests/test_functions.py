@@ -15,6 +15,7 @@ from tallywright.functions import (
     lcs_ratio,
     whole_days_between,
 )
+from tallywright.operators import cleaning
 
 
 def apply(spark, fn, *values):
@@ -139,3 +140,37 @@ def test_the_two_exposures(spark):
     )
     got = df.select(exposure_max(df.p, df.b), exposure_first(df.p, df.b)).collect()
     assert [tuple(map(float, r)) for r in got] == [(5, 0), (5, 5), (5, 3), (7, 7), (0, 0)]
+
+
+def test_declared_date_formats(spark):
+    texts = ["2026-01-08", "08/01/2026", "8 Jan 2026 13:45", "2026/99/01", "", None, "29/03/2026"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    formats = ("dd/MM/yyyy", "d MMM yyyy HH:mm")
+    got = df.select("i", clean_date(F.col("t"), formats).cast("string").alias("d")).collect()
+    assert [r.d for r in sorted(got)] == [
+        "2026-01-08 00:00:00", "2026-01-08 00:00:00", "2026-01-08 13:45:00", None, None, None,
+        "2026-03-29 00:00:00",
+    ]
+
+
+def test_a_zone_without_the_hour_changes_nothing(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.createDataFrame([("29.03.2026 02:30",)], "t string")
+        row = df.select(clean_date(F.col("t"), ("dd.MM.yyyy HH:mm",)).cast("string").alias("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert row.d == "2026-03-29 02:30:00"
+
+
+def test_unparsed_texts_are_counted(spark):
+    rows = [("1", "2026-01-01"), ("x", "01/02/2026"), ("12345678901234567.00", ""), (None, None)]
+    raw = spark.createDataFrame(rows, "amount string, transaction_date string").withColumns(
+        {c: F.lit("") for c in ("customer_name", "email", "phone")}
+    )
+    count = lambda *formats: {
+        r.column_name: r.lost for r in cleaning.unparsed("erp_transactions", raw, formats).collect()
+    }
+    assert count() == {"amount": 2, "transaction_date": 1}
+    assert count("dd/MM/yyyy") == {"amount": 2, "transaction_date": 0}
