@@ -91,37 +91,59 @@ ANALYSES = {
 }
 
 
+def _total() -> Column:
+    return F.coalesce(F.sum("financial_impact").cast("double"), F.lit(0.0))
+
+
+def _percent(register: DataFrame, whole: Column, top: int) -> Column:
+    """Share of the ``top`` largest impacts in ``whole``, in percent; 0 without any."""
+    largest = register.orderBy(F.desc_nulls_last("financial_impact")).limit(top)
+    part = largest.agg(_total().alias("top_exposure")).scalar()
+    return F.when(whole != 0, F.round(part / whole * 100, 2)).otherwise(F.lit(0.0))
+
+
 def concentration(register: DataFrame, top: int = 10) -> DataFrame:
     """Share of the ``top`` largest impacts in the total exposure, in percent; 0 without any."""
-    largest = register.orderBy(F.desc_nulls_last("financial_impact")).limit(top)
-    part = F.coalesce(F.sum("financial_impact").cast("double"), F.lit(0.0))
-    whole = register.agg(part).scalar()
-    return largest.agg(part.alias("top_exposure")).select(
-        F.when(whole != 0, F.round(F.col("top_exposure") / whole * 100, 2))
-        .otherwise(F.lit(0.0))
-        .alias("concentration_percent")
+    whole = register.agg(_total().alias("whole"))
+    return whole.select(
+        _percent(register, F.col("whole"), top).alias("concentration_percent")
     )
 
 
 def insights(register: DataFrame) -> DataFrame:
-    """One row: total exposure, share of the top ten, and the largest type, gateway and store."""
-
-    def largest(df: DataFrame, key: str) -> list[Column]:
-        # the name breaks ties, as in the ordered analyses
-        best = df.orderBy(F.desc("financial_exposure"), key).limit(1)
-        return [
-            best.select(key).scalar().alias(f"top_{key}"),
-            best.select("financial_exposure").scalar().alias(f"top_{key}_exposure"),
-        ]
-
-    return register.agg(
-        F.coalesce(F.sum("financial_impact"), F.lit(0)).alias("total_exposure")
-    ).select(
+    """One row: total exposure, share of the top ten, and the largest type, gateway and store.
+
+    All sums come from one pass over grouping sets; the name breaks ties, as in the analyses.
+    """
+    keys = ["reconciliation_status", "gateway", "store_id"]
+    sets = [[F.col(k)] for k in keys]
+    sums = register.groupingSets([*sets, []], *[F.col(k) for k in keys]).agg(
+        F.grouping_id().alias("left_out"), F.sum("financial_impact").alias("exposure")
+    )
+    everything = 2 ** len(keys) - 1
+    best = []
+    for i, key in enumerate(keys):
+        here = F.col("left_out") == everything - 2 ** (len(keys) - 1 - i)
+        if key != "reconciliation_status":
+            here &= F.col(key).isNotNull()
+        place = F.struct(F.col("exposure").isNull(), -F.col("exposure"), F.col(key))
+        row = F.struct(F.col(key).alias("name"), F.col("exposure"))
+        best.append(F.min_by(F.when(here, row), F.when(here, place)).alias(key))
+    total = F.max(F.when(F.col("left_out") == everything, F.col("exposure")))
+    found = sums.agg(F.coalesce(total, F.lit(0)).alias("total_exposure"), *best)
+    return found.select(
         "total_exposure",
-        concentration(register).scalar().alias("concentration_percent"),
-        *largest(exception_types(register), "reconciliation_status"),
-        *largest(gateways(register), "gateway"),
-        *largest(stores(register), "store_id"),
+        _percent(register, F.col("total_exposure").cast("double"), 10).alias(
+            "concentration_percent"
+        ),
+        *[
+            c
+            for key in keys
+            for c in (
+                F.col(key)["name"].alias(f"top_{key}"),
+                F.col(key)["exposure"].alias(f"top_{key}_exposure"),
+            )
+        ],
     )
 
 
