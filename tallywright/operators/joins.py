@@ -21,8 +21,8 @@ _MERGERS = 256
 _DEALT = 1 << 20
 
 
-def heavy_keys(df: DataFrame, key: str) -> DataFrame:
-    """The heavy keys and null, as column ``_heavy``.
+def heavy_keys(df: DataFrame, key: str) -> list:
+    """The heavy keys, ``MAX_HEAVY`` at most; runs one pass over the column.
 
     Heavy is a key with at least ``MIN_ROWS`` rows that fill a quarter of a mean shuffle partition,
     or a ``MAX_HEAVY``th of the table where partitions are very many.
@@ -43,34 +43,23 @@ def heavy_keys(df: DataFrame, key: str) -> DataFrame:
             F.count(F.lit(1)).alias("n"),
         )
     )
-    top = sketches.agg(
+    # grouped, as an ungrouped sketch of a partition without rows cannot be merged
+    top = sketches.groupBy(F.lit(0).alias("all")).agg(
         F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"),
         F.sum("n").alias("n"),
     ).select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HEAVY})").alias("top"), "n")
     bar = F.greatest(F.lit(MIN_ROWS), F.col("n") / min(MAX_HEAVY, 4 * parts))
     heavy = F.transform(F.filter("top", lambda x: x["count"] >= bar), lambda x: x["item"])
-    return top.select(F.explode(F.array_append(heavy, F.lit(None))).alias("_heavy"))
+    return top.select(heavy.alias("heavy")).first().heavy
 
 
-def deal(df: DataFrame, key: str, heavy: DataFrame, row_id: list[str]) -> DataFrame:
+def deal(df: DataFrame, key: str, heavy: list, row_id: list[str]) -> DataFrame:
     """Add ``_dealt``, whether the key is heavy or null, and ``_key``, which is the key or, for
     dealt rows, a number from ``row_id``, which names a unique row number."""
-    marked = df.join(F.broadcast(heavy), F.col(key).eqNullSafe(F.col("_heavy")), "left")
-    kind = df.schema[key].dataType
-    # a null and a missing heavy key look alike in ``_heavy``
-    dealt = F.col(key).isNull() | F.col("_heavy").isNotNull()
-    spread = F.pmod(F.xxhash64(*row_id), F.lit(_DEALT)).cast(kind)
-    return (
-        marked.withColumn("_dealt", dealt)
-        .withColumn("_key", F.when(F.col("_dealt"), spread).otherwise(F.col(key)))
-        .drop("_heavy")
-    )
-
-
-def heavy_rows(right: DataFrame, heavy: DataFrame) -> DataFrame:
-    """The rows of a one-row-per-``_key`` side whose key is heavy or null."""
-    return right.join(
-        F.broadcast(heavy), F.col("_key").eqNullSafe(F.col("_heavy")), "left_semi"
+    dealt = F.col(key).isNull() | F.col(key).isin(heavy)
+    spread = F.pmod(F.xxhash64(*row_id), F.lit(_DEALT)).cast(df.schema[key].dataType)
+    return df.withColumn("_dealt", dealt).withColumn(
+        "_key", F.when(F.col("_dealt"), spread).otherwise(F.col(key))
     )
 
 
@@ -87,10 +76,12 @@ def look_up(
     row_id: list[str],
     how: str = "left",
     profile: DataFrame | None = None,
+    keyless: tuple[int, ...] = (),
 ) -> DataFrame:
     """Join ``left`` to each of ``rights``; each right has a unique column ``_key``.
 
-    A null key matches a right row whose ``_key`` is null, if there is one. ``how`` is left, inner or
+    ``keyless`` numbers the rights that may hold a row whose ``_key`` is null; null keys match it, and
+    match nothing in the others, which must hold none. ``how`` is left, inner or
     left_anti (found in none of ``rights``). All joins use the same key, so ``left`` is shuffled once.
     ``profile`` is the table to take the sketch from, where that is cheaper to scan than ``left``.
     """
@@ -105,12 +96,18 @@ def look_up(
         meets = (F.col("_key") == F.col(f"_p{i}__key")) & ~F.col("_dealt")
         rows = rows.join(plain, meets, "left")
     for i, right in enumerate(rights):
-        few = _named(heavy_rows(right, heavy), f"_h{i}_")
-        rows = rows.join(F.broadcast(few), F.col(key).eqNullSafe(F.col(f"_h{i}__key")), "left")
-        found.append(F.col(f"_p{i}__found").isNotNull() | F.col(f"_h{i}__found").isNotNull())
-        columns += [
-            F.coalesce(f"_p{i}_{c}", f"_h{i}_{c}").alias(c) for c in right.columns if c != "_key"
-        ]
+        here = [F.col(f"_p{i}__found").isNotNull()]
+        few = [F.col("_key").isin(heavy)] if heavy else []
+        few += [F.col("_key").isNull()] if i in keyless else []
+        names = [c for c in right.columns if c != "_key"]
+        if few:
+            rest = _named(right.where(reduce(lambda a, b: a | b, few)), f"_h{i}_")
+            rows = rows.join(F.broadcast(rest), F.col(key).eqNullSafe(F.col(f"_h{i}__key")), "left")
+            here.append(F.col(f"_h{i}__found").isNotNull())
+            columns += [F.coalesce(f"_p{i}_{c}", f"_h{i}_{c}").alias(c) for c in names]
+        else:
+            columns += [F.col(f"_p{i}_{c}").alias(c) for c in names]
+        found.append(reduce(lambda a, b: a | b, here))
     if how == "left_anti":
         return rows.where(~reduce(lambda a, b: a | b, found)).select(*left.columns)
     if how == "inner":

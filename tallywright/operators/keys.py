@@ -51,7 +51,7 @@ def flag_repeated(df: DataFrame, key: str, row_id: list[str], name: str = "is_re
     """Mark every row whose key occurs more than once."""
     copies = repeated_keys(df, key).select("_key", F.lit(True).alias("_many"))
     return (
-        look_up(df, key, [copies], row_id)
+        look_up(df, key, [copies], row_id, keyless=(0,))
         .withColumn(name, F.coalesce("_many", F.lit(False)))
         .drop("_many")
     )

@@ -56,7 +56,8 @@ def scored_pairs(erp: DataFrame, payment: DataFrame, bank: DataFrame) -> DataFra
     """
     compared = list(evidence().values())
     repeated = repeated_keys(erp, "transaction_id", F.struct(*compared))
-    rows = look_up(erp, "transaction_id", [repeated, settled_payments(payment, bank)], ["src_row"])
+    rights = [repeated, settled_payments(payment, bank)]
+    rows = look_up(erp, "transaction_id", rights, ["src_row"], keyless=(0,))
     differs = F.lit(False)
     for c in compared:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"lead.{c}"))
@@ -81,7 +82,7 @@ def pairs_from_matches(
         "entity_match_confidence",
     )
     rights = [repeated_keys(erp, "transaction_id"), settled_payments(payment, bank), first]
-    return look_up(erp, "transaction_id", rights, ["src_row"]).fillna(
+    return look_up(erp, "transaction_id", rights, ["src_row"], keyless=(0,)).fillna(
         {"entity_match_score": 0.0, "entity_match_confidence": "NO_MATCH"}
     )
 

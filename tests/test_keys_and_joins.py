@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tallywright.operators import joins, keys
 from tallywright.operators.register import by_status
@@ -57,26 +58,26 @@ def test_running_number_over_many_buckets(spark, partitions, shuffle):
 
 
 def heavy_set(df, key):
-    return {r["_heavy"] for r in joins.heavy_keys(df, key).collect()}
+    return set(joins.heavy_keys(df, key))
 
 
-def test_heavy_keys_are_found_and_null_is_one(spark, low_bar):
+def test_heavy_keys_are_found(spark, low_bar):
     ids = ["hot"] * 1000 + [None] * 500 + [str(i) for i in range(1500)]
     df = spark.createDataFrame([(k,) for k in ids], "k string")
-    assert heavy_set(df, "k") == {"hot", None}
+    assert heavy_set(df, "k") == {"hot"}
 
 
 def test_a_key_of_a_three_hundredth_is_heavy_where_partitions_are_many(spark, low_bar, partitions):
     df = spark.range(60_000).selectExpr("IF(id % 300 = 0, -1, id) AS k")
     partitions(200)
-    assert heavy_set(df, "k") == {-1, None}
+    assert heavy_set(df, "k") == {-1}
     partitions(8)  # a few partitions would not notice it
-    assert heavy_set(df, "k") == {None}
+    assert heavy_set(df, "k") == set()
 
 
 def test_no_heavy_keys_in_a_small_table(spark):
-    assert heavy_set(spark.createDataFrame([("a",)] * 100, "k string"), "k") == {None}
-    assert heavy_set(spark.createDataFrame([], "k string"), "k") == {None}
+    assert heavy_set(spark.createDataFrame([("a",)] * 100, "k string"), "k") == set()
+    assert heavy_set(spark.createDataFrame([], "k string"), "k") == set()
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
@@ -94,7 +95,7 @@ def test_look_up_gives_what_a_plain_join_gives(spark, low_bar, how):
 def test_a_null_key_finds_the_right_row_without_key(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, src_row long")
     right = spark.createDataFrame([(None, "none"), ("a", "A")], "_key string, v string")
-    got = joins.look_up(left, "k", [right], ["src_row"])
+    got = joins.look_up(left, "k", [right], ["src_row"], keyless=(0,))
     assert {tuple(r) for r in got.collect()} == {(None, 1, "none"), ("a", 2, "A"), ("b", 3, None)}
 
 
@@ -111,8 +112,11 @@ def test_only_right_rows_of_heavy_keys_are_broadcast(spark, low_bar):
         [("hot", i) for i in range(300)] + [(str(i), i) for i in range(600)], "k string, n long"
     )
     right = spark.createDataFrame([("hot",), ("1",), ("2",)], "_key string")
-    kept = joins.heavy_rows(right, joins.heavy_keys(left, "k"))
-    assert [r["_key"] for r in kept.collect()] == ["hot"]
+    got = joins.look_up(left, "k", [right.withColumn("v", F.lit(1))], ["n"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 1 and "(_key#" in plan and "= hot)" in plan
+    easy = joins.look_up(left.where("k <> 'hot'"), "k", [right.withColumn("v", F.lit(1))], ["n"])
+    assert "strategy=broadcast" not in easy._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_one_exchange_for_each_side(spark):
@@ -127,11 +131,11 @@ def test_one_exchange_for_each_side(spark):
         twice = keys.repeated_keys(left, "k").select("_key", "copies")
         got = joins.look_up(left, "k", [first, twice], ["src_row"])
         plan = got._jdf.queryExecution().executedPlan().toString()
-        # by key: left, first rows, copies, and the few rows of the last two that are broadcast
+        # by key: left, first rows and copies
         shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "merger" not in x]
         joined = [x for x in plan.splitlines() if "SortMergeJoin" in x]
         assert len(joined) == 2
-        assert len(shuffles) == 5
+        assert len(shuffles) == 3
         assert sum("_key" in x for x in shuffles) == 1
     finally:
         for k, v in before.items():
