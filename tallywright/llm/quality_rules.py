@@ -2,9 +2,8 @@
 
 Lines are normalised and hashed. For each host the distinct documents that hold a line are counted;
 lines above the limit are boilerplate and are removed; a document that keeps too little of its words
-is rejected. A document that only copies another is not a further witness against its lines: what is
-counted are families of documents, named by the least line hash that the document has besides the
-line in question, which copies and most near copies share.
+is rejected. A document that only copies another is not a further witness against its lines:
+documents that hold the same set of lines are one family and count once.
 """
 
 import re
@@ -24,8 +23,8 @@ _DIGITS = re.compile(rb"[0-9]+")
 
 BASE = (
     f"{KEY} bigint, doc_id bigint, host string, n_words bigint, word_chars bigint,"
-    " n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint,"
-    " lines array<struct<h:string,family:string,words:int>>"
+    " n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, family string,"
+    " lines array<struct<h:string,words:int>>"
 )
 
 
@@ -59,8 +58,7 @@ def measure(key, text, doc_id, host):
     held = Counter()
     for x, n in full:
         held[line_hash(x)] += n
-    least = sorted(held)[:2]
-    family = lambda h: next((x for x in least if x != h), "")
+    family = md5("".join(sorted(held)).encode()).hexdigest()[:16]
     blanks = sum(text.count(c) for c in " \t\n\v\f\r")
     yield (
         key,
@@ -71,7 +69,8 @@ def measure(key, text, doc_id, host):
         len(_SYMBOL.findall(text)),
         len(full) - len({x for x, _ in full}),
         repeat_words(words),
-        [{"h": h, "family": family(h), "words": n} for h, n in held.items()],
+        family,
+        [{"h": h, "words": n} for h, n in held.items()],
     )
 
 
@@ -93,7 +92,7 @@ def quality_rules(
         KEY, "text", F.col("doc_id").cast("bigint").alias("__id"), F.col(host).alias("__host")
     )
     base = scratch(texts(source, measure, BASE, ("__id", "__host")), "quality")
-    lines = base.select(KEY, "host", F.inline("lines"))
+    lines = base.select(KEY, "host", "family", F.inline("lines"))
     # written, so that the join of a hot line can be split
     frequent = scratch(
         lines.select("host", "h", "family")
@@ -112,10 +111,10 @@ def quality_rules(
     words, gone = F.col("n_words"), F.coalesce("gone", F.lit(0))
     failed = (words < 50) | (100 * F.col("n_repeat_words") > 50 * words)
     return (
-        base.drop("lines")
+        base.drop("family", "lines")
         .join(removed, F.col(KEY) == F.col("key_2"), "left")
         .select(
-            *[c for c in base.columns if c != "lines"],
+            *[c for c in base.columns if c not in ("family", "lines")],
             failed.alias("base_failed"),
             gone.cast("bigint").alias("n_boilerplate_words"),
             (~failed & (words - gone >= least_kept * words)).alias("kept"),

@@ -51,6 +51,23 @@ def test_frequent_lines_reject_depleted_documents_but_not_copies(spark):
     assert all(got[100 + i].kept for i in range(60)) and got[200].kept
 
 
+@pytest.mark.parametrize("shared", [1, 2, 5, 10])
+def test_lines_that_occur_together_count_each_document(spark, shared):
+    draw = random.Random(shared)
+    prose = lambda n: " ".join("".join(draw.choices("abcdefghij", k=6)) for _ in range(n))
+    rows = []
+    for host, n in (("over", 21), ("at", 20)):
+        menu = "\n".join(prose(4) for _ in range(shared))
+        docs = [f"{menu}\n{prose(60)}" for _ in range(n)]
+        # copies are no further witnesses, whatever the order of their lines
+        docs += [docs[0], "\n".join(docs[1].split("\n")[::-1])]
+        rows += [(len(rows) + i, t, host) for i, t in enumerate(docs)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in quality_rules(df).collect()}
+    for doc, _, host in rows:
+        assert got[doc].n_boilerplate_words == (4 * shared if host == "over" else 0)
+
+
 def test_quality_of_odd_rows(odd_docs, no_docs):
     got = quality_rules(odd_docs).collect()
     assert len(got) == odd_docs.count()
