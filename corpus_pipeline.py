@@ -7,7 +7,7 @@ from tallywright.llm.common import KEY, scratch, table, with_key
 from tallywright.llm.decontaminate import contained_items
 from tallywright.llm.line_dedup import dedup_lines
 from tallywright.llm.packing import pack
-from tallywright.llm.quality_rules import quality_rules
+from tallywright.llm.quality_rules import quality_rules, without_lines
 from tallywright.llm.queries import vocabulary
 from tallywright.llm.simhash import near_duplicates
 
@@ -17,19 +17,26 @@ def _only(docs: DataFrame, keys: DataFrame, how: str, columns: list[str]) -> Dat
     return docs.join(keys, F.col(KEY) == F.col("__kept"), how).select(*columns)
 
 
+def _counted(cleaned: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, with n_chars as the cleaned texts have it."""
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(kind))
+    return cleaned.select(*docs.columns)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep. Null and empty texts go."""
+    """Documents that the quality rules keep, without their boilerplate lines. Null and empty texts go."""
     keyed = with_key(docs)
-    return _only(keyed, quality_rules(keyed).where("kept"), "left_semi", docs.columns)
+    verdicts = quality_rules(keyed).where("kept")
+    lost = verdicts.select(F.col(KEY).alias("__kept"), F.col("removed_lines").alias("__lost"))
+    joined = keyed.join(lost, F.col(KEY) == F.col("__kept")).drop("__kept")
+    return _counted(without_lines(joined, "__lost"), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that repeat earlier ones; a text may become empty."""
-    cleaned = dedup_lines(docs)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(kind))
-    return cleaned.select(*docs.columns)
+    return _counted(dedup_lines(docs), docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

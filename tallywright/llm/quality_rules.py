@@ -7,13 +7,13 @@ documents that hold the same set of lines are one family and count once.
 """
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from hashlib import md5
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, scratch, texts, with_key
+from .common import KEY, pa_schema, scratch, slices, texts, with_key
 
 MAX_FAMILIES = 20
 LEAST_KEPT = 0.5
@@ -24,7 +24,7 @@ _DIGITS = re.compile(rb"[0-9]+")
 BASE = (
     f"{KEY} bigint, doc_id bigint, host string, n_words bigint, word_chars bigint,"
     " n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, family string,"
-    " lines array<struct<h:string,words:int>>"
+    " lines array<struct<h:string,words:int,at:array<int>>>"
 )
 
 
@@ -55,9 +55,12 @@ def measure(key, text, doc_id, host):
     lines = [(x, len(x.split())) for x in data.split(b"\n")]
     full = [(x, n) for x, n in lines if n]
     # distinct normalised lines of this document; words count for every place of a line
-    held = Counter()
-    for x, n in full:
-        held[line_hash(x)] += n
+    held, places = Counter(), defaultdict(list)
+    for no, (x, n) in enumerate(lines):
+        if n:
+            h = line_hash(x)
+            held[h] += n
+            places[h].append(no)
     family = md5("".join(sorted(held)).encode()).hexdigest()[:16]
     blanks = sum(text.count(c) for c in " \t\n\v\f\r")
     yield (
@@ -70,7 +73,7 @@ def measure(key, text, doc_id, host):
         len(full) - len({x for x, _ in full}),
         repeat_words(words),
         family,
-        [{"h": h, "words": n} for h, n in held.items()],
+        [{"h": h, "words": n, "at": places[h]} for h, n in held.items()],
     )
 
 
@@ -83,7 +86,8 @@ def quality_rules(
     """Measures and verdict per row of ``docs`` (doc_id, text and ``host``).
 
     Columns: __row_key, doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, n_boilerplate_words, kept. Null and empty texts have no words and so fail the base
+    base_failed, n_boilerplate_words, kept, removed_lines (numbers of the boilerplate lines of the
+    text, from 0, in order; null where there are none, see ``without_lines``). Null and empty texts have no words and so fail the base
     rules. A null host is a host of its own. Rows with repeated ids are judged one by one. An empty
     table gives no rows. Other columns of ``docs`` are not looked at.
     """
@@ -106,7 +110,10 @@ def quality_rules(
     removed = (
         lines.join(frequent, F.col("host").eqNullSafe(F.col("host_2")) & (F.col("h") == F.col("h_2")))
         .groupBy(F.col(KEY).alias("key_2"))
-        .agg(F.sum("words").alias("gone"))
+        .agg(
+            F.sum("words").alias("gone"),
+            F.array_sort(F.flatten(F.collect_list("at"))).alias("removed_lines"),
+        )
     )
     words, gone = F.col("n_words"), F.coalesce("gone", F.lit(0))
     failed = (words < 50) | (100 * F.col("n_repeat_words") > 50 * words)
@@ -118,5 +125,32 @@ def quality_rules(
             failed.alias("base_failed"),
             gone.cast("bigint").alias("n_boilerplate_words"),
             (~failed & (words - gone >= least_kept * words)).alias("kept"),
+            "removed_lines",
         )
     )
+
+
+def without_lines(docs: DataFrame, numbers: str) -> DataFrame:
+    """``docs`` without the lines of ``text`` that the column ``numbers`` names, and without it."""
+    names = [c for c in docs.columns if c != numbers]
+    schema = docs.select(*names).schema
+    out = pa_schema(
+        docs.sparkSession, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    )
+
+    def cut(batches):
+        import pyarrow as pa
+
+        place = names.index("text")
+        for batch in slices(batches):
+            texts = []
+            for text, lost in zip(batch["text"].to_pylist(), batch[numbers].to_pylist(), strict=True):
+                if lost:
+                    drop = set(lost)
+                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop)
+                texts.append(text)
+            columns = [batch[c] for c in names]
+            columns[place] = pa.array(texts, out.field("text").type)
+            yield pa.RecordBatch.from_arrays(columns, schema=out)
+
+    return docs.mapInArrow(cut, schema)

@@ -6,6 +6,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tallywright.llm.queries import QUERIES, vocabulary
 from tallywright.llm.packing import Tokens
+from tallywright.llm.quality_rules import quality_rules
 
 from . import brute
 from .conftest import SMALL
@@ -46,6 +47,20 @@ def test_quality(stages):
     assert set(texts(stages[1])) == want
 
 
+def test_quality_cuts_boilerplate_lines(spark):
+    own = lambda i: " ".join(f"word{chr(97 + i)}{chr(97 + j % 26)}{j}" for j in range(60))
+    rows = [(i, f"Home\n{own(i)}\n\n HOME \nContact 24\nlast {own(i)[::-1]}", "a", 1) for i in range(21)]
+    rows += [(50, f"Home\n{own(3)}\nContact 24", "b", 1), (51, "Home", "a", 1)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int")
+    got = corpus_pipeline.quality(spark, df, SMALL)
+    assert got.schema == df.schema
+    want = {i: f"{own(i)}\n\nlast {own(i)[::-1]}" for i in range(21)} | {50: rows[21][1]}
+    assert texts(got) == want
+    assert all(r.n_chars == len(r.text) for r in got.collect())
+    lost = {r.doc_id: r.removed_lines for r in quality_rules(df).collect()}
+    assert lost == {i: [0, 3, 4] for i in range(21)} | {50: None, 51: [0]}
+
+
 def test_lines(stages):
     got = texts(stages[2])
     assert got == plain_dedup(sorted(texts(stages[1]).items()), 1, 20)
