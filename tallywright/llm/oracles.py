@@ -94,8 +94,32 @@ SELECT doc_id, item_id, n_shingles, count(*) AS n_held,
 FROM ds JOIN bs USING (s) JOIN n USING (item_id)
 GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles - 1e-9"""
 
+_NEGATIVES = """
+WITH v AS (
+    SELECT vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+near AS (
+    SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS n
+    FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+     AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM near WHERE n <= 5"""
+
 ORACLES: dict[str, str] = {
     "op6_quality_rules": _QUALITY,
     "op8_url_filter": _URLS,
     "op9_decontamination": _CONTAINED,
+    "op11_hard_negatives": _NEGATIVES,
 }

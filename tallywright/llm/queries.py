@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import toxicity
+from .bpe import encode_texts
 from .common import table
 from .decontaminate import contained_items
+from .hard_negatives import hard_negatives
 from .line_dedup import dedup_lines
 from .packing import pack
 from .pii import personal_data
@@ -16,6 +18,7 @@ from .secret_scan import secret_scan
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
 from .url_filter import judge_pages
+from .whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +116,36 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id = F.col("vec_id")
+    label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(
+        table(spark, folder, "embeddings").select("vec_id", "embedding", "label"), vec_id % 100 == 0, label
+    ).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    )
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Deviations beyond BIGINT are null."""
+    return whiten(table(spark, folder, "embeddings").select("vec_id", "embedding")).select(
+        "vec_id",
+        "component",
+        "n",
+        F.col("deviation").try_cast("bigint").alias("deviation"),
+        "whitened",
+        "explained",
+        "identity_error",
+    )
+
+
+def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    file, _, pattern = vocabulary()
+    return encode_texts(table(spark, folder, "documents"), file, pattern).select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -126,5 +159,8 @@ QUERIES: dict[str, Query] = {
         op8_url_filter,
         op9_decontamination,
         op10_toxicity,
+        op11_hard_negatives,
+        op12_whitening,
+        op13_bpe,
     )
 }

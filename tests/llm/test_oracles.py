@@ -20,7 +20,7 @@ def test_query(spark, name):
     got, want = QUERIES[name](spark, FOLDER), db.sql(ORACLES[name])
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
-    kinds = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    kinds = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     types = dict(zip(want.columns, map(str, want.types), strict=True))
     assert {f.name: kinds[f.dataType.simpleString()] for f in got.schema} == types
     rows = sorted((tuple(r[c] for c in columns) for r in got.collect()), key=repr)
