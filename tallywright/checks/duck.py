@@ -402,6 +402,8 @@ def _all() -> dict[str, str]:
         GROUP BY customer_type"""
     published = [*RAW_COLUMNS, "entity_matches", "reconciliation", "exception_register"]
     q["a5_table_counts"] = " UNION ALL ".join(map(_count, [*published, "anomaly_detection"]))
+    q["a2_reopen_saved"] = q["a5_table_counts"]
+    q["a2_reopened_register"] = q["a3_write_and_read_register"]
     q["b11_clean_counts"] = " UNION ALL ".join(map(_count, RAW_COLUMNS))
     for table, short in zip(RAW_COLUMNS, ["customer", "invoice", "erp", "payment", "bank"]):
         q[f"b_clean_{short}"] = f"SELECT {_shown(_clean_columns(table))} FROM {table}"
@@ -417,6 +419,7 @@ def _all() -> dict[str, str]:
     place = "CAST(src_branch AS BIGINT) AS src_branch, src_row"
     few = f"transaction_id, reconciliation_status, {_shown(['erp_amount'])}, {place}"
     q["c5_first_reconciliation_row"] = f"SELECT {few} FROM first_row"
+    q["c7_checked_first_rows"] = q["c5_first_reconciliation_row"]
     q["c6_status_priority"] = f"SELECT {few} FROM chosen_row"
     q["c7_unique_lookup"] = "SELECT count(*) AS unique_ids FROM first_row"
     q["c8_distinct_ids"] = (
@@ -678,6 +681,7 @@ def _all() -> dict[str, str]:
     q["k1_exception_table_amounts"] = (
         f"SELECT {_shown(table_columns, ('created_date',))} FROM exception_table"
     )
+    q["a2_reopened_exception_table"] = q["k1_exception_table_amounts"]
     q["k2_exception_totals_amounts"] = f"""SELECT count(*) AS row_count,
         40::BIGINT AS column_count, count(DISTINCT exception_id) AS unique_exceptions,
         count(DISTINCT transaction_id) AS unique_transactions,

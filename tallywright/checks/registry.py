@@ -52,6 +52,7 @@ def present(df: DataFrame) -> DataFrame:
 
 
 _open: dict[tuple[str, str], Stages] = {}
+_saved: dict[int, Stages] = {}
 
 
 def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -71,6 +72,7 @@ def stages(spark: SparkSession, folder: str) -> Stages:
 
 def forget_stages() -> None:
     _open.clear()
+    _saved.clear()
 
 
 QUERIES: dict[str, Query] = {}
@@ -134,6 +136,36 @@ def _(s: Stages) -> DataFrame:
     return s.matches.drop("src_row")
 
 
+def _reopened(s: Stages) -> Stages:
+    """The stages as another session finds them after they were saved."""
+    if id(s) not in _saved:
+        s.save_all(_trial(s, "run"), forest=False)
+        _saved[id(s)] = Stages.open(s.spark.newSession(), _trial(s, "run"))
+    return _saved[id(s)]
+
+
+@query("a2_reopen_saved")
+def _(s: Stages) -> DataFrame:
+    return table_counts(_reopened(s).pick(PUBLISHED, forest=False))
+
+
+@query("a2_reopened_register")
+def _(s: Stages) -> DataFrame:
+    return _reopened(s).exceptions.select(*REGISTER_COLUMNS)
+
+
+@query("a2_reopened_exception_table")
+def _(s: Stages) -> DataFrame:
+    """Built from what was saved, not read."""
+    saved = _reopened(s)
+    return bi.exception_table(
+        saved.exceptions,
+        saved.reconciliation,
+        saved.flags(forest=False),
+        saved.key_stats("exception_register"),
+    )
+
+
 @query("a3_write_and_read_register")
 def _(s: Stages) -> DataFrame:
     path = write_table(s.exceptions.select(*REGISTER_COLUMNS), _trial(s, "register"), "csv")
@@ -215,7 +247,9 @@ def _(s: Stages) -> DataFrame:
 @query("c4_repeated_ids")
 def _(s: Stages) -> DataFrame:
     erp = s.cleaned["erp_transactions"].select("transaction_id", "src_row")
-    return keys.flag_repeated(erp, "transaction_id", ["src_row"])
+    return keys.flag_repeated(
+        erp, "transaction_id", ["src_row"], stats=s.key_stats("erp_transactions")
+    )
 
 
 @query("c5_first_reconciliation_row")
@@ -241,6 +275,16 @@ def _(s: Stages) -> DataFrame:
     return keys.assert_unique(first, ["transaction_id"]).agg(F.count("*").alias("unique_ids"))
 
 
+@query("c7_checked_first_rows")
+def _(s: Stages) -> DataFrame:
+    """Checked by the job itself."""
+    first = keys.first_per_key(s.reconciliation, "transaction_id", ORDER_COLUMNS)
+    return keys.one_per_key(
+        first.select("transaction_id", "reconciliation_status", "erp_amount", *ORDER_COLUMNS),
+        "transaction_id",
+    )
+
+
 @query("c8_distinct_ids")
 def _(s: Stages) -> DataFrame:
     return keys.distinct_count(s.reconciliation, "transaction_id")
@@ -252,7 +296,7 @@ def _(s: Stages) -> DataFrame:
 @query("d1_erp_with_payment")
 def _(s: Stages) -> DataFrame:
     erp, payment, _ = s.ledger
-    return matching.match_transactions(erp, payment).select(
+    return matching.match_transactions(erp, payment, s.key_stats("erp_transactions")).select(
         "transaction_id", "gateway_transaction_id", "erp_amount", "payment_amount", "src_row"
     )
 
@@ -260,7 +304,7 @@ def _(s: Stages) -> DataFrame:
 @query("d2_payment_with_bank")
 def _(s: Stages) -> DataFrame:
     _, payment, bank = s.ledger
-    return reconcile.settled_payments(payment, bank).select(
+    return reconcile.settled_payments(payment, bank, s.stats).select(
         F.col("_key").alias("merchant_reference"),
         F.col("p_gateway_transaction_id").alias("gateway_transaction_id"),
         F.col("p_amount").alias("payment_amount"),
@@ -272,13 +316,13 @@ def _(s: Stages) -> DataFrame:
 
 @query("d3_reconciliation_from_matches")
 def _(s: Stages) -> DataFrame:
-    return reconcile.reconcile(*s.ledger, s.matches).select(*RECONCILIATION_COLUMNS)
+    return reconcile.reconcile(*s.ledger, s.matches, s.stats).select(*RECONCILIATION_COLUMNS)
 
 
 @query("d4_unexpected_payments")
 def _(s: Stages) -> DataFrame:
     erp, payment, _ = s.ledger
-    return reconcile.unexpected_payments(payment, erp).select(*RECONCILIATION_COLUMNS)
+    return reconcile.unexpected_payments(payment, erp, s.stats).select(*RECONCILIATION_COLUMNS)
 
 
 # --- matching ------------------------------------------------------------------------------------
@@ -288,7 +332,12 @@ def _(s: Stages) -> DataFrame:
 def _(s: Stages) -> DataFrame:
     erp, payment, _ = s.ledger
     pairs = look_up(
-        erp, "transaction_id", [matching.first_payments(payment)], ["src_row"], how="inner"
+        erp,
+        "transaction_id",
+        [matching.first_payments(payment)],
+        ["src_row"],
+        how="inner",
+        stats=s.key_stats("erp_transactions"),
     )
     mine, theirs = matching.evidence(), matching.evidence("p_")
     return pairs.select(
@@ -304,7 +353,8 @@ def _(s: Stages) -> DataFrame:
 @query("e_match_table")
 def _(s: Stages) -> DataFrame:
     erp, payment, _ = s.ledger
-    return matching.match_transactions(erp, payment).drop("src_row")
+    stats = s.key_stats("erp_transactions")
+    return matching.match_transactions(erp, payment, stats).drop("src_row")
 
 
 _named("e_match_bands", lambda s: matching.match_bands(s.matches))
@@ -315,12 +365,12 @@ _named("e_mean_score", lambda s: matching.mean_score(s.matches))
 
 @query("f_reconciliation")
 def _(s: Stages) -> DataFrame:
-    return reconcile.reconcile(*s.ledger).select(*RECONCILIATION_COLUMNS)
+    return reconcile.reconcile(*s.ledger, stats=s.stats).select(*RECONCILIATION_COLUMNS)
 
 
 @query("f_ledger_reconciliation")
 def _(s: Stages) -> DataFrame:
-    return reconcile.reconcile_transactions(*s.ledger).select(*RECONCILIATION_COLUMNS)
+    return reconcile.reconcile_transactions(*s.ledger, stats=s.stats).select(*RECONCILIATION_COLUMNS)
 
 
 _named("f_status_counts", lambda s: reconcile.status_counts(s.reconciliation))
@@ -519,7 +569,9 @@ for _name, _text in packs.QUERIES.items():
 
 
 def _exception_table(s: Stages, forest: bool) -> DataFrame:
-    return bi.exception_table(s.exceptions, s.reconciliation, s.flags(forest))
+    return bi.exception_table(
+        s.exceptions, s.reconciliation, s.flags(forest), s.key_stats("exception_register")
+    )
 
 
 def _transaction_table(s: Stages, forest: bool) -> DataFrame:

@@ -4,8 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ANOMALY_COLUMNS, ORDER_COLUMNS, RECONCILIATION_COLUMNS
+from .bloom import bloom_filter, may_hold
 from .joins import look_up
-from .keys import first_per_key, last_by_priority
+from .keys import first_per_key, last_by_priority, one_per_key
+from .keystats import KeyStats
 from .register import by_status
 
 # Which status represents a transaction; the highest wins, others rank above all.
@@ -23,39 +25,87 @@ STATUS_PRIORITY = {
 OTHER_PRIORITY = 9
 
 # What the exception table takes from the register and from reconciliation.
-FROM_REGISTER = (
-    "exception_id transaction_id severity financial_impact owner status root_cause "
-    "recommended_action created_date exception_age_days sla_days sla_status resolution "
-    "resolution_date"
-).split()
-FROM_RECONCILIATION = (
-    "invoice_id customer_id customer_name store_id erp_amount payment_amount payment_difference "
-    "bank_amount bank_difference bank_status date_difference_days reconciliation_status "
-    "entity_match_score entity_match_confidence gateway"
-).split()
+FROM_REGISTER = [
+    "exception_id",
+    "transaction_id",
+    "severity",
+    "financial_impact",
+    "owner",
+    "status",
+    "root_cause",
+    "recommended_action",
+    "created_date",
+    "exception_age_days",
+    "sla_days",
+    "sla_status",
+    "resolution",
+    "resolution_date",
+]
+FROM_RECONCILIATION = [
+    "invoice_id",
+    "customer_id",
+    "customer_name",
+    "store_id",
+    "erp_amount",
+    "payment_amount",
+    "payment_difference",
+    "bank_amount",
+    "bank_difference",
+    "bank_status",
+    "date_difference_days",
+    "reconciliation_status",
+    "entity_match_score",
+    "entity_match_confidence",
+    "gateway",
+]
 
 
 def exception_table(
-    register: DataFrame, reconciliation: DataFrame, anomalies: DataFrame
+    register: DataFrame,
+    reconciliation: DataFrame,
+    anomalies: DataFrame,
+    stats: KeyStats | None = None,
 ) -> DataFrame:
-    """One row per exception with the first reconciliation and anomaly row of its transaction."""
-    key = F.col("transaction_id").alias("_key")
-    # only the ids of the register are ranked, about a tenth of the rows
-    raised = register.select("transaction_id").distinct()
-    reconciliation = reconciliation.join(raised, "transaction_id", "left_semi")
-    anomalies = anomalies.join(raised, "transaction_id", "left_semi")
-    context = first_per_key(
-        reconciliation.select("transaction_id", *FROM_RECONCILIATION, *ORDER_COLUMNS),
-        "transaction_id",
-        ORDER_COLUMNS,
-    ).select(key, *FROM_RECONCILIATION)
-    flags = first_per_key(
-        anomalies.select("transaction_id", *ANOMALY_COLUMNS, *ORDER_COLUMNS),
-        "transaction_id",
-        ORDER_COLUMNS,
-    ).select(key, *ANOMALY_COLUMNS)
+    """One row per exception with the first reconciliation and anomaly row of its transaction.
+
+    Only rows whose id may be in the register (a Bloom filter, tested in the scan) are ranked; the
+    others are not shuffled, and of a repeated id one row for each task is. ``stats`` are those of the
+    register's ids.
+    """
+    raised = bloom_filter(register, "transaction_id")
+
+    def first_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
+        narrow = rows.select("transaction_id", *columns, *ORDER_COLUMNS)
+        near = may_hold(narrow, "transaction_id", raised)
+        return first_per_key(near, "transaction_id", ORDER_COLUMNS).drop(*ORDER_COLUMNS)
+
+    return join_exceptions(
+        register,
+        first_rows(reconciliation, FROM_RECONCILIATION),
+        first_rows(anomalies, ANOMALY_COLUMNS),
+        stats,
+    )
+
+
+def join_exceptions(
+    register: DataFrame, context: DataFrame, flags: DataFrame, stats: KeyStats | None = None
+) -> DataFrame:
+    """The exception table of a register and tables that have one row per ``transaction_id``.
+
+    Both joins are many to one: a second row of an id in ``context`` or ``flags`` fails the job. Rows
+    without id match nothing.
+    """
+    rights = [
+        one_per_key(
+            df.where(F.col("transaction_id").isNotNull()).select(
+                F.col("transaction_id").alias("_key"), *columns
+            ),
+            "_key",
+        )
+        for df, columns in ((context, FROM_RECONCILIATION), (flags, ANOMALY_COLUMNS))
+    ]
     joined = look_up(
-        register.select(*FROM_REGISTER), "transaction_id", [context, flags], ["exception_id"]
+        register.select(*FROM_REGISTER), "transaction_id", rights, ["exception_id"], stats=stats
     )
     return joined.withColumns(
         {

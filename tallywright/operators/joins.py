@@ -1,12 +1,13 @@
 """Equi joins that survive a key holding a large share of the rows.
 
 Every lookup here joins many left rows to at most one right row per key. The heavy keys of the left
-side are found by one mergeable frequent-items sketch (a single narrow pass, some kilobytes of
-result). Left rows of a heavy key, and those without a key, are dealt over all partitions and find
-their right row in a broadcast of the heavy keys' right rows: ``MAX_HEAVY`` and one at most, whatever
-the tables hold. All others meet their right row on the plain key, so a right side that is one row
-per key by an aggregation or a window keeps the partitioning that this left. The sketch only decides
-which way a row goes: results do not depend on it.
+side are taken from the statistics stored with its table (``keystats``), so that building a lookup runs
+nothing; without them, one pass over the key column finds them first. Left rows of a heavy key, and
+those without a key, are dealt over all partitions and find their right row in a broadcast of the heavy
+keys' right rows: ``MAX_HEAVY`` and one at most, whatever the tables hold. All others meet their right
+row on the plain key, so a right side that is one row per key by an aggregation or a window keeps the
+partitioning that this left. Statistics only decide which way a row goes: results do not depend on
+them.
 """
 
 from functools import reduce
@@ -14,43 +15,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HEAVY = 1024
+from .keystats import LISTED as MAX_HEAVY
+from .keystats import KeyStats, sketch_keys
+
 MIN_ROWS = 10_000
-_TRACKED = 8192
-_MERGERS = 256
 _DEALT = 1 << 20
 
 
-def heavy_keys(df: DataFrame, key: str) -> list:
-    """The heavy keys, ``MAX_HEAVY`` at most; runs one pass over the column.
+def heavy_keys(df: DataFrame, key: str, stats: KeyStats | None = None) -> list:
+    """The heavy keys, ``MAX_HEAVY`` at most. Without ``stats`` a pass over the column finds them.
 
     Heavy is a key with at least ``MIN_ROWS`` rows that fill a quarter of a mean shuffle partition,
     or a ``MAX_HEAVY``th of the table where partitions are very many.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = df.schema[key].dataType.simpleString() == "string"
-    # one row more, as sketches of no rows cannot be merged
-    one = F.lit("") if text else F.lit(0).cast(df.schema[key].dataType)
-    rows = df.select(F.col(key).alias("k")).where("k IS NOT NULL")
-    rows = rows.union(spark.range(1).select(one.alias("k")))
-    # two rounds, so that no task merges the sketches of all scan tasks
-    sketches = (
-        rows.withColumn("merger", F.pmod(F.spark_partition_id(), F.lit(_MERGERS)))
-        .groupBy("merger")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(k, {_TRACKED})").alias("sketch"),
-            F.count(F.lit(1)).alias("n"),
-        )
-    )
-    # grouped, as an ungrouped sketch of a partition without rows cannot be merged
-    top = sketches.groupBy(F.lit(0).alias("all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"),
-        F.sum("n").alias("n"),
-    ).select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HEAVY})").alias("top"), "n")
-    bar = F.greatest(F.lit(MIN_ROWS), F.col("n") / min(MAX_HEAVY, 4 * parts))
-    heavy = F.transform(F.filter("top", lambda x: x["count"] >= bar), lambda x: x["item"])
-    return top.select(heavy.alias("heavy")).first().heavy
+    if stats is None:
+        stats = KeyStats.of(sketch_keys(df, [key]), [key])
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stats.above(key, MIN_ROWS, min(MAX_HEAVY, 4 * parts))
 
 
 def deal(df: DataFrame, key: str, heavy: list, row_id: list[str]) -> DataFrame:
@@ -75,19 +56,19 @@ def look_up(
     rights: list[DataFrame],
     row_id: list[str],
     how: str = "left",
-    profile: DataFrame | None = None,
     keyless: tuple[int, ...] = (),
+    stats: KeyStats | None = None,
 ) -> DataFrame:
     """Join ``left`` to each of ``rights``; each right has a unique column ``_key``.
 
     ``keyless`` numbers the rights that may hold a row whose ``_key`` is null; null keys match it, and
     match nothing in the others, which must hold none. ``how`` is left, inner or
     left_anti (found in none of ``rights``). All joins use the same key, so ``left`` is shuffled once.
-    ``profile`` is the table to take the sketch from, where that is cheaper to scan than ``left``.
+    ``stats`` are statistics of ``key`` in ``left`` or in the table that it was taken from.
     """
     if how not in ("left", "inner", "left_anti"):
         raise ValueError(f"how must be left, inner or left_anti, not {how}")
-    heavy = heavy_keys(left if profile is None else profile, key)
+    heavy = heavy_keys(left, key, stats)
     rows = deal(left, key, heavy, row_id)
     found: list[Column] = []
     columns: list[Column] = []

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import look_up
+from .keystats import KeyStats
 
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -47,11 +48,17 @@ def repeated_keys(df: DataFrame, key: str, keep: Column | None = None) -> DataFr
     )
 
 
-def flag_repeated(df: DataFrame, key: str, row_id: list[str], name: str = "is_repeated"):
+def flag_repeated(
+    df: DataFrame,
+    key: str,
+    row_id: list[str],
+    name: str = "is_repeated",
+    stats: KeyStats | None = None,
+):
     """Mark every row whose key occurs more than once."""
     copies = repeated_keys(df, key).select("_key", F.lit(True).alias("_many"))
     return (
-        look_up(df, key, [copies], row_id, keyless=(0,))
+        look_up(df, key, [copies], row_id, keyless=(0,), stats=stats)
         .withColumn(name, F.coalesce("_many", F.lit(False)))
         .drop("_many")
     )
@@ -65,6 +72,22 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return df
 
 
+def one_per_key(df: DataFrame, key: str) -> DataFrame:
+    """``df``, with a check inside the plan: where a key (null is one) has two rows, the job that reads
+    them fails. Rows are aggregated on the key, which a join on it would bring together anyway."""
+    others = [c for c in df.columns if c != key]
+    held = F.first(F.struct(*others) if others else F.lit(True))
+    problem = F.concat(
+        F.lit(f"{key} is not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    )
+    single = F.when(F.col("_rows") > 1, F.raise_error(problem)).otherwise(F.col(key))
+    return (
+        df.groupBy(key)
+        .agg(held.alias("_held"), F.count(F.lit(1)).alias("_rows"))
+        .select(*[single.alias(c) if c == key else F.col(f"_held.{c}").alias(c) for c in df.columns])
+    )
+
+
 def running_number(
     df: DataFrame, branch: str, row: str, name: str, width: int = 1 << 20
 ) -> DataFrame:

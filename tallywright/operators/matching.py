@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import lcs_ratio
 from .joins import look_up
 from .keys import first_per_key
+from .keystats import KeyStats
 
 # Weights of the evidence and lower bounds of the bands.
 EMAIL_WEIGHT, NAME_WEIGHT, AMOUNT_WEIGHT = 0.50, 0.30, 0.20
@@ -100,9 +101,15 @@ def match_table(scored: DataFrame) -> DataFrame:
     )
 
 
-def match_transactions(erp: DataFrame, payment: DataFrame) -> DataFrame:
-    """One row per ledger row: the payment found for it, the score and its band."""
-    pairs = look_up(erp, "transaction_id", [first_payments(payment)], ["src_row"])
+def match_transactions(
+    erp: DataFrame, payment: DataFrame, stats: KeyStats | None = None
+) -> DataFrame:
+    """One row per ledger row: the payment found for it, the score and its band.
+
+    ``stats`` are those of the ledger's ids.
+    """
+    rights = [first_payments(payment)]
+    pairs = look_up(erp, "transaction_id", rights, ["src_row"], stats=stats)
     return match_table(score_pairs(pairs))
 
 

@@ -7,8 +7,16 @@ from ..functions import DIFF, MONEY, whole_days_between
 from ..schemas import ORDER_COLUMNS, RECONCILIATION_COLUMNS
 from .joins import look_up
 from .keys import first_per_key, repeated_keys
+from .keystats import KeyStats, sketch_keys
 from .matching import evidence, first_payments, match_band, match_score, score_pairs
 
+# Statistics of the ledger's and the payments' keys, by table.
+Stats = dict[str, KeyStats]
+
+
+def _of(stats: Stats | None, table: str) -> KeyStats | None:
+    return None if stats is None else stats.get(table)
+
 
 def status_of(
     erp_amount: Column,
@@ -33,7 +41,7 @@ def status_of(
     )
 
 
-def settled_payments(payment: DataFrame, bank: DataFrame) -> DataFrame:
+def settled_payments(payment: DataFrame, bank: DataFrame, stats: Stats | None = None) -> DataFrame:
     """First payment per reference with the first bank row of its gateway id, keyed by ``_key``."""
     paid = first_payments(payment).withColumnRenamed("_key", "p_reference")
     settled = first_per_key(bank, "reference_number", ["src_row"]).select(
@@ -42,13 +50,22 @@ def settled_payments(payment: DataFrame, bank: DataFrame) -> DataFrame:
         F.col("value_date").alias("b_date"),
         F.lit(True).alias("b_found"),
     )
-    profile = payment.select(F.col("gateway_transaction_id").alias("p_gateway_transaction_id"))
-    return look_up(
-        paid, "p_gateway_transaction_id", [settled], ["p_src_row"], profile=profile
-    ).withColumnRenamed("p_reference", "_key")
+    key = "gateway_transaction_id"
+    paid = paid.withColumnRenamed(f"p_{key}", key)
+    mine = _of(stats, "payment_gateway")
+    if mine is None:
+        # cheaper to scan than first rows, and a bound for them
+        mine = KeyStats.of(sketch_keys(payment, [key]), [key])
+    return (
+        look_up(paid, key, [settled], ["p_src_row"], stats=mine)
+        .withColumnRenamed(key, f"p_{key}")
+        .withColumnRenamed("p_reference", "_key")
+    )
 
 
-def scored_pairs(erp: DataFrame, payment: DataFrame, bank: DataFrame) -> DataFrame:
+def scored_pairs(
+    erp: DataFrame, payment: DataFrame, bank: DataFrame, stats: Stats | None = None
+) -> DataFrame:
     """One row per ledger row with its payment, bank row, number of copies and scores.
 
     ``own_score`` belongs to the row, ``entity_match_score`` to the first copy of its id. The two
@@ -56,8 +73,9 @@ def scored_pairs(erp: DataFrame, payment: DataFrame, bank: DataFrame) -> DataFra
     """
     compared = list(evidence().values())
     repeated = repeated_keys(erp, "transaction_id", F.struct(*compared))
-    rights = [repeated, settled_payments(payment, bank)]
-    rows = look_up(erp, "transaction_id", rights, ["src_row"], keyless=(0,))
+    rights = [repeated, settled_payments(payment, bank, stats)]
+    mine = _of(stats, "erp_transactions")
+    rows = look_up(erp, "transaction_id", rights, ["src_row"], keyless=(0,), stats=mine)
     differs = F.lit(False)
     for c in compared:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"lead.{c}"))
@@ -73,7 +91,11 @@ def scored_pairs(erp: DataFrame, payment: DataFrame, bank: DataFrame) -> DataFra
 
 
 def pairs_from_matches(
-    erp: DataFrame, payment: DataFrame, bank: DataFrame, matches: DataFrame
+    erp: DataFrame,
+    payment: DataFrame,
+    bank: DataFrame,
+    matches: DataFrame,
+    stats: Stats | None = None,
 ) -> DataFrame:
     """The same with the first score per id looked up in a match table."""
     first = first_per_key(matches, "transaction_id", ["src_row"]).select(
@@ -81,8 +103,9 @@ def pairs_from_matches(
         "entity_match_score",
         "entity_match_confidence",
     )
-    rights = [repeated_keys(erp, "transaction_id"), settled_payments(payment, bank), first]
-    return look_up(erp, "transaction_id", rights, ["src_row"], keyless=(0,)).fillna(
+    rights = [repeated_keys(erp, "transaction_id"), settled_payments(payment, bank, stats), first]
+    mine = _of(stats, "erp_transactions")
+    return look_up(erp, "transaction_id", rights, ["src_row"], keyless=(0,), stats=mine).fillna(
         {"entity_match_score": 0.0, "entity_match_confidence": "NO_MATCH"}
     )
 
@@ -123,22 +146,30 @@ def reconcile_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def reconcile_transactions(
-    erp: DataFrame, payment: DataFrame, bank: DataFrame, matches: DataFrame | None = None
+    erp: DataFrame,
+    payment: DataFrame,
+    bank: DataFrame,
+    matches: DataFrame | None = None,
+    stats: Stats | None = None,
 ) -> DataFrame:
     """One row per ledger row, in the twenty reconciliation columns plus the row order.
 
     Copies of an id share the score of its first copy. Without ``matches`` that score is computed
-    here, on the row pair at hand; with it, the first match per id is looked up.
+    here, on the row pair at hand; with it, the first match per id is looked up. With ``stats`` of
+    both tables' keys, nothing runs before the result is asked for.
     """
     if matches is None:
-        return reconcile_pairs(scored_pairs(erp, payment, bank))
-    return reconcile_pairs(pairs_from_matches(erp, payment, bank, matches))
+        return reconcile_pairs(scored_pairs(erp, payment, bank, stats))
+    return reconcile_pairs(pairs_from_matches(erp, payment, bank, matches, stats))
 
 
-def unexpected_payments(payment: DataFrame, erp: DataFrame) -> DataFrame:
+def unexpected_payments(
+    payment: DataFrame, erp: DataFrame, stats: Stats | None = None
+) -> DataFrame:
     """Every payment whose reference is null or no ledger id, in reconciliation columns."""
     ids = erp.select(F.col("transaction_id").alias("_key")).where("_key IS NOT NULL").distinct()
-    alone = look_up(payment, "merchant_reference", [ids], ["src_row"], how="left_anti")
+    mine = _of(stats, "payment_gateway")
+    alone = look_up(payment, "merchant_reference", [ids], ["src_row"], "left_anti", stats=mine)
     nothing = {
         "string": ["invoice_id", "customer_id", "store_id"],
         "timestamp_ntz": ["erp_transaction_date", "bank_transaction_date"],
@@ -164,16 +195,22 @@ def unexpected_payments(payment: DataFrame, erp: DataFrame) -> DataFrame:
     )
 
 
-def add_unexpected_payments(reconciliation: DataFrame, payment: DataFrame, erp: DataFrame):
-    return reconciliation.unionByName(unexpected_payments(payment, erp))
+def add_unexpected_payments(
+    reconciliation: DataFrame, payment: DataFrame, erp: DataFrame, stats: Stats | None = None
+):
+    return reconciliation.unionByName(unexpected_payments(payment, erp, stats))
 
 
 def reconcile(
-    erp: DataFrame, payment: DataFrame, bank: DataFrame, matches: DataFrame | None = None
+    erp: DataFrame,
+    payment: DataFrame,
+    bank: DataFrame,
+    matches: DataFrame | None = None,
+    stats: Stats | None = None,
 ) -> DataFrame:
     """The whole reconciliation table."""
     return add_unexpected_payments(
-        reconcile_transactions(erp, payment, bank, matches), payment, erp
+        reconcile_transactions(erp, payment, bank, matches, stats), payment, erp, stats
     )
 
 

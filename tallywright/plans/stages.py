@@ -3,21 +3,33 @@
 The stages are the cleaned sources, the entity matches, the reconciliation, the register, the
 anomalies and the two reporting tables. They are Parquet tables in the folder that
 ``spark.checkpoint.dir`` names, so later queries prune columns and partitions, and a lost executor
-costs no recomputation of an earlier stage.
+costs no recomputation of an earlier stage. Tables whose keys are looked up have the statistics of these
+keys beside them. A run can be saved, and opened by another application, which goes on from its tables.
 """
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import anomaly, bi, cleaning, matching, reconcile, register
+from ..operators.keystats import KeyStats, read_sketches, sketch_keys, write_sketches
+from ..schemas import RAW_COLUMNS
 from ..session import shared_folder
+from ..sources.saved import open_run, save_run
 from ..sources.tables import PUBLISHED, load_raw, publish, write_table
 
 CREATED = "2026-09-01"
 
+# Keys that are looked up, by table.
+KEYS = {
+    "erp_transactions": ["transaction_id"],
+    "payment_gateway": ["merchant_reference", "gateway_transaction_id"],
+    "exception_register": ["transaction_id"],
+}
+PARTITIONED = {"reconciliation": "reconciliation_status"}
+REPORTS = ("exception_table", "transaction_table")
+
 
 class Stages:
     def __init__(
@@ -26,100 +38,143 @@ class Stages:
         raw: dict[str, DataFrame],
         created: str = CREATED,
         date_formats: tuple[str, ...] = (),
+        saved: dict[str, DataFrame] | None = None,
     ):
         self.spark, self.raw, self.created = spark, raw, created
         self.date_formats = date_formats
         app = spark.sparkContext.applicationId
-        self._reports: dict[tuple[str, bool], DataFrame] = {}
+        self._tables: dict[str, DataFrame] = dict(saved or {})
+        self._stats: dict[str, KeyStats] = {}
         self.folder = f"{shared_folder(spark)}/tallywright/{app}/{uuid.uuid4().hex}"
 
-    def _stage(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        path = write_table(df, f"{self.folder}/{name}", partition_by=partition_by)
-        return self.spark.read.schema(df.schema).parquet(path)
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str, check_rows: bool = True) -> "Stages":
+        """The stages of a saved run. What it did not save is built from what it did; the raw sources
+        are not needed. A run that is not whole raises."""
+        tables, parameters = open_run(spark, folder, check_rows)
+        sketches = {n: tables.pop(f"{n}.keys") for n in KEYS if f"{n}.keys" in tables}
+        if not parameters["forest"]:
+            tables["amount_anomalies"] = tables.pop("anomaly_detection")
+            for name in REPORTS:
+                tables[f"{name}_amounts"] = tables.pop(name)
+        formats = tuple(parameters["date_formats"])
+        opened = cls(spark, {}, parameters["created"], formats, saved=tables)
+        opened._stats = {n: KeyStats.of(sketches[n], KEYS[n]) for n in sketches}
+        return opened
+
+    def _stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._tables:
+            df = build()
+            path = write_table(df, f"{self.folder}/{name}", partition_by=PARTITIONED.get(name))
+            self._tables[name] = self.spark.read.schema(df.schema).parquet(path)
+        return self._tables[name]
+
+    def key_stats(self, name: str) -> KeyStats:
+        """Statistics of the keys of a stage table; sketched when they are first asked for, and kept
+        beside the table."""
+        if name not in self._stats:
+            df, path = self._tables[name], f"{self.folder}/{name}.keys"
+            write_sketches(df, KEYS[name], path)
+            self._stats[name] = read_sketches(self.spark, [path], df, KEYS[name])
+        return self._stats[name]
+
+    @property
+    def stats(self) -> dict[str, KeyStats]:
+        """Statistics of the ledger's and the payments' keys."""
+        self.ledger  # noqa: B018
+        return {name: self.key_stats(name) for name in ("erp_transactions", "payment_gateway")}
 
-    @cached_property
+    @property
     def cleaned(self) -> dict[str, DataFrame]:
-        return {
-            name: self._stage(name, df) for name, df in cleaning.clean_all(
-                self.raw, self.date_formats
-            ).items()
-        }
+        if any(name not in self._tables for name in RAW_COLUMNS):
+            if not self.raw:
+                raise FileNotFoundError("the run has neither raw nor cleaned sources")
+            for name, df in cleaning.clean_all(self.raw, self.date_formats).items():
+                self._stage(name, lambda df=df: df)
+        return {name: self._tables[name] for name in RAW_COLUMNS}
 
     @property
     def ledger(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         c = self.cleaned
         return c["erp_transactions"], c["payment_gateway"], c["bank_transactions"]
 
-    @cached_property
+    @property
     def pairs(self) -> DataFrame:
         """Ledger rows with payment, bank row and scores; scored once for all that follows."""
-        return self._stage("ledger_pairs", reconcile.scored_pairs(*self.ledger))
+        return self._stage("ledger_pairs", lambda: reconcile.scored_pairs(*self.ledger, self.stats))
 
-    @cached_property
+    @property
     def matches(self) -> DataFrame:
-        return self._stage("entity_matches", matching.match_table(self.pairs))
+        return self._stage("entity_matches", lambda: matching.match_table(self.pairs))
 
-    @cached_property
+    @property
     def reconciliation(self) -> DataFrame:
         """Partitioned by status: most reports read the exceptions only."""
-        erp, payment, _ = self.ledger
-        rows = reconcile.add_unexpected_payments(
-            reconcile.reconcile_pairs(self.pairs), payment, erp
-        )
-        return self._stage("reconciliation", rows, "reconciliation_status")
 
-    @cached_property
+        def build():
+            erp, payment, _ = self.ledger
+            rows = reconcile.reconcile_pairs(self.pairs)
+            return reconcile.add_unexpected_payments(rows, payment, erp, self.stats)
+
+        return self._stage("reconciliation", build)
+
+    @property
     def exceptions(self) -> DataFrame:
         return self._stage(
             "exception_register",
-            register.build_exception_register(self.reconciliation, self.created),
+            lambda: register.build_exception_register(self.reconciliation, self.created),
         )
 
-    @cached_property
+    @property
     def anomalies(self) -> DataFrame:
-        return self._stage("anomaly_detection", anomaly.detect_anomalies(self.reconciliation))
+        return self._stage(
+            "anomaly_detection", lambda: anomaly.detect_anomalies(self.reconciliation)
+        )
 
-    @cached_property
+    @property
     def amount_anomalies(self) -> DataFrame:
         """Without the isolation forest."""
         return self._stage(
-            "amount_anomalies", anomaly.detect_anomalies(self.reconciliation, forest=False)
+            "amount_anomalies", lambda: anomaly.detect_anomalies(self.reconciliation, forest=False)
         )
 
     def flags(self, forest: bool = True) -> DataFrame:
         return self.anomalies if forest else self.amount_anomalies
 
     def exception_table(self, forest: bool = True) -> DataFrame:
-        return self._report(
-            "exception_table",
-            forest,
-            lambda: bi.exception_table(self.exceptions, self.reconciliation, self.flags(forest)),
+        return self._stage(
+            "exception_table" if forest else "exception_table_amounts",
+            lambda: bi.exception_table(
+                self.exceptions,
+                self.reconciliation,
+                self.flags(forest),
+                self.key_stats("exception_register"),
+            ),
         )
 
     def transaction_table(self, forest: bool = True) -> DataFrame:
-        return self._report(
-            "transaction_table",
-            forest,
+        return self._stage(
+            "transaction_table" if forest else "transaction_table_amounts",
             lambda: bi.transaction_table(self.reconciliation, self.flags(forest)),
         )
 
-    def _report(self, name: str, forest: bool, build: Callable[[], DataFrame]) -> DataFrame:
-        if (name, forest) not in self._reports:
-            suffix = "" if forest else "_amounts"
-            self._reports[name, forest] = self._stage(f"{name}{suffix}", build())
-        return self._reports[name, forest]
-
     def publish(self, names: list[str] = PUBLISHED, forest: bool = True) -> None:
         """Make stage tables known to SQL under their names."""
         publish(self.pick(names, forest), names)
 
-    def save_all(self, folder: str, fmt: str = "parquet") -> dict[str, str]:
-        """Write the nine published tables and the two reports to ``folder/<table>``."""
-        tables = self.pick(PUBLISHED) | {
-            "exception_table": self.exception_table(),
-            "transaction_table": self.transaction_table(),
-        }
-        return {n: write_table(df, f"{folder}/{n}", fmt) for n, df in tables.items()}
+    def save_all(self, folder: str, fmt: str = "parquet", forest: bool = True) -> dict[str, str]:
+        """Write the nine published tables and the two reports to ``folder/<table>``, and a manifest
+        that marks the run as whole; the paths by table. Without ``forest`` the anomalies are those of
+        the amount rules, under the same names. Parquet runs also keep the statistics of keys."""
+        tables = {n: lambda n=n: self.pick([n], forest)[n] for n in PUBLISHED}
+        tables["exception_table"] = lambda: self.exception_table(forest)
+        tables["transaction_table"] = lambda: self.transaction_table(forest)
+        if fmt == "parquet":
+            for name, keys in KEYS.items():
+                tables[f"{name}.keys"] = lambda n=name, k=keys: sketch_keys(self._tables[n], k)
+        parameters = {"created": self.created, "date_formats": self.date_formats, "forest": forest}
+        paths = save_run(self.spark, folder, tables, parameters, fmt, PARTITIONED)
+        return {name: path for name, path in paths.items() if not name.endswith(".keys")}
 
     def close(self) -> None:
         """Remove the folder of the stage tables; they cannot be read any more."""
@@ -144,7 +199,8 @@ def from_files(
     fmt: str = "csv",
     ordered: bool = True,
     date_formats: tuple[str, ...] = (),
+    multi_line: bool = False,
 ) -> Stages:
-    """Stages over raw source files."""
-    raw = load_raw(spark, folder, fmt, ordered)
+    """Stages over raw source files; ``multi_line`` allows line breaks in quoted CSV fields."""
+    raw = load_raw(spark, folder, fmt, ordered, multi_line)
     return Stages(spark, raw, date_formats=date_formats)

@@ -1,12 +1,14 @@
 """File sources and sinks (CSV, Parquet) and the SQL catalog of the nine published tables."""
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import RAW_COLUMNS, raw_schema
+from ..session import shared_folder
 
 # The tables that the SQL packs may use.
 PUBLISHED = [
@@ -22,6 +24,8 @@ PUBLISHED = [
 ]
 
 _PLACE_BITS = 40
+RANKED_AT_ONCE = 100_000  # paths that one task ranks and that are sent to all executors
+_SPAN = 1 << 27  # bytes of a file that share a row of a longer list
 
 # Quotes are doubled inside quoted fields; a row of the wrong width is an error.
 CSV = {"header": True, "quote": '"', "escape": '"'}
@@ -29,21 +33,49 @@ CSV_IN = CSV | {"enforceSchema": False, "mode": "FAILFAST"}
 CSV_OUT = CSV | {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def with_src_row(scan: DataFrame, path: str, fmt: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Paths and sizes of the files of a scan: ``_file``, ``_bytes``; contents are not read."""
+    meta = F.col("_metadata")
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(meta["file_path"].alias("_file"), meta["file_size"].alias("_bytes"))
+
+
+def rank_files(files: DataFrame, at_once: int = RANKED_AT_ONCE) -> tuple[DataFrame, bool]:
+    """``files`` with ``_no``, the rank of each path from 0, and whether they are few.
+
+    Up to ``at_once`` paths are ranked by one task. A longer list is dealt by ranges of paths and
+    written, so that the ranges stay as they are; each range then starts after the rows of those before.
+    """
+    spark = files.sparkSession
+    if files.limit(at_once + 1).count() <= at_once:
+        return files.withColumn("_no", F.row_number().over(Window.orderBy("_file")) - 1), True
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()
+    dealt = files.repartitionByRange(parts, "_file").sortWithinPartitions("_file")
+    path = f"{shared_folder(spark)}/tallywright/files/{uuid.uuid4().hex}"
+    write_table(dealt.select("*", F.shiftright(place, 33).alias("_range"), place.alias("_at")), path)
+    dealt = spark.read.parquet(path)
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_range", "_first", F.coalesce(before, F.lit(0)).alias("_start"))
+    ranked = dealt.join(F.broadcast(starts), "_range")
+    return ranked.select("_file", "_bytes", (F.col("_start") + F.col("_at") - F.col("_first")).alias("_no")), False
+
+
+def with_src_row(
+    scan: DataFrame, path: str, fmt: str, at_once: int = RANKED_AT_ONCE, span: int = _SPAN
+) -> DataFrame:
     """Number the rows of a plain file scan in file order, in one pass over the files.
 
     The number is the file's rank by path and the row's place in the file: its row index in Parquet,
     in CSV the start of the block that holds it plus its place in the scan task. A row takes a byte
     at least and a task starts with any block that is not its file's last, so places rise through
-    a file; a scan that packs its blocks in another way raises. Only paths are ranked.
+    a file; a scan that packs its blocks in another way raises.
+
+    Rows are not shuffled: the list of ranks is counted, and sent to them. Only where files are more
+    than ``at_once`` are rows joined to it, by path and ``span`` bytes, so that a long file is many keys.
     """
     spark, meta = scan.sparkSession, F.col("_metadata")
-    files = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("_file"))
-        .withColumn("_no", F.row_number().over(Window.orderBy("_file")).cast("bigint") - 1)
-    )
     if fmt == "parquet":
         place = meta["row_index"]
     else:
@@ -53,17 +85,28 @@ def with_src_row(scan: DataFrame, path: str, fmt: str) -> DataFrame:
         place = F.when(ends | (inside < length), start + inside).otherwise(
             F.raise_error(F.lit("file blocks are packed out of order; rows cannot be numbered"))
         )
-    placed = scan.select("*", meta["file_path"].alias("_path"), place.alias("_place"))
+    # a place is below the size of its file, or little above it in a task's last block
+    last = F.floor(meta["file_size"] / F.lit(span))
+    placed = scan.select(
+        "*",
+        meta["file_path"].alias("_path"),
+        place.alias("_place"),
+        F.least(F.floor(place / F.lit(span)), last).alias("_of"),
+    )
+    files, few = rank_files(list_files(spark, path), at_once)
+    same = F.col("_path") == F.col("_file")
+    if few:
+        # ``at_once`` paths at most
+        numbered = placed.join(F.broadcast(files), same)
+    else:
+        spans = F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("_bytes") / F.lit(span)))
+        spread = files.withColumn("_span", F.explode(spans))
+        numbered = placed.join(spread, same & (F.col("_of") == F.col("_span")))
     fits = (F.col("_no") < 1 << 23) & (F.col("_place") < 1 << _PLACE_BITS)
-    number = F.when(fits, F.shiftleft(F.col("_no"), _PLACE_BITS) + F.col("_place")).otherwise(
+    number = F.when(fits, F.shiftleft(F.col("_no").cast("bigint"), _PLACE_BITS) + F.col("_place")).otherwise(
         F.raise_error(F.lit("more than 2^23 files, or a file of more than 2^40 bytes"))
     )
-    # a path per file, 2^23 at most; the size of the list decides how it is joined
-    return (
-        placed.join(files, F.col("_path") == F.col("_file"))
-        .withColumn("src_row", number)
-        .drop("_path", "_file", "_place", "_no")
-    )
+    return numbered.withColumn("src_row", number).select(*scan.columns, "src_row")
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False):
@@ -126,6 +169,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     return path
 
 
+def write_counted(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> int:
+    """The same, and the number of rows, counted as they are written."""
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt, partition_by)
+    return seen.get["rows"]
+
+
 def publish(tables: dict[str, DataFrame], names: list[str] = PUBLISHED) -> None:
     """Make the tables known to SQL; a missing one is an error."""
     missing = [n for n in names if n not in tables]

@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallywright.operators import joins, keys
+from tallywright.operators import bi, joins, keys
+from tallywright.operators.bloom import bloom_filter, may_hold
+from tallywright.operators.keystats import KeyStats, combine_sketches, read_sketches, sketch_keys, write_sketches
 from tallywright.operators.register import by_status
 from tallywright.operators.bi import OTHER_PRIORITY, STATUS_PRIORITY
 
@@ -140,3 +142,122 @@ def test_one_exchange_for_each_side(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_sketches_of_parts_are_stored_and_merged(spark, tmp_path):
+    whole = spark.range(9000).selectExpr(
+        "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS a", "IF(id % 2 = 0, NULL, id % 5) AS b", "id"
+    )
+    parts = [whole.where("id < 2000"), whole.where("id >= 2000"), whole.limit(0)]
+    for i, part in enumerate(parts):
+        write_sketches(part, ["a", "b"], str(tmp_path / str(i)))
+    paths = [str(tmp_path / str(i)) for i in range(3)]
+    merged = read_sketches(spark, paths, whole, ["a", "b"])
+    at_once = KeyStats.of(sketch_keys(whole, ["a", "b"]), ["a", "b"])
+    assert merged.rows == at_once.rows == {"a": 9000, "b": 4500}
+    assert merged.top["a"][0] == ("hot", 3000)
+    assert sorted(merged.top["b"]) == sorted(at_once.top["b"]) == [(k, 900) for k in range(5)]
+    assert merged.above("a", 100, 8) == ["hot"] and merged.above("b", 901, 100) == []
+    assert merged.above("b", 1, 4) == []
+    nothing = read_sketches(spark, paths[2:], whole, ["a", "b"])
+    assert nothing.rows == {"a": 0, "b": 0} and nothing.above("a", 1, 1) == []
+    assert combine_sketches(spark.read.parquet(*paths), ["a"]).count() == 1
+
+
+def test_look_up_with_statistics_needs_no_pass(spark, low_bar):
+    left = spark.createDataFrame(
+        [("hot", i) for i in range(300)] + [(str(i), i) for i in range(600)], "k string, n long"
+    )
+    right = spark.createDataFrame([("hot", 1), ("1", 2)], "_key string, v int")
+    stats = KeyStats.of(sketch_keys(left, ["k"]), ["k"])
+    assert joins.heavy_keys(left, "k", stats) == joins.heavy_keys(left, "k") == ["hot"]
+    got = joins.look_up(left, "k", [right], ["n"], stats=stats)
+    want = left.join(right, left.k == right["_key"], "left").drop("_key")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # statistics only choose the way: wrong ones change nothing
+    wrong = KeyStats({"k": 900}, {"k": [("1", 900)]})
+    other = joins.look_up(left, "k", [right], ["n"], stats=wrong)
+    assert sorted(map(str, other.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("places", [1 << 15, 1 << 27])
+def test_a_bloom_filter_loses_no_key(spark, places):
+    held = spark.range(0, 3000, 3).selectExpr("CAST(id AS STRING) AS k").union(
+        spark.sql("SELECT CAST(NULL AS STRING)")
+    )
+    rows = spark.range(30_000).selectExpr("CAST(id AS STRING) AS k", "id").union(
+        spark.sql("SELECT CAST(NULL AS STRING), -1")
+    )
+    passed = {r.k for r in may_hold(rows, "k", bloom_filter(held, "k", places), places).collect()}
+    keys_held = {str(i) for i in range(0, 3000, 3)}
+    assert keys_held <= passed and None not in passed
+    assert len(passed - keys_held) < (10 if places > 1 << 20 else 2500)
+    empty = may_hold(rows, "k", bloom_filter(held.limit(0), "k", places), places)
+    assert empty.count() == 0
+
+
+def test_bloom_filter_sizes(spark):
+    for places in (0, 1000, 1 << 32):
+        with pytest.raises(ValueError):
+            bloom_filter(spark.range(1), "id", places)
+
+
+def test_one_per_key_fails_in_the_job(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("b", 2, None), (None, 3, "z")], "k string, v int, w string")
+    assert sorted(map(str, keys.one_per_key(df, "k").collect())) == sorted(map(str, df.collect()))
+    assert keys.one_per_key(df.select("k"), "k").columns == ["k"]
+    for again in (df.where("k = 'a'"), df.where("k IS NULL")):
+        twice = keys.one_per_key(df.union(again), "k")  # nothing runs yet
+        with pytest.raises(Exception, match="k is not unique"):
+            twice.collect()
+
+
+def exception_tables(spark, ids):
+    """A register of two ids, and reconciliation and anomaly rows of ``ids``."""
+    register = spark.createDataFrame([("E1", "t1"), ("E2", "t2"), ("E3", None)], "exception_id string, transaction_id string")
+    for c in bi.FROM_REGISTER[2:]:
+        register = register.withColumn(c, F.lit(None).cast("string"))
+    rows = spark.createDataFrame(ids, "transaction_id string, src_branch int, src_row long")
+    recon = rows.select("*", *[F.lit(None).cast("string").alias(c) for c in bi.FROM_RECONCILIATION])
+    recon = recon.withColumn("store_id", F.col("src_row").cast("string"))
+    flags = rows.select("*", *[F.lit(None).cast("boolean").alias(c) for c in bi.ANOMALY_COLUMNS])
+    return register, recon, flags
+
+
+def test_a_doubled_right_side_fails_the_exception_table(spark):
+    register, recon, flags = exception_tables(spark, [("t1", 0, 5), ("t1", 0, 2), ("t9", 0, 1), (None, 0, 3)])
+    # repeated rows of an id are expected: the first one counts
+    got = {r.exception_id: r.store_id for r in bi.exception_table(register, recon, flags).collect()}
+    assert got == {"E1": "2", "E2": None, "E3": None}
+    with pytest.raises(Exception, match="not unique: t1"):
+        bi.join_exceptions(register, recon, flags.limit(0)).collect()
+    with pytest.raises(Exception, match="not unique: t1"):
+        bi.join_exceptions(register, recon.limit(0), flags).collect()
+
+
+def test_rows_that_fail_the_filter_are_not_shuffled(spark, partitions):
+    """A third of the rows on one id, and nearly all others not in the register."""
+    partitions(16)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for k, v in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(k, v)
+    try:
+        register, recon, flags = exception_tables(spark, [("t1", 0, 0)])
+        many = spark.range(0, 60_000, 1, 8).selectExpr(
+            "IF(id % 3 = 0, 't1', concat('u', id)) AS transaction_id", "0 AS src_branch", "id AS src_row"
+        )
+        recon = many.join(recon.drop(*many.columns).limit(1), how="cross").select(*recon.columns)
+        first = bi.exception_table(register, recon, flags)
+        plan = first._jdf.queryExecution().executedPlan().toString()
+        # the filter is tested, and ids are ranked, below the exchange of the rows
+        ranked = plan.split("Exchange hashpartitioning(transaction_id")[1]
+        assert ranked.index("WindowGroupLimit") < ranked.index("BroadcastHashJoin")
+        bits = bloom_filter(register, "transaction_id")
+        near = keys.first_per_key(may_hold(recon, "transaction_id", bits), "transaction_id", ["src_row"])
+        assert [r.transaction_id for r in near.collect()] == ["t1"]
+        # of the hot id, one row for each task is shuffled
+        passed = may_hold(recon, "transaction_id", bits).groupBy(F.spark_partition_id()).count()
+        assert passed.agg(F.max("count") / F.min("count")).first()[0] < 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -7,7 +7,8 @@ from tallywright.checks.registry import raw_tables
 from tallywright.plans.stages import Stages, from_files
 from tallywright.schemas import RAW_COLUMNS
 from tallywright.session import shared_folder
-from tallywright.sources.tables import load_raw, read_raw, table_counts, write_table
+from tallywright.sources import tables
+from tallywright.sources.tables import load_raw, rank_files, read_raw, table_counts, with_src_row, write_table
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
@@ -94,6 +95,76 @@ def test_rows_of_plain_files_are_numbered_in_file_order(spark, tmp_path, block):
     assert len({r.src_row for r in got}) == n
 
 
+@pytest.fixture
+def small_blocks(spark):
+    """Scans split files into blocks of some hundred bytes, and broadcast little by themselves."""
+    values = {
+        "spark.sql.files.maxPartitionBytes": "700",
+        "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.autoBroadcastJoinThreshold": "200000",
+    }
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def bank_files(folder, sizes):
+    columns = RAW_COLUMNS["bank_transactions"]
+    folder.mkdir()
+    n = 0
+    for part, size in enumerate(sizes):
+        rows = [",".join([f"B{n + i:06d}", *[""] * (len(columns) - 1)]) for i in range(size)]
+        n += size
+        (folder / f"part-{part:03d}.csv").write_text("\n".join([",".join(columns), *rows]) + "\n")
+    return str(folder), n
+
+
+def test_numbering_moves_no_rows(spark, tmp_path, small_blocks):
+    path, _ = bank_files(tmp_path / "b", [3000, 2000, 10, 4000])
+    got = read_raw(spark, path, "bank_transactions", ordered=False)
+    assert spark.read.csv(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 10**5
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("== Initial Plan ==")[-1]
+    assert "SortMergeJoin" not in initial and "Exchange hashpartitioning" not in initial
+    assert initial.count("BroadcastHashJoin") == 1
+
+
+def test_a_long_list_of_files_is_ranked_in_ranges(spark, tmp_path, small_blocks):
+    path, n = bank_files(tmp_path / "b", [20 + 7 * i for i in range(40)])
+    files = tables.list_files(spark, path)
+    assert files.count() == 40
+    few, at_once = rank_files(files)
+    many, ranged = rank_files(files, at_once=5)
+    assert at_once and not ranged
+    order = sorted(r._file for r in files.collect())
+    for ranks in (few, many):
+        assert [r._file for r in sorted(ranks.collect(), key=lambda r: r._no)] == order
+        assert sorted(r._no for r in ranks.collect()) == list(range(40))
+    scan = spark.read.schema(tables.raw_schema("bank_transactions", with_order=False)).options(**tables.CSV_IN).csv(path)
+    by_list = with_src_row(scan, path, "csv")
+    # long files are several keys
+    by_span = with_src_row(scan, path, "csv", at_once=5, span=256)
+    got = {r.bank_transaction_id: r.src_row for r in by_span.collect()}
+    assert got == {r.bank_transaction_id: r.src_row for r in by_list.collect()} and len(got) == n
+    assert sorted(got, key=got.get) == sorted(got)
+
+
+def test_line_breaks_in_fields_reach_the_stages(spark, tmp_path):
+    raw = raw_tables(spark, FOLDER)
+    for name, df in raw.items():
+        if name == "customer_master":
+            df = df.withColumn("address", F.lit("12 A\nRoad"))
+        write_table(df.drop("src_row"), str(tmp_path / name), "csv")
+    s = from_files(spark, str(tmp_path), ordered=False, multi_line=True)
+    assert s.cleaned["customer_master"].select("address").distinct().collect()[0][0] == "12 A\nRoad"
+    assert s.cleaned["customer_master"].count() == raw["customer_master"].count()
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        from_files(spark, str(tmp_path), ordered=False).cleaned  # noqa: B018
+
+
 def test_rows_of_parquet_files_are_numbered_in_file_order(spark, tmp_path):
     columns = [F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS["bank_transactions"][1:]]
     rows = spark.range(0, 3000, 1, 4).select(F.format_string("B%06d", "id").alias("bank_transaction_id"), *columns)
