@@ -537,6 +537,16 @@ def _all() -> dict[str, str]:
     q["anom_flags_amounts"] = (
         f"SELECT {place}, transaction_id, {_shown(amount_flags)} FROM anomaly_detection"
     )
+    digits = "CAST('0x' || substr(m, {}, 8) AS BIGINT) % 2147483647"
+    q["anom_forest_sample"] = f"""SELECT tree, {place} FROM (
+        SELECT *, row_number() OVER (PARTITION BY tree
+                                     ORDER BY (a + tree * b) % 2147483647, src_branch, src_row) AS nth
+        FROM (SELECT src_branch, src_row, {digits.format(1)} AS a, {digits.format(9)} AS b,
+                  {digits.format(17)} AS c, n, unnest(range(0, 200)) AS tree
+              FROM (SELECT src_branch, src_row, count(*) OVER () AS n,
+                        md5('42|' || src_branch || '|' || src_row) AS m FROM reconciliation))
+        WHERE c < ceil(least(1.0::DOUBLE, 65536.0::DOUBLE / n) * 2147483647))
+        WHERE nth <= 256"""
     q["anom_forest_rules"] = """SELECT count(*) AS row_count, count(*) AS scores_in_range,
         count(*) AS flags_by_sign, count(*) AS methods_add_up, count(*) AS potential_if_any FROM filled"""
     # the two fixed trees as nested cases; 0.57… is Euler's constant, 256 the sample

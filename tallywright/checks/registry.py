@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZTy
 from ..operators import anomaly, bi, cleaning, dashboard, keys, matching, reconcile
 from ..operators import register as reg
 from ..operators import rootcause as rc
-from ..operators.forest import Forest
+from ..operators.forest import Forest, draw_samples
 from ..operators.joins import look_up
 from ..plans import packs
 from ..plans.stages import Stages
@@ -473,6 +473,15 @@ def _(s: Stages) -> DataFrame:
     )
 
 
+@query("anom_forest_sample")
+def _(s: Stages) -> DataFrame:
+    """The rows that each tree is grown from."""
+    rows = s.reconciliation.select(*ORDER_COLUMNS)
+    return draw_samples(rows, ORDER_COLUMNS, rows.count(), trees=200, seed=42).select(
+        "tree", *ORDER_COLUMNS
+    )
+
+
 @query("anom_forest_rules")
 def _(s: Stages) -> DataFrame:
     """How many rows keep what must hold for any forest."""

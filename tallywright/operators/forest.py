@@ -2,7 +2,7 @@
 
 Each tree is grown by its own task from a sample of at most 256 rows, so the whole model is at most
 ``trees * 511`` nodes whatever the table holds; that is what is sent to the scoring tasks. Samples
-are drawn by hashing the row id, and rows are sorted before a tree is grown: the same seed gives the
+are drawn by the md5 of the row id, and rows are sorted before a tree is grown: the same seed gives the
 same forest under any partitioning and after any task retry.
 """
 
@@ -21,14 +21,13 @@ from .trees import NODES, decide, grow_tree
 
 SAMPLE = 256
 POOL = 65_536  # rows that the trees of a larger table draw from
-_HASHES = 2.0**64
+PRIME = (1 << 31) - 1
 
 
-def _hash_below(h: Column, share: float) -> Column:
-    """True for the given share of all 64-bit hashes."""
-    if share >= 1.0:
-        return F.lit(True)
-    return h < F.lit(int(-(_HASHES / 2) + share * _HASHES))
+def _draw(df: DataFrame, row_id: list[str], seed: int, at: int) -> Column:
+    """A number from 0 to ``PRIME`` - 1 that eight digits of the row's md5 give, from digit ``at`` on."""
+    text = F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in row_id])
+    return F.conv(F.substring(F.md5(text), at, 8), 16, 10).cast("bigint") % PRIME
 
 
 def draw_samples(
@@ -36,21 +35,27 @@ def draw_samples(
 ) -> DataFrame:
     """``df`` with a column ``tree``: ``min(256, rows)`` rows per tree, without replacement.
 
-    One way for every size: rows whose hash is below a share form a pool of about ``POOL`` rows (all
-    rows of a smaller table), and every tree draws its rows from the pool by a hash of its own. That
-    hash is cut at four times the share that a tree needs, so few rows are ranked.
+    One way for every size. Three numbers of a row come from the md5 of the seed and its id. Rows whose
+    third number is below a share of them form a pool of about ``POOL`` rows (all rows of a smaller
+    table). A tree takes the 256 rows of the pool with the least (first + tree * second) modulo
+    ``PRIME``: in every tree these are independent uniform numbers, and those of two trees do not depend
+    on each other. They are cut at four times the share that a tree needs, so few rows are ranked.
+    Other systems that have md5 can draw the same rows.
     """
-    pool = df.where(
-        _hash_below(F.xxhash64(F.lit(seed), F.lit("pool"), *row_id), POOL / max(rows, 1))
+    pooled = df.withColumn("_third", _draw(df, row_id, seed, 17)).where(
+        F.col("_third") < math.ceil(min(1.0, POOL / max(rows, 1)) * PRIME)
     )
-    share = 4.0 * SAMPLE / max(1, min(rows, POOL))
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    drawn = drawn.withColumn("_h", F.xxhash64(F.lit(seed), "tree", *row_id)).where(
-        _hash_below(F.col("_h"), share)
+    share = min(1.0, 4.0 * SAMPLE / max(1, min(rows, POOL)))
+    drawn = (
+        pooled.withColumn("_first", _draw(df, row_id, seed, 1))
+        .withColumn("_second", _draw(df, row_id, seed, 9))
+        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .withColumn("_h", (F.col("_first") + F.col("tree") * F.col("_second")) % PRIME)
+        .where(F.col("_h") < math.ceil(share * PRIME))
     )
     w = Window.partitionBy("tree").orderBy("_h", *row_id)
     ranked = drawn.withColumn("_rank", F.row_number().over(w))
-    return ranked.where(F.col("_rank") <= SAMPLE).drop("_h", "_rank")
+    return ranked.where(F.col("_rank") <= SAMPLE).drop("_first", "_second", "_third", "_h", "_rank")
 
 
 @dataclass
