@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from .common import scratch
 from .components import connected_components
 
-_CANONICAL = r"""(?is)<link\s(?=[^>]{0,2000}?rel\s*=\s*["']?canonical)[^>]{0,2000}?href\s*=\s*["']?([^"'\s>]+)"""
-_REFRESH = r"""(?is)<meta\s(?=[^>]{0,2000}?http-equiv\s*=\s*["']?refresh)[^>]{0,2000}?url\s*=\s*["']?([^"'\s>]+)"""
+# A whole tag, however long; quoted values may hold ">". A quote that is never closed ends at ">".
+_TAG = r"""(?is)<(?:link|meta|base)(?=[\s/])(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)"""
+_ATTRIBUTE = r"""(?s)([^\s"'<>/=]++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+_HIDDEN = r"""(?is)<!--.*?(?:-->|$)|<script\b.*?(?:</script|$)"""
+_CODE = "&#([xX]?[0-9A-Fa-f]{1,6});?"
+# The entities that stand for the characters of markup.
+ENTITIES = {"&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -44,38 +49,130 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> C
     return F.coalesce(*fits) if fits else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
+def without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments; the first, which is empty, always stays."""
+
+    def step(kept, part):
+        shorter = F.slice(kept, F.lit(1), F.greatest(F.lit(1), F.size(kept) - 1))
+        return (
+            F.when(part == ".", kept).when(part == "..", shorter).otherwise(F.array_append(kept, part))
+        )
+
+    parts = F.split(path, "/")
+    # a closing dot segment leaves its slash
+    ended = F.when(path.rlike(r"/\.\.?$"), F.array_append(parts, F.lit(""))).otherwise(parts)
+    plain = F.array_join(F.aggregate(ended, F.array().cast("array<string>"), step), "/")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), plain).otherwise(path)
+
+
 def node(url: Column) -> Column:
-    """A URL without scheme, fragment and closing slash; null where it names no host."""
-    host, _ = url_parts(url)
-    tail = F.regexp_extract(url, r"://[^/?#]*([^#]*)", 1)
-    return F.when(host != "", F.concat(host, F.regexp_replace(tail, "/+(?=$|[?])", "")))
+    """A URL without scheme, fragment, dot segments and closing slash; null where it names no host."""
+    host, path = url_parts(url)
+    query = F.regexp_extract(url, r"://[^/?#]*[^?#]*([^#]*)", 1)
+    bare = F.regexp_replace(without_dots(path), "/+$", "")
+    return F.when(host != "", F.concat(host, bare, query))
 
 
 def absolute(base: Column, target: Column) -> Column:
     """``target`` as a full URL; relative ones are resolved against the host or folder of ``base``."""
     root = F.regexp_extract(base, r"^([^/?#]*://[^/?#]*)", 1)
+    scheme = F.regexp_extract(base, r"^([^/?#]*:)//", 1)
     folder = F.regexp_extract(base, r"^([^/?#]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     return (
-        F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
-        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+        F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), target)
+        .when(target.startswith("//"), F.concat(scheme, target))
         .when(target.startswith("/"), F.concat(root, target))
-        .when(target.startswith("?") | target.startswith("#"), F.concat(F.regexp_extract(base, "^([^?#]*)", 1), target))
+        .when(target.startswith("?"), F.concat(F.regexp_extract(base, "^([^?#]*)", 1), target))
+        .when(target.startswith("#") | (target == ""), base)
         .otherwise(F.concat(F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/"))), target))
     )
 
 
-def alias_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): pages joined to the URLs that their canonical link or refresh redirect names."""
-    html = F.coalesce(F.col("html"), F.lit(""))
-    small = F.lower(html)
-    found = F.array(
-        F.when(small.contains("canonical"), F.regexp_extract(html, _CANONICAL, 1)),
-        F.when(small.contains("refresh"), F.regexp_extract(html, _REFRESH, 1)),
+def unescaped(value: Column) -> Column:
+    """Character references by number, and those of markup by name, as their characters."""
+
+    def character(code):
+        hexadecimal = F.lower(code).startswith("x")
+        number = F.regexp_replace(code, "^[xX]", "")
+        decimal = F.conv(F.regexp_extract(code, "^([0-9]+)$", 1), 10, 16)
+        digits = F.lpad(F.when(hexadecimal, number).otherwise(decimal), 8, "0")
+        return F.coalesce(F.decode(F.unhex(digits), "UTF-32"), F.lit(""))
+
+    gaps = F.split(value, _CODE, -1)
+    codes = F.transform(F.regexp_extract_all(value, F.lit(_CODE), F.lit(1)), character)
+    joined = F.array_join(F.zip_with(gaps, codes, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    plain = F.when(value.contains("&#"), joined).otherwise(value)
+    for name, character_of in ENTITIES.items():
+        plain = F.replace(plain, F.lit(name), F.lit(character_of))
+    return F.when(value.contains("&"), plain).otherwise(value)
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is worked out once a row: a plain column would be copied into every
+    expression that names it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def tags_of(pages: DataFrame) -> DataFrame:
+    """(url, base, tag, names, values): a row per link and meta tag outside comments and scripts.
+
+    ``names`` are the tag's attributes in lower case, ``values`` theirs as written, ``base`` the target
+    of the page's first base tag with one, if any.
+    """
+    html = F.col("html")
+    shown = F.when(html.rlike("(?i)<!--|<script"), F.regexp_replace(html, _HIDDEN, " ")).otherwise(html)
+    whole = once(
+        pages.where(html.rlike("(?i)canonical|refresh")), "whole", F.regexp_extract_all(shown, F.lit(_TAG), F.lit(0))
+    )
+    bases = F.filter("whole", lambda t: t.rlike(r"(?is)^<base\s[^>]*href\s*="))
+    opened = once(whole, "first", F.get(bases, F.lit(0))).select(
+        "url",
+        F.regexp_extract_all(F.col("first"), F.lit(_ATTRIBUTE), F.lit(1)).alias("b_names"),
+        F.regexp_extract_all(F.col("first"), F.lit(_ATTRIBUTE), F.lit(2)).alias("b_values"),
+        F.explode("whole").alias("tag"),
     )
-    named = pages.select("url", F.explode(found).alias("to")).where("to != ''")
-    ends = named.select(node(F.col("url")).alias("a"), F.col("url"), F.col("to")).select(
-        "a", node(absolute(F.col("url"), F.col("to"))).alias("b")
+    lowered = lambda names: F.transform(names, lambda n: F.lower(n))
+    parts = once(
+        opened.where(~F.col("tag").rlike("(?i)^<base")),
+        "parts",
+        F.struct(
+            lowered(F.regexp_extract_all("tag", F.lit(_ATTRIBUTE), F.lit(1))).alias("names"),
+            F.regexp_extract_all("tag", F.lit(_ATTRIBUTE), F.lit(2)).alias("values"),
+            lowered(F.col("b_names")).alias("b_names"),
+        ),
     )
+    return once(parts, "base", unescaped(attribute(F.col("parts.b_names"), F.col("b_values"), "href"))).select(
+        "url", "base", F.lower(F.regexp_extract("tag", "^<([A-Za-z]+)", 1)).alias("tag"), "parts.names", "parts.values"
+    )
+
+
+def attribute(names: Column, values: Column, name: str) -> Column:
+    """The value of the first attribute of that name, without quotes, or null."""
+    at = F.array_position(names, name)
+    value = F.get(values, (F.nullif(at, F.lit(0).cast("bigint")) - 1).cast("int"))
+    return F.regexp_replace(value, "^[\"']|[\"']$", "")
+
+
+def alias_edges(pages: DataFrame) -> DataFrame:
+    """(a, b): pages joined to the URLs that their canonical links and refresh redirects name.
+
+    Every such tag counts, however long and in whatever order its attributes are. ``rel`` is a list of
+    words; relative targets follow the first ``base`` tag, if there is one.
+    """
+    own = lambda name: attribute(F.col("names"), F.col("values"), name)
+    rel = F.split(F.trim(F.lower(own("rel"))), r"\s+")
+    canonical = (F.col("tag") == "link") & F.array_contains(rel, "canonical")
+    refresh = (F.col("tag") == "meta") & (F.lower(F.trim(own("http-equiv"))) == "refresh")
+    raw = F.when(canonical, own("href")).when(refresh, own("content"))
+    found = once(tags_of(pages), "raw", raw).where("raw IS NOT NULL")
+    found = once(found, "given", unescaped(F.col("raw")))
+    named = F.regexp_extract("given", r"""(?is)^[\s0-9.;,]*+url\s*+=\s*+["']?+([^"']*+)""", 1)
+    bare = F.regexp_extract("given", r"""(?is)^\s*+[0-9][0-9.]*+\s*+[;,]\s*+["']?+([^"']*+)""", 1)
+    target = F.when(F.col("tag") == "link", F.col("given")).when(named != "", named).otherwise(bare)
+    found = once(found, "to", F.regexp_replace(target, r"^\s+|\s+$", "")).where("to != ''")
+    found = once(found, "from", F.coalesce(absolute(F.col("url"), F.col("base")), F.col("url")))
+    found = once(found, "full", absolute(F.col("from"), F.col("to")))
+    ends = found.select(node(F.col("url")).alias("a"), node(F.col("full")).alias("b"))
     return ends.where("a is not null and b is not null and a != b")
 
 
@@ -88,7 +185,8 @@ def judge_pages(
 
     ``redirects`` adds observed redirects as (source, target) URLs. Columns: page_id, host, path,
     rule, verdict (allow or block), from_alias (decided by the component). Null urls and urls
-    without ``://`` have empty parts, no rule and no aliases, and are allowed. Repeated rows and
+    without ``://`` have empty parts, no rule and no aliases, and are allowed. Links in comments and
+    scripts do not count. Repeated rows and
     ids are judged one by one; null html has no links; an empty table gives no rows. The rules are
     written into the plan, so they are meant to be a list that a person keeps.
     """

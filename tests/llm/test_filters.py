@@ -1,8 +1,11 @@
 """Quality rules, URL filters, decontamination and toxicity against plain results."""
 
 import random
+import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
+from urllib.parse import urljoin, urlsplit
 
 import pytest
 
@@ -11,7 +14,7 @@ from tallywright.llm.components import connected_components
 from tallywright.llm.decontaminate import contained_items
 from tallywright.llm.quality_rules import quality_rules
 from tallywright.llm.queries import URL_RULES
-from tallywright.llm.url_filter import judge_pages
+from tallywright.llm.url_filter import alias_edges, judge_pages
 
 from . import brute
 from .conftest import SMALL
@@ -150,6 +153,106 @@ def test_decisions_follow_aliases(spark):
     assert judge_pages(pages.limit(0), URL_RULES).count() == 0
 
 
+PAD = 'data-pad="' + "x" * 2_100 + '" '
+LINKS = {
+    '<link rel="canonical" href="http://x.com/de/1">': ["x.com/de/1"],
+    f'<link {PAD}rel="canonical" {PAD}href="http://x.com/de/1">': ["x.com/de/1"],
+    '<LINK HREF=http://x.com/de/1 REL=Canonical>': ["x.com/de/1"],
+    '<link rel="alternate canonical" href="/m">': ["a.net/m"],
+    '<link\nrel = \'x\tcanonical\'\nhref = "m?p=2&amp;r=x">': ["a.net/s/m?p=2&r=x"],
+    '<link rel=canonical href="../m">': ["a.net/m"],
+    '<link rel=canonical href="./../../../m/./n/../o/">': ["a.net/m/o"],
+    '<link rel=canonical href="//b.org/..">': ["b.org"],
+    '<link rel=canonical href="http:&#47;&#x2F;b.org/&#233;">': ["b.org/é"],
+    '<link rel=canonical title="a>b" href="http://b.org/c">': ["b.org/c"],
+    '<link rel=canonical href="http://b.org/1"><p><link rel=canonical href="http://b.org/2">': ["b.org/1", "b.org/2"],
+    '<base href="http://c.org/k/"><link rel=canonical href="m">': ["c.org/k/m"],
+    '<meta http-equiv="refresh" content="0; url=http://b.org/1">': ["b.org/1"],
+    "<meta content='5;URL=\"http://b.org/1\"' http-equiv=Refresh>": ["b.org/1"],
+    '<meta http-equiv="refresh" content="0; /x"><meta http-equiv=refresh content="3;url=/y">': ["a.net/x", "a.net/y"],
+    # none of these is a link to another page
+    '<link rel="stylesheet" data-note="rel=canonical" href="http://x.com/de/1">': [],
+    '<link rel="canonical-ish" href="http://x.com/de/1">': [],
+    '<link data-rel="canonical" href="http://x.com/de/1">': [],
+    '<!-- <link rel="canonical" href="http://x.com/de/1"> -->': [],
+    '<script>"<link rel=canonical href=http://x.com/de/1>"</script>': [],
+    '<meta http-equiv="refresh" content="30">': [],
+    '<link rel="canonical">': [],
+    '<link rel="canonical" href="">': [],
+    '<link rel="canonical" href="#top">': [],
+    '<link rel="canonical" href="mailto:x@y.z">': [],
+    '<link rel="canonical" href=http://x.com/de/1': [],
+    "refresh canonical": [],
+}
+
+
+def test_each_link_is_found(spark):
+    rows = [(f"http://a.net/s/p?i={i}", h) for i, h in enumerate(LINKS)]
+    got = {u: [] for u, _ in rows}
+    for r in alias_edges(spark.createDataFrame(rows, "url string, html string")).collect():
+        got["http://" + r.a].append(r.b)
+    assert {h: sorted(got[u]) for u, h in rows} == LINKS
+
+
+def plain_links(url, html):
+    """By the standard library's parser of markup and of URLs."""
+    found, base = [], []
+
+    class Parser(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            given = {}
+            for k, v in attrs:
+                given.setdefault(k, v or "")
+            if tag == "base" and "href" in given:
+                base.append(given["href"])
+            if tag == "link" and "canonical" in given.get("rel", "").lower().split():
+                found.append(given.get("href", ""))
+            if tag == "meta" and given.get("http-equiv", "").lower() == "refresh":
+                found.append(re.split("(?i)url=", given.get("content", ""))[-1].strip(" '\""))
+
+    parser = Parser()
+    parser.feed(html)
+    start = urljoin(url, base[0]) if base else url
+    out = []
+    for target in found:
+        if target:
+            p = urlsplit(urljoin(start, target))
+            out.append(p.netloc.lower() + p.path.rstrip("/") + ("?" + p.query if p.query else ""))
+    return sorted(out)
+
+
+def test_links_of_made_up_pages(spark):
+    draw = random.Random(8)
+    urls = ["http://B.org/x", "/r/s", "t", "../u", "./v/../w/", "?q=1&amp;z=2", "//c.org", "/a&#47;b", "http://d.net/é"]
+    rels = ["canonical", "CANONICAL nofollow", "stylesheet", "next canonical", "canonicals"]
+    rows = []
+    for i in range(300):
+        tags = []
+        for _ in range(draw.randint(0, 4)):
+            q = draw.choice("\"'")
+            attrs = [f"rel={q}{draw.choice(rels)}{q}", f"href={q}{draw.choice(urls)}{q}", draw.choice(["", "hidden", PAD, f"alt={q}rel=canonical > {q}"])]
+            draw.shuffle(attrs)
+            meta = f"<meta {draw.choice(['', 'a=b '])}http-equiv=refresh content={q}{draw.choice(['0', '3.5'])}; url={draw.choice(urls)}{q} />"
+            tags.append(draw.choice([f"<link {' '.join(attrs)}>", f"<Link  {' '.join(attrs)}/>", meta, "<p>canonical</p>", f"<!-- <link {attrs[0]}> -->"]))
+        if draw.random() < 0.2:
+            tags.insert(0, f"<base href='{draw.choice(urls[:4])}'>")
+        rows.append((f"http://a.net/f/g/{i}", "canonical<html>" + "\n".join(tags)))
+    got = {u: [] for u, _ in rows}
+    for r in alias_edges(spark.createDataFrame(rows, "url string, html string")).collect():
+        got["http://" + r.a].append(r.b)
+    assert {u: sorted(v) for u, v in got.items()} == {u: plain_links(u, h) for u, h in rows}
+
+
+def test_verdicts_reach_aliases_of_every_form(spark):
+    rows = list(enumerate(["http://x.com/de/1", *[f"http://a.net/s/p?i={i}" for i in range(len(LINKS))]]))
+    html = ["", *LINKS]
+    pages = spark.createDataFrame([(i, u, h) for (i, u), h in zip(rows, html)], "page_id int, url string, html string")
+    got = {r.page_id: r.verdict for r in judge_pages(pages, URL_RULES).collect()}
+    for i, targets in enumerate(LINKS.values(), 1):
+        # b.org is allowed by a rule, x.com/de/ is blocked
+        assert got[i] == ("block" if "x.com/de/1" in targets else "allow")
+
+
 def test_urls_of_the_small_table(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     urls = {r.page_id: r.url for r in pages.collect()}
