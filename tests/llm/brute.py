@@ -33,7 +33,7 @@ _KEYS = r"(?ai:password|passwd|secret|token|api_?key)"
 _SET = r"""["']?\x20*[:=]\x20*["']?"""
 
 
-def secrets(text, reach=300):
+def secrets(text, reach, weak_reach):
     base = (
         matches(
             "assign", f"({_KEYS}){_SET}([A-Za-z0-9+/_.=-]+)", text, lambda m: len(m[2]) >= 8
@@ -66,11 +66,23 @@ def secrets(text, reach=300):
     role = {"assign": "s", "hex": "s", "key_material": "s", "access": "i", "account": "i", "endpoint": "e"}
     need = {"key_material": "ie", "account": "s", "endpoint": "s"}
     everything = base + weak
-    linked = [
-        w
-        for w in weak
-        if any(role[o[0]] in need[w[0]] and abs(o[1] - w[1]) <= reach for o in everything)
-    ]
+    lines, at, breaks = (text or "").split("\n"), 0, []
+    for i, line in enumerate(lines):
+        bare = line.strip(" \t\r")
+        closes = bare[:1] in ("}", "]", ")") if bare else i < len(lines) - 1
+        if i and (closes or re.fullmatch(r"\[[^\]\n]+\]", bare)):
+            breaks.append(at - 1)
+        at += len(line) + 1
+
+    def confirms(w, o):
+        (k, a, b), (other, c, d) = w, o
+        if role[other] not in need[k] or not (d <= a or b <= c):
+            return False
+        if sum(x <= a for x in breaks) != sum(x <= c for x in breaks):
+            return False
+        return max(c - b, a - d) <= (reach if o in base else weak_reach)
+
+    linked = [w for w in weak if any(confirms(w, o) for o in everything)]
     order = ["assign", "access", "hex", "key_material", "account", "endpoint"]
     count = Counter(k for k, _, _ in base)
     return (

@@ -13,7 +13,7 @@ from . import brute
 ORDER = ["email", "ip", "card", "phone", "iban", "national_phone", "ssn"]
 ATOMS = [
     *"password secret TOKEN api_key ApiKey passwd user login AKIA AKIA1234567890ABCD".split(),
-    *["=", ":", " : ", "='", '="', " ", "  ", "\n", "é", "😀", "-", ".", "@", "+", "(", ")", "x"],
+    *["=", ":", " : ", "='", '="', " ", "  ", "\n", "\n", "\n}", "\n[x]", "\n\n", "\n \r\n", "é", "😀", "-", ".", "@", "+", "(", ")", "x"],
     *"abcdef0123456789abcdef0123456789 deadbeef 12345678 4111111111111111 4111-1111 1111".split(),
     *"192.168.0.1 999.1.1.1 1.2.3 +1 (555) 555-0100 a.b%c@d-e.f.g x@y z@ 0 7 255. 00255".split(),
     *"https://host/a?b wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY user=root DE89370400440532013000".split(),
@@ -35,10 +35,45 @@ def soup(spark):
     return rows, spark.createDataFrame(rows, "doc_id bigint, text string")
 
 
-def check_secrets(rows, df):
-    got = {r.doc_id: tuple(r)[2:] for r in secret_scan(df).collect()}
+def check_secrets(rows, df, reach=300, weak_reach=80):
+    got = {r.doc_id: tuple(r)[2:] for r in secret_scan(df, reach, weak_reach).collect()}
     for doc, text in rows:
-        assert got[doc] == brute.secrets(text), repr(text)
+        assert got[doc] == brute.secrets(text, reach, weak_reach), repr(text)
+
+
+MATERIAL = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"
+SPANS = {
+    # a secret of 400 characters beside its account, however long the secret is
+    f"secret={'aB3' * 134} user=root": "assign:0:409,account:410:419",
+    f"secret={'aB3' * 134}{' ' * 301}user=root": "assign:0:409",
+    f"secret={'aB3' * 134}{' ' * 300}user=root": "assign:0:409,account:709:718",
+    f"user=root{' ' * 300}token={'x' * 9}": "account:0:9,assign:309:324",
+    f"user=root{' ' * 301}token={'x' * 9}": "assign:310:325",
+    # what lies inside an address confirms nothing
+    f"https://docs.example/d/{MATERIAL}/edit": "",
+    f"https://docs.example/d/{MATERIAL}/edit {MATERIAL}": "endpoint:0:66,key_material:67:105",
+    f"https://docs.example/d/x {MATERIAL}": "endpoint:0:24,key_material:25:63",
+    f"https://docs.example/d/x{' ' * 81}{MATERIAL}": "",
+    # another block is another scope
+    f"https://docs.example/d/x\n{MATERIAL}": "endpoint:0:24,key_material:25:63",
+    f"https://docs.example/d/x\n \t\n{MATERIAL}": "",
+    f"https://docs.example/d/x\n}}\n{MATERIAL}": "",
+    f"https://docs.example/d/x\n[next]\n{MATERIAL}": "",
+    "user=root\n\npassword=abcdefghij": "assign:11:30",
+    "user=root\n# note\npassword=abcdefghij": "account:0:9,assign:17:36",
+}
+
+
+def test_what_confirms_what(spark):
+    rows = list(enumerate(SPANS))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.spans for r in secret_scan(df).collect()} == dict(enumerate(SPANS.values()))
+    check_secrets(rows, df)
+
+
+@pytest.mark.parametrize(("reach", "weak_reach"), [(0, 0), (7, 40), (60, 3)])
+def test_other_reaches(soup, reach, weak_reach):
+    check_secrets(*soup, reach, weak_reach)
 
 
 def check_personal(rows, df):
@@ -114,4 +149,4 @@ def test_odd_rows(op, odd_docs, no_docs):
     want = brute.secrets if op is secret_scan else None
     if want:
         texts = {r.doc_id: r.text for r in odd_docs.collect()}
-        assert all(tuple(r)[2:] == want(texts[r.doc_id]) for r in got if r.doc_id and r.doc_id > 4)
+        assert all(tuple(r)[2:] == want(texts[r.doc_id], 300, 80) for r in got if r.doc_id and r.doc_id > 4)
