@@ -84,14 +84,16 @@ _TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L
 _CONTAINED = f"""
 WITH dw AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
 bw AS (SELECT item_id, {_TOKENS} AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
-       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM dw)),
-bs AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 4], ' ') AS s
-       FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM bw)),
+bs AS (SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS s
+       FROM (SELECT item_id, w, least(5, len(w)) AS k, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i
+             FROM bw WHERE len(w) > 0)),
+ds AS (SELECT DISTINCT doc_id, k, array_to_string(w[i : i + k - 1], ' ') AS s
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+             FROM dw, (SELECT DISTINCT k FROM bs) WHERE len(w) >= k)),
 n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
 SELECT doc_id, item_id, n_shingles, count(*) AS n_held,
        round(count(*) / n_shingles, 6) AS containment
-FROM ds JOIN bs USING (s) JOIN n USING (item_id)
+FROM ds JOIN bs USING (k, s) JOIN n USING (item_id)
 GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= 0.8 * n_shingles - 1e-9"""
 
 _NEGATIVES = """

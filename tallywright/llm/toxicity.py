@@ -31,7 +31,8 @@ _LOOKALIKE = str.maketrans(
 )
 _WORD = re.compile(r"[^\W\d_]+")
 _ACCENTS = re.compile("[\u0300-\u036f]+")
-_SUSPECT = re.compile(r"[\w@$!|]*[\d@$!|\u0370-\u052f][\w@$!|]*")
+# a run that holds such a character; each run is looked through once, however long it is
+_SUSPECT = re.compile(r"(?<![\w@$!|])(?=[\w@$!|]*?[\d@$!|\u0370-\u052f])[\w@$!|]+")
 
 
 def _plain(match: re.Match) -> str:
@@ -161,7 +162,8 @@ def held_out(doc_id: str = "doc_id"):
 
 def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Fit on at most ``max_rows`` labelled rows outside the held-out fold, those whose id hashes
-    least. Conflicting labels of one id count as toxic; null labels and ids are left out."""
+    least. Conflicting labels of one id count as toxic; null labels and ids are left out. Copies of a
+    row are one, and of an id with many texts no more than ``max_rows`` rows reach the driver."""
     marks = (
         labels.select(F.col("doc_id").alias("l_id"), F.col("toxic").cast("int").alias("toxic"))
         .where("l_id is not null and toxic is not null")
@@ -173,9 +175,12 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
-        .select(F.coalesce("text", F.lit("")), "toxic")
+        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
+        .distinct()
+        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text")
+        .limit(max_rows)
     )
-    return fit(sorted((r[0], r[1]) for r in rows.toLocalIterator()))
+    return fit(sorted((r.text, r.toxic) for r in rows.toLocalIterator()))
 
 
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:

@@ -282,13 +282,13 @@ def shingles(text, size=5):
 
 
 def contained(docs, items, least=0.8):
-    sets = [(i, shingles(t)) for i, t in items]
+    sets = [(i, k, shingles(t, k)) for i, t in items for k in [min(5, len(tokens(t)))] if k]
     out = []
     for d, t in docs:
-        own = shingles(t)
-        for i, s in sets:
-            if s and len(s & own) >= least * len(s) - 1e-9:
-                out.append((d, i, len(s), len(s & own)))
+        own = {k: shingles(t, k) for k in range(1, 6)}
+        for i, k, s in sets:
+            if len(s & own[k]) >= least * len(s) - 1e-9:
+                out.append((d, i, len(s), len(s & own[k])))
     return out
 
 

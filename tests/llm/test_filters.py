@@ -1,13 +1,17 @@
 """Quality rules, URL filters, decontamination and toxicity against plain results."""
 
+import math
 import random
 import re
+import time
+import unicodedata
 import zlib
 from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlsplit
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallywright.llm import toxicity
 from tallywright.llm.components import connected_components
@@ -283,6 +287,10 @@ def test_items_in_the_small_table(spark, small):
     # nearly whole items: some are above the bar, some below
     cut = [(9000 + i, "before " + t[: len(t) * k // 20]) for k in range(12, 20) for i, t in items]
     rows = [(d, t) for d, t, _ in small] + [(d + 100 * n, t) for n, (d, t) in enumerate(cut)]
+    # short items: the first words of some documents
+    items += [(500 + n, " ".join(brute.tokens(t)[: 1 + n % 6])) for n, (_, t) in enumerate(rows[:12])]
+    items += [(600, "no such words anywhere"), (601, ""), (602, None)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = [(r.doc_id, r.item_id, r.n_shingles, r.n_held) for r in contained_items(df, bench).collect()]
     assert sorted(got) == sorted(brute.contained(rows, items)) and len(got) > 40
@@ -290,11 +298,12 @@ def test_items_in_the_small_table(spark, small):
 
 def test_odd_items_and_documents(spark, odd_docs, no_docs):
     items = spark.createDataFrame(
-        [(1, None), (2, ""), (3, "one two"), (None, "with some words in it"), (4, "word word word word word")] * 2,
+        [(1, None), (2, ""), (3, "one two"), (None, "with some words in it"), (4, "word word word word word")] * 2
+        + [(5, "One!"), (6, "two words"), (7, "a null id with"), (8, "...")],
         "item_id bigint, text string",
     )
     got = Counter((r.doc_id, r.item_id) for r in contained_items(odd_docs, items).collect())
-    assert got == {(None, None): 2, (10, 4): 2}
+    assert got == {(None, None): 2, (10, 4): 2, (4, 5): 2, (4, 6): 1, (None, 7): 1}
     assert contained_items(no_docs, items).count() == 0
     assert contained_items(odd_docs, items.limit(0)).count() == 0
 
@@ -308,6 +317,90 @@ def test_folding():
     ]
 
 
+def test_signatures_select_the_candidates(spark, monkeypatch):
+    """Only what hits a signature is verified, and a document beyond the bar always does."""
+    from tallywright.llm import decontaminate
+
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choices("abcdefgh", k=4))
+    items = [(i, " ".join(word() for _ in range(draw.randint(2, 60)))) for i in range(60)]
+    docs = []
+    for n in range(400):
+        ws = brute.tokens(draw.choice(items)[1])
+        start = draw.randrange(len(ws))
+        docs.append((n, " ".join([word(), *ws[start : start + draw.randint(1, len(ws))], word()])))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = sorted((d, i) for d, i, _, _ in brute.contained(docs, items))
+    got = sorted((r.doc_id, r.item_id) for r in contained_items(df, bench).collect())
+    assert got == want and 10 < len(want) < 400
+    # the same by a shuffled join
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert sorted((r.doc_id, r.item_id) for r in contained_items(df, bench).collect()) == want
+    # without signatures nothing is a candidate
+    index = decontaminate.item_index
+    monkeypatch.setattr(decontaminate, "item_index", lambda *a: index(*a).withColumn("signed", F.lit(False)))
+    assert contained_items(df, bench).count() == 0
+
+
+def test_folding_of_long_runs_takes_little_time():
+    for run in ("a" * 1_000_000, "é" * 300_000, "a" * 500_000 + "1", ("a" * 1000 + " ") * 1000, "!" * 500_000):
+        start = time.perf_counter()
+        toxicity.fold(run)
+        assert time.perf_counter() - start < 2
+
+
+def test_folding_is_as_by_plain_runs():
+    draw = random.Random(2)
+    for _ in range(3000):
+        text = "".join(draw.choices("ab1@$!|ан _-\té0", k=draw.randint(0, 25)))
+        runs = re.split(r"([^\w@$!|]+)", text.lower())
+        want = "".join(
+            r if i % 2 or not re.search(r"[\d@$!|\u0370-\u052f]", r) else toxicity._plain(re.match("(?s).*", r))
+            for i, r in enumerate(unicodedata.normalize("NFKD", x) for x in runs)
+        )
+        assert toxicity.fold(text) == toxicity._ACCENTS.sub("", want)
+
+
+def test_one_id_with_many_texts_keeps_to_the_bound(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("IF(id < 2000, 1, id) AS doc_id", "concat('text number ', id) AS text")
+    docs = docs.union(docs)
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic").distinct()
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows: seen.append(rows))
+    toxicity.learn(docs, labels, max_rows=100)
+    assert 0 < len(seen[0]) <= 100 and len(set(seen[0])) == len(seen[0])
+
+
+def plain_score(text, model):
+    """Every entry is looked for at every word."""
+    words = toxicity.words_of(text)
+    total = 0.0
+    for i, w in enumerate(words):
+        held = [
+            (v, e.strip()) for e, v in model.entries.items() if (w == e[:-1] if e.endswith(" ") else w.startswith(e))
+        ]
+        if not held:
+            continue
+        value, entry = max(held, key=lambda x: x[0])
+        beside = {(words[i - 1], entry)} if i else set()
+        beside |= {(entry, words[i + 1])} if i + 1 < len(words) else set()
+        total += 0.0 if beside & model.exceptions else value
+    a, b, c = model.curve
+    z = a + b * math.log1p(total) + c * math.log1p(100 * total / (len(words) + 20) if words else 0.0)
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_scores_are_as_by_plain_search(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.learn(docs, labels)
+    assert model.entries
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    for r in toxicity.toxicity(docs, model).collect():
+        assert r.score == pytest.approx(plain_score(rows[r.doc_id] or "", model), abs=1e-9)
+
+
 def test_exceptions_and_length():
     draw = random.Random(8)
     filler = lambda n: " ".join(f"w{chr(97 + draw.randrange(26))}{chr(97 + draw.randrange(26))}" for _ in range(n))
