@@ -32,8 +32,7 @@ lines AS (
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),
 held AS (SELECT doc_id, source, h, sum(words) AS words FROM lines GROUP BY ALL),
 family AS (
-    SELECT a.doc_id, a.source, a.h, a.words, coalesce(min(b.h), '') AS family
-    FROM held a LEFT JOIN held b ON a.doc_id = b.doc_id AND a.h <> b.h GROUP BY ALL),
+    SELECT *, string_agg(h, '' ORDER BY h) OVER (PARTITION BY doc_id) AS family FROM held),
 frequent AS (
     SELECT source, h FROM family GROUP BY source, h HAVING count(DISTINCT family) > 20),
 gone AS (

@@ -10,14 +10,17 @@ from tallywright.llm.oracles import ORACLES
 from tallywright.llm.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
+LARGER = "/root/testdata/sf0.1"  # has boilerplate lines beyond the limit
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
-def test_query(spark, name):
+@pytest.mark.parametrize(
+    ("name", "folder"), [*[(n, FOLDER) for n in sorted(ORACLES)], ("op6_quality_rules", LARGER)]
+)
+def test_query(spark, name, folder):
     db = duckdb.connect()
-    for path in glob.glob(f"{FOLDER}/*.parquet"):
+    for path in glob.glob(f"{folder}/*.parquet"):
         db.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
-    got, want = QUERIES[name](spark, FOLDER), db.sql(ORACLES[name])
+    got, want = QUERIES[name](spark, folder), db.sql(ORACLES[name])
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     kinds = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}

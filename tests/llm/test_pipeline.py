@@ -106,4 +106,4 @@ def test_stages_of_odd_rows(spark, odd_docs, no_docs):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
