@@ -1,23 +1,26 @@
 """Line dedup: an edit-distance join of lines by segment partition.
 
-A line is split into one segment more than the edits that are allowed, so two lines within that
-distance share a segment at a place that the lengths narrow down. Segments stand in an index under
-their line length, number and content; a line looks up its own length and the shorter ones that are
-near enough, at the few starts that can matter. Lines that meet are verified with a banded
+How many edits are allowed follows from the length of the shorter line. Lines of a length class are
+split into one segment more than the edits of that class, so two lines within that distance share a
+segment, near the same distance from the start or from the end. Segments stand in an index under
+their class, number and content; a line looks up its own class, and the class below where it is
+short enough, at the few starts that can matter. Lines that meet are verified with a banded
 bit-parallel edit distance. Lines that are linked form classes, of which the first line stays.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, pa_schema, scratch, slices, with_key
+from .common import KEY, as_before, cut_lines, scratch, slices, with_rest
 from .components import connected_components
 
-MAX_EDITS = 1
+EDITS = ((0, 1), (80, 2), (120, 3))  # (least length, edits): for the shorter of two lines
 MIN_CHARS = 20
-CROWD = 64  # lines under one segment beyond which they are linked by codes
+CROWD = 64  # lines under one segment beyond which they are not paired
+DEPTH = 4  # further segments by which a crowd is split
 BROADCAST_IDS = 500_000
 _BLANK = " \t\r\v\f"
+_LONGEST = 1 << 20  # lengths from here on are one class
 
 
 def within(a: str, b: str, most: int) -> bool:
@@ -74,39 +77,90 @@ def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
-    """(start, length) of the segments of a line, starts from 1; later ones take the remainder."""
-    parts = edits + 1
-    short, out, start = F.floor(length / parts), [], F.lit(1)
-    for i in range(parts):
-        size = short + (F.lit(parts - i) <= length % parts).cast("int")
-        out.append((start, size))
-        start = start + size
+def allowed(length: int, steps: tuple) -> int:
+    return [edits for least, edits in steps if length >= least][-1]
+
+
+def length_classes(steps: tuple) -> list[tuple[int, int]]:
+    """(least length, edits) of each class; neighbours are far enough apart for their edits."""
+    out = [(0, steps[0][1])]
+    for (least, edits), (above, _) in zip(steps, [*steps[1:], (_LONGEST, 0)], strict=True):
+        at = max(least, edits + 1)
+        while at + edits <= above:
+            out.append((at, edits))
+            at = max(3 * at // 2, at + edits)
     return out
 
 
-def segment_rows(lines: DataFrame, edits: int) -> DataFrame:
-    """(k, h, own): the segments of every line as index entries (own) and the substrings that it
-    looks up among shorter lines. Its own segments serve as look-ups among lines of its length at
-    the same start; other starts there are looked up too."""
-    n = F.char_length("line")
-    rows = []
-    for less in range(edits + 1):
-        target = n - less
-        for i, (start, size) in enumerate(segments(target, edits), 1):
-            # starts that leave enough edits for both sides of the segment
-            for shift in range(-edits, edits + 1):
-                if max(-(i - 1), less - (edits + 1 - i)) <= shift <= min(i - 1, less + edits + 1 - i):
-                    part = F.substr(F.col("line"), (start + shift).cast("int"), size.cast("int"))
-                    inside = (start + shift >= 1) & (start + shift + size - 1 <= n)
-                    key = F.xxhash64(F.lit(i), target.cast("int"), part)
-                    own = less == 0 and shift == 0
-                    rows.append(F.when(inside, F.struct(key.alias("k"), F.lit(own).alias("own"))))
-    return (
-        lines.select("h", F.explode(F.array(*rows)).alias("r"))
-        .where("r is not null")
-        .select("r.k", "r.own", "h")
+def _parts(classes: list[tuple[int, int]], offsets: tuple[int, ...]) -> str:
+    """For each class the segments that its lines look up, as an SQL array of arrays of structs.
+
+    The first segment without an edit has as many edits before it as segments, so it is displaced by
+    no more than its number, nor by more than the edits that are left for those after it. It is
+    counted from the nearer end; the text on its other side holds at most ``left_over`` edits. A line looks up the classes at
+    ``offsets`` from its own where its length (least to most) allows a partner there.
+    """
+    table = []
+    for own in range(len(classes)):
+        row = []
+        for offset in offsets:
+            if not 0 <= own + offset < len(classes):
+                continue
+            bound, edits = classes[own + offset]
+            least = bound - edits if offset > 0 else 0
+            most = classes[own][0] + edits - 1 if offset < 0 else (1 << 31) - 1
+            size = bound // (edits + 1)
+            for i in range(edits + 1):
+                front = i <= edits - i
+                spread = min(i, edits - i)
+                start = 1 + (i * size if front else -(edits + 1 - i) * size)
+                for shift in range(-spread, spread + 1):
+                    mine = offset == 0 and shift == 0
+                    over = edits - i if front else i
+                    row.append(
+                        f"struct({bound} AS bound, {edits} AS edits, {i} AS i, {size} AS size,"
+                        f" {start + shift} AS start, {front} AS front, {mine} AS own, {over} AS left_over,"
+                        f" {least} AS least, {most} AS most)"
+                    )
+        table.append(f"array({', '.join(row)})")
+    return f"array({', '.join(table)})"
+
+
+def segment_rows(
+    rows: DataFrame, steps: tuple, offsets: tuple[int, ...] = (0, -1), rest: bool = False
+) -> DataFrame:
+    """The segments of ``rows`` (k, h, own, line): index entries (own) and other places looked up.
+
+    Columns: k (of segment and the k before), h, own and, with ``rest``, edits of the class, left_over,
+    the text on the far side of the segment (rest) and other columns of ``rows``.
+    """
+    classes = length_classes(steps)
+    n = F.col("n")
+    place = F.lit(0)
+    for i, (bound, _) in list(enumerate(classes))[:0:-1]:
+        place = F.when(n >= bound, i) if i == len(classes) - 1 else place.when(n >= bound, i)
+    place = place.otherwise(0)
+    others = [c for c in rows.columns if c not in ("k", "h", "own", "line")] if rest else []
+    cut = (
+        rows.withColumn("n", F.char_length("line"))
+        .select(
+            "k", "h", "own", "line", "n", *others,
+            F.explode(F.get(F.expr(_parts(classes, offsets)), place)).alias("p"),
+        )
+        .where("n BETWEEN p.least AND p.most")
+        .withColumn("at", F.expr("p.start + if(p.front, 0, n)"))
+        .where("p.size = 0 OR (at >= 1 AND at + p.size - 1 <= n)")
     )
+    part = F.expr("if(p.size = 0, '', substr(line, at, p.size))")
+    found = [
+        F.xxhash64("k", "p.bound", "p.i", part).alias("k"),
+        "h",
+        (F.col("own") & F.col("p.own")).alias("own"),
+    ]
+    if rest:
+        far = F.expr("if(p.front, substr(line, at + p.size), substr(line, 1, greatest(at - 1, 0)))")
+        found += ["p.edits", "p.left_over", far.alias("rest"), *others]
+    return cut.select(*found)
 
 
 def _crowd_codes(batches):
@@ -141,14 +195,115 @@ def _crowd_codes(batches):
             )
 
 
-def line_links(lines: DataFrame, edits: int = MAX_EDITS, crowd: int = CROWD) -> DataFrame:
-    """Links (a, b) between the ids of different lines within ``edits`` of each other.
+def _verified(pairs: DataFrame, known: DataFrame, steps: tuple) -> DataFrame:
+    """(a, b, id_a, id_b) of the pairs whose texts are near enough; no pair is given twice."""
+    side = lambda s: known.select(
+        F.col("h").alias(f"h_{s}"), F.col("id").alias(f"id_{s}"), F.col("line").alias(f"line_{s}")
+    )
+    both = (
+        pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .where("a != b")
+        .distinct()
+        .join(side("a"), F.col("a") == F.col("h_a"))
+        .join(side("b"), F.col("b") == F.col("h_b"))
+    )
+
+    def verify(batches):
+        import pyarrow as pa
 
-    All such pairs are linked, but for lines that crowd under one segment: with one edit these are
-    linked by codes, so that each still reaches all its neighbours. With more edits crowds are
-    compared pair by pair.
+        for batch in batches:
+            near = [
+                within(x, y, allowed(min(len(x), len(y)), steps))
+                for x, y in zip(batch["line_a"].to_pylist(), batch["line_b"].to_pylist(), strict=True)
+            ]
+            yield batch.select(["a", "b", "id_a", "id_b"]).filter(pa.array(near, pa.bool_()))
+
+    kind = known.schema["id"].dataType.simpleString()
+    return both.select("a", "b", "id_a", "id_b", "line_a", "line_b").mapInArrow(
+        verify, f"a bigint, b bigint, id_a {kind}, id_b {kind}"
+    )
+
+
+def _paired(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of rows under one k, one of them in the index, not both reached by a hub."""
+    left = rows.where("own").select("k", F.col("h").alias("a"), F.col("reached").alias("a_reached"))
+    right = rows.select(
+        "k", F.col("h").alias("b"), F.col("own").alias("b_own"), F.col("reached").alias("b_reached")
+    )
+    return (
+        left.join(right, "k")
+        .where("a != b AND (a < b OR NOT b_own) AND NOT (a_reached AND b_reached)")
+        .select("a", "b")
+    )
+
+
+def _crowd_links(
+    rows: DataFrame, known: DataFrame, steps: tuple, crowd: int, depth: int
+) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(verified links, pairs to verify) of crowds: ``rows`` (k, h, own, left_over, rest).
+
+    All of a crowd are compared with one of them, its hub. Where some are not reached, the crowd is
+    split by segments of the text that is left, and lines meet again where they share one more,
+    unless the hub has reached both. Groups that are still crowded are crowds in their turn. What is
+    crowded at the last depth is compared with the lines the hub has not reached.
     """
-    rows = scratch(segment_rows(lines, edits), "substrings")
+    links, pairs = [], []
+    rows = scratch(rows.withColumn("reached", F.lit(False)), "crowds")
+    most = max(edits for _, edits in steps)
+    for level in range(depth + 1):
+        hubs = rows.groupBy("k").agg(F.min(F.struct(~F.col("reached"), "h"))["h"].alias("hub"))
+        members = scratch(rows.join(hubs, "k"), "members")
+        stars = members.where("NOT reached").select(F.col("hub").alias("a"), F.col("h").alias("b"))
+        links.append(scratch(_verified(stars, known, steps), "stars"))
+        star = links[-1].select("a", "b").distinct()
+        near = members.join(
+            star.withColumn("star", F.lit(True)),
+            (F.least("hub", "h") == F.col("a")) & (F.greatest("hub", "h") == F.col("b")),
+            "left",
+        ).withColumn("reached", F.col("reached") | (F.col("h") == F.col("hub")) | F.col("star").isNotNull())
+        near = scratch(near.drop("a", "b", "star", "hub"), "reached")
+        open_ = near.where("NOT reached").select("k").distinct()
+        near = near.join(open_, "k", "left_semi")
+        if level == depth:
+            pairs.append(_paired(near))
+            break
+        source = near.select("k", "h", "own", F.col("rest").alias("line"), "reached", "left_over")
+        parts = None
+        for edits in range(1, most + 1):
+            own = source.where(F.col("left_over") == edits).drop("left_over")
+            cut = segment_rows(own, ((0, edits),), (0, -1, 1), rest=True)
+            parts = cut if parts is None else parts.union(cut)
+        parts = scratch(parts, "split")
+        sizes = parts.groupBy("k").agg(
+            F.count_distinct("h").alias("size"),
+            F.max("own").alias("owned"),
+            F.min("reached").alias("all_reached"),
+        )
+        sized = parts.join(sizes.where("size > 1 AND owned AND NOT all_reached"), "k")
+        few = sized.where(F.col("size") <= crowd)
+        pairs.append(_paired(few))
+        rows = scratch(
+            sized.where(F.col("size") > crowd).select("k", "h", "own", "left_over", "rest", "reached"),
+            "crowds",
+        )
+        if rows.isEmpty():
+            break
+    return links, pairs
+
+
+def line_links(
+    lines: DataFrame, edits: int | tuple = EDITS, crowd: int = CROWD, depth: int = DEPTH
+) -> DataFrame:
+    """Links (a, b) between the ids of different lines that are near enough.
+
+    ``edits`` is a number, or (least length, number) for the shorter line. All such pairs are
+    linked, but for lines of which more than ``crowd`` share a segment. There lines within one edit
+    are linked by codes, if one is allowed, and others through hubs and further segments
+    (``_crowd_links``): each line is still connected with all its neighbours.
+    """
+    steps = ((0, edits),) if isinstance(edits, int) else tuple(edits)
+    start = lines.select(F.lit(0).cast("bigint").alias("k"), "h", F.lit(True).alias("own"), "line")
+    rows = scratch(segment_rows(start, steps), "substrings")
     live = (
         rows.groupBy("k")
         .agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.max("own").alias("owned"))
@@ -159,11 +314,8 @@ def line_links(lines: DataFrame, edits: int = MAX_EDITS, crowd: int = CROWD) ->
         rows.join(live, "k").groupBy("k", "h").agg(F.max("own").alias("own")), "segments"
     )
     sizes = met.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    sized = met.join(sizes, "k")
-    few = sized.where(F.col("n") <= crowd) if edits == 1 else sized
-    left = few.where("own").select("k", F.col("h").alias("a"))
-    right = few.select("k", F.col("h").alias("b"), F.col("own").alias("b_own"))
-    pairs = left.join(right, "k").where("a != b and (a < b or not b_own)").select("a", "b")
+    few = met.join(sizes.where(F.col("n") <= crowd), "k")
+    pairs = [_paired(few.withColumn("reached", F.lit(False)))]
 
     wanted = met.select(F.col("h").alias("w")).distinct()
     if wanted.count() <= BROADCAST_IDS:
@@ -175,10 +327,26 @@ def line_links(lines: DataFrame, edits: int = MAX_EDITS, crowd: int = CROWD) ->
         .agg(F.first("line").alias("line")),
         "lines",
     )
-    if edits == 1:
-        many = sized.where(F.col("n") > crowd).select(F.col("h").alias("w")).distinct()
-        coded = known.join(many, F.col("h") == F.col("w"), "left_semi").select("h", "line")
-        codes = coded.mapInArrow(_crowd_codes, "c bigint, own boolean, h bigint")
+    links = []
+    crowded = scratch(
+        met.join(sizes.where(F.col("n") > crowd), "k").select("k", "h"), "crowded"
+    )
+    if not crowded.isEmpty():
+        of_crowds = known.join(
+            crowded.select(F.col("h").alias("w")).distinct(), F.col("h") == F.col("w"), "left_semi"
+        ).select(F.lit(0).cast("bigint").alias("k"), "h", F.lit(True).alias("own"), "line")
+        again = scratch(
+            segment_rows(of_crowds, steps, rest=True).join(
+                crowded.select("k").distinct(), "k", "left_semi"
+            ),
+            "again",
+        )
+        ones = again.where("edits = 1").select(F.col("h").alias("w")).distinct()
+        codes = (
+            known.join(ones, F.col("h") == F.col("w"), "left_semi")
+            .select("h", "line")
+            .mapInArrow(_crowd_codes, "c bigint, own boolean, h bigint")
+        )
         hubs = (
             codes.groupBy(F.col("c").alias("c2"))
             .agg(
@@ -191,36 +359,26 @@ def line_links(lines: DataFrame, edits: int = MAX_EDITS, crowd: int = CROWD) ->
             # fall away when they are verified
             .select("c2", F.coalesce("whole", "lo").alias("hub"))
         )
-        starred = codes.join(hubs, F.col("c") == F.col("c2")).select(
-            F.col("hub").alias("a"), F.col("h").alias("b")
+        pairs.append(
+            codes.join(hubs, F.col("c") == F.col("c2")).select(
+                F.col("hub").alias("a"), F.col("h").alias("b")
+            )
         )
-        pairs = pairs.union(starred.where("a != b"))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    side = lambda s: known.select(
-        F.col("h").alias(f"h_{s}"), F.col("id").alias(f"id_{s}"), F.col("line").alias(f"line_{s}")
-    )
-    both = pairs.join(side("a"), F.col("a") == F.col("h_a")).join(side("b"), F.col("b") == F.col("h_b"))
-
-    def verify(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            near = [
-                within(x, y, edits)
-                for x, y in zip(batch["line_a"].to_pylist(), batch["line_b"].to_pylist(), strict=True)
-            ]
-            yield batch.select(["id_a", "id_b"]).filter(pa.array(near, pa.bool_()))
-
-    kind = lines.schema["id"].dataType.simpleString()
-    return (
-        both.select("id_a", "id_b", "line_a", "line_b")
-        .mapInArrow(verify, f"id_a {kind}, id_b {kind}")
-        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    )
-
-
-def repeated_lines(docs: DataFrame, edits: int, min_chars: int, crowd: int) -> DataFrame:
+        more = again.where("edits > 1").drop("edits")
+        if not more.isEmpty():
+            stars, split = _crowd_links(more, known, steps, crowd, depth)
+            links += stars
+            pairs += split
+    candidates = pairs[0]
+    for more in pairs[1:]:
+        candidates = candidates.union(more)
+    out = _verified(candidates, known, steps)
+    for more in links:
+        out = out.union(more)
+    return out.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
+def repeated_lines(docs: DataFrame, edits: int | tuple, min_chars: int, crowd: int) -> DataFrame:
     """(__row_key, gone): the numbers of the lines of a row whose class has an earlier line."""
     lines = lines_of(docs, min_chars)
     classes = connected_components(line_links(lines, edits, crowd))
@@ -250,44 +408,30 @@ def repeated_lines(docs: DataFrame, edits: int, min_chars: int, crowd: int) -> D
 
 def dedup_lines(
     docs: DataFrame,
-    edits: int = MAX_EDITS,
+    edits: int | tuple = EDITS,
     min_chars: int = MIN_CHARS,
     crowd: int = CROWD,
 ) -> DataFrame:
     """``docs`` without the lines that repeat an earlier line or come within ``edits`` of one.
 
-    All columns stay, ``text`` changes, and __row_key and n_gone (lines removed) are added. Earlier
+    ``edits`` is a number, or (least length, number) for the shorter of two lines: one edit from 20
+    characters on, two from 80, three from 120 unless told otherwise.
+    All columns stay, ``text`` changes, and __row_key and n_gone (lines removed) are added; columns
+    that were called so before are replaced. Earlier
     is the smaller id, then the higher place in the text. Lines of fewer than ``min_chars``
     characters always stay, as do null and empty texts; a text may become empty. Repeated rows lose
     what the first of them keeps. An empty table gives no rows.
     """
-    keyed = with_key(docs)
+    packed = with_rest(docs)
     gone = scratch(
-        repeated_lines(keyed.select(KEY, "text"), edits, min_chars, crowd), "gone"
+        repeated_lines(packed.select(KEY, "text"), edits, min_chars, crowd), "gone"
     )
-    # names of their own, as the columns of a corpus may be called anything
     # a merge join whatever the size, so that a run on a part of a corpus tells what the whole needs
-    lost = gone.withColumnRenamed("gone", "__gone").hint("merge")
-    joined = keyed.join(lost, F.col(KEY) == F.col("g_key"), "left")
-    source = joined.drop("g_key")
-    names = [c for c in source.columns if c != "__gone"]
-    schema = source.select(*names, F.lit(0).cast("int").alias("n_gone")).schema
-    out = pa_schema(docs.sparkSession, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema))
-
-    def cut(batches):
-        import pyarrow as pa
-
-        place = names.index("text")
-        for batch in slices(batches):
-            texts, counts = [], []
-            for text, lost in zip(batch["text"].to_pylist(), batch["__gone"].to_pylist(), strict=True):
-                if lost:
-                    drop = set(lost)
-                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop)
-                texts.append(text)
-                counts.append(len(lost or ()))
-            columns = [batch[c] for c in names]
-            columns[place] = pa.array(texts, out.field("text").type)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], schema=out)
-
-    return source.mapInArrow(cut, schema)
+    joined = packed.join(gone.hint("merge"), F.col(KEY) == F.col("g_key"), "left")
+    lost = F.col("gone")
+    cut = joined.withColumn("text", cut_lines(F.col("text"), lost))
+    return cut.select(
+        *as_before(cut, docs, (KEY, "n_gone")),
+        KEY,
+        F.coalesce(F.size(lost), F.lit(0)).alias("n_gone"),
+    )

@@ -13,7 +13,7 @@ from hashlib import md5
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, pa_schema, scratch, slices, texts, with_key
+from .common import KEY, cut_lines, scratch, texts, with_key
 
 MAX_FAMILIES = 20
 LEAST_KEPT = 0.5
@@ -132,25 +132,4 @@ def quality_rules(
 
 def without_lines(docs: DataFrame, numbers: str) -> DataFrame:
     """``docs`` without the lines of ``text`` that the column ``numbers`` names, and without it."""
-    names = [c for c in docs.columns if c != numbers]
-    schema = docs.select(*names).schema
-    out = pa_schema(
-        docs.sparkSession, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    )
-
-    def cut(batches):
-        import pyarrow as pa
-
-        place = names.index("text")
-        for batch in slices(batches):
-            texts = []
-            for text, lost in zip(batch["text"].to_pylist(), batch[numbers].to_pylist(), strict=True):
-                if lost:
-                    drop = set(lost)
-                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in drop)
-                texts.append(text)
-            columns = [batch[c] for c in names]
-            columns[place] = pa.array(texts, out.field("text").type)
-            yield pa.RecordBatch.from_arrays(columns, schema=out)
-
-    return docs.mapInArrow(cut, schema)
+    return docs.withColumn("text", cut_lines(F.col("text"), F.col(numbers))).drop(numbers)

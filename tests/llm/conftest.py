@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 
 import pytest
 
@@ -31,11 +32,14 @@ def odd_docs(spark):
         (11, "x" * 30_000, "s3"),
         (12, "7" * 20_000 + " " + "1 " * 5_000 + "a@" * 3_000 + "+" * 2_000 + "." * 3_000, "s3"),
     ]
-    wide = [(*r, -1, "h", 0, "t", 9, 1, "k", 2) for r in rows]
+    clash = (7, 7, [7], True, 0, "t", (1, "x"), datetime(2020, 2, 29, 1, 2, 3), 5, "r")
+    wide = [(*r, -1, "h", 0, "t", 9, 1, "k", 2, *clash) for r in rows]
     return spark.createDataFrame(
         wide,
         "doc_id bigint, text string, source string, n int, h string, fp int, kind string,"
-        " length int, bucket int, __key string, start int",
+        " length int, bucket int, __key string, start int, g_key int, n_gone int, __gone array<int>,"
+        " __lost boolean, __row_key bigint, text2 string, nested struct<`a b`: int, c: string>,"
+        " `seen at` timestamp, __at int, rest string",
     )
 
 

@@ -1,6 +1,7 @@
 """Line dedup and removal of repeated strings against plain results."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -69,10 +70,61 @@ def test_links_of_lines(spark, varied, most, crowd):
         assert pairs == {frozenset((a, b)) for a in texts for b in texts if a < b and near(a, b)}
 
 
-def plain_dedup(docs, most, least):
+def within_edits(a, b, most):
+    """Characters that only one of two lines has need an edit each: few pairs are left to compare in full."""
+    x, y = Counter(a), Counter(b)
+    if max((x - y).total(), (y - x).total()) > most:
+        return False
+    return brute.edits(a, b) <= most
+
+
+def by_length(a, b):
+    """Edits that two lines may differ by: one, two from 80 characters of the shorter, three from 120."""
+    n = min(len(a), len(b))
+    return 1 if n < 80 else 2 if n < 120 else 3
+
+
+@pytest.fixture(scope="module")
+def long_lines():
+    """Lines around the lengths at which the edits change, and crowds that share most of their text."""
+    draw = random.Random(21)
+    word = lambda: "".join(draw.choice("abcdeé") for _ in range(draw.randint(1, 7)))
+    prose = lambda n: " ".join(word() for _ in range(n))[:n].ljust(n, "z")
+    sizes = [60, 78, 79, 80, 81, 82, 100, 118, 119, 120, 121, 122, 123, 179, 180, 182, 260]
+    out = [v for n in sizes for v in variants(draw, prose(n), 12, 3)]
+    for n in (90, 150):
+        head, tail = prose(n // 3), prose(n // 3)
+        out += [head + prose(n // 3) + tail for _ in range(30)]
+        middle = prose(n // 3)
+        out += [v for _ in range(4) for v in variants(draw, head + middle + prose(n // 3), 10, 3)]
+        out += [v for _ in range(4) for v in variants(draw, prose(n // 3) + middle + tail, 10, 3)]
+    draw.shuffle(out)
+    return [(i, x) for i, x in enumerate(out)]
+
+
+@pytest.mark.parametrize(("crowd", "depth"), [(10_000, 4), (3, 4), (3, 0)])
+def test_edits_follow_the_length(spark, long_lines, crowd, depth):
+    lines = lines_of(with_key(spark.createDataFrame(long_lines, TEXT)), 20)
+    known = {tuple(r.id): r.line for r in lines.collect()}
+    found = line_links(lines, crowd=crowd, depth=depth).collect()
+    pairs = {frozenset(known[tuple(x)] for x in r) for r in found}
+    assert len(found) == len(pairs)
+    texts = sorted(known.values())
+    near = lambda a, b: within_edits(a, b, by_length(a, b))
+    want = {frozenset((a, b)) for i, a in enumerate(texts) for b in texts[i + 1 :] if near(a, b)}
+    assert {by_length(*p) for p in want} == {1, 2, 3}
+    assert pairs <= want
+    if crowd > 3:
+        assert pairs == want
+    together = lambda links: brute.components(texts, lambda a, b: frozenset((a, b)) in links)
+    assert together(pairs) == together(want)
+
+
+def plain_dedup(docs, least):
     lines = [(d, i, x.strip(" \t\r\v\f")) for d, t in docs for i, x in enumerate((t or "").split("\n"))]
     texts = sorted({x for _, _, x in lines if len(x) >= least})
-    root = brute.components(texts, lambda a, b: abs(len(a) - len(b)) <= most and brute.edits(a, b) <= most)
+    near = lambda a, b: within_edits(a, b, by_length(a, b))
+    root = brute.components(texts, near)
     seen, gone = set(), set()
     for d, i, x in sorted(lines):
         if x in root:
@@ -90,13 +142,14 @@ def test_lines_that_stay(spark, varied, crowd, partitions):
     partitions(3)
     docs = [*varied, (10_000, None), (10_001, ""), (10_002, varied[0][1])]
     got = dedup_lines(spark.createDataFrame(docs, TEXT), crowd=crowd).collect()
-    assert {r.doc_id: r.text for r in got} == plain_dedup(docs, 1, 20)
+    assert {r.doc_id: r.text for r in got} == plain_dedup(docs, 20)
 
 
 def test_lines_of_odd_rows(odd_docs, no_docs):
     got = dedup_lines(odd_docs).collect()
     assert len(got) == odd_docs.count()
-    assert set(odd_docs.columns) < set(got[0].asDict())
+    assert list(got[0].asDict())[-2:] == ["__row_key", "n_gone"]  # in place of the columns called so
+    assert set(odd_docs.columns) == set(got[0].asDict())
     texts = {r.doc_id: r.text for r in got}
     before = {r.doc_id: r.text for r in odd_docs.collect()}
     assert texts[5] == before[5] and texts[6] == "" and texts[1] is None and texts[2] == ""
