@@ -2,8 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from tallywright.llm.common import KEY, scratch, table, with_key
+from tallywright.llm.common import KEY, as_before, scratch, table, with_rest
 from tallywright.llm.decontaminate import contained_items
 from tallywright.llm.line_dedup import dedup_lines
 from tallywright.llm.packing import pack
@@ -12,44 +13,46 @@ from tallywright.llm.queries import vocabulary
 from tallywright.llm.simhash import near_duplicates
 
 
-def _only(docs: DataFrame, keys: DataFrame, how: str, columns: list[str]) -> DataFrame:
-    keys = keys.select(F.col(KEY).alias("__kept"))
-    return docs.join(keys, F.col(KEY) == F.col("__kept"), how).select(*columns)
-
-
-def _counted(cleaned: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``, with n_chars as the cleaned texts have it."""
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(kind))
-    return cleaned.select(*docs.columns)
+def _rows(packed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``; n_chars, where it is a number, as the texts now have it."""
+    columns = as_before(packed, docs, ())
+    for i, field in enumerate(docs.schema):
+        if field.name == "n_chars" and isinstance(field.dataType, NumericType):
+            columns[i] = F.char_length(packed["text"]).cast(field.dataType).alias("n_chars")
+    return packed.select(*columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, without their boilerplate lines. Null and empty texts go."""
-    keyed = with_key(docs)
-    verdicts = quality_rules(keyed).where("kept")
-    lost = verdicts.select(F.col(KEY).alias("__kept"), F.col("removed_lines").alias("__lost"))
-    joined = keyed.join(lost, F.col(KEY) == F.col("__kept")).drop("__kept")
-    return _counted(without_lines(joined, "__lost"), docs)
+    packed = with_rest(docs)
+    judged = quality_rules(packed.select(KEY, "doc_id", "text", "rest.source"))
+    lost = judged.where("kept").select(F.col(KEY).alias("kept_key"), "removed_lines")
+    joined = packed.join(lost, F.col(KEY) == F.col("kept_key"))
+    return _rows(without_lines(joined, "removed_lines"), docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that repeat earlier ones; a text may become empty."""
-    return _counted(dedup_lines(docs), docs)
+    packed = with_rest(docs)
+    return _rows(dedup_lines(packed), docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each group of near copies; texts without words are one."""
-    keyed = with_key(docs)
-    return _only(keyed, near_duplicates(keyed).where("is_first"), "left_semi", docs.columns)
+    packed = with_rest(docs)
+    firsts = near_duplicates(packed).where("is_first").select(F.col(KEY).alias("kept_key"))
+    return packed.join(firsts, F.col(KEY) == F.col("kept_key"), "left_semi").select(
+        *as_before(packed, docs, ())
+    )
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    keyed = with_key(docs)
-    found = contained_items(keyed, table(spark, sf_dir, "benchmark"))
-    return _only(keyed, found, "left_anti", docs.columns)
+    packed = with_rest(docs)
+    found = contained_items(packed, table(spark, sf_dir, "benchmark"))
+    return packed.join(
+        found.select(F.col(KEY).alias("gone_key")), F.col(KEY) == F.col("gone_key"), "left_anti"
+    ).select(*as_before(packed, docs, ()))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
