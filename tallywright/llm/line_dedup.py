@@ -8,7 +8,7 @@ short enough, at the few starts that can matter. Lines that meet are verified wi
 bit-parallel edit distance. Lines that are linked form classes, of which the first line stays.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import KEY, as_before, cut_lines, scratch, slices, with_rest
@@ -92,17 +92,16 @@ def length_classes(steps: tuple) -> list[tuple[int, int]]:
     return out
 
 
-def _parts(classes: list[tuple[int, int]], offsets: tuple[int, ...]) -> str:
-    """For each class the segments that its lines look up, as an SQL array of arrays of structs.
+def _parts(classes: list[tuple[int, int]], offsets: tuple[int, ...]) -> list[tuple]:
+    """(place of the class, *_PART) of each segment that lines of a class look up.
 
     The first segment without an edit has as many edits before it as segments, so it is displaced by
     no more than its number, nor by more than the edits that are left for those after it. It is
     counted from the nearer end; the text on its other side holds at most ``left_over`` edits. A line looks up the classes at
     ``offsets`` from its own where its length (least to most) allows a partner there.
     """
-    table = []
+    out = []
     for own in range(len(classes)):
-        row = []
         for offset in offsets:
             if not 0 <= own + offset < len(classes):
                 continue
@@ -114,52 +113,63 @@ def _parts(classes: list[tuple[int, int]], offsets: tuple[int, ...]) -> str:
                 front = i <= edits - i
                 spread = min(i, edits - i)
                 start = 1 + (i * size if front else -(edits + 1 - i) * size)
+                over = edits - i if front else i
                 for shift in range(-spread, spread + 1):
                     mine = offset == 0 and shift == 0
-                    over = edits - i if front else i
-                    row.append(
-                        f"struct({bound} AS bound, {edits} AS edits, {i} AS i, {size} AS size,"
-                        f" {start + shift} AS start, {front} AS front, {mine} AS own, {over} AS left_over,"
-                        f" {least} AS least, {most} AS most)"
-                    )
-        table.append(f"array({', '.join(row)})")
-    return f"array({', '.join(table)})"
+                    out.append((own, bound, edits, i, size, start + shift, front, mine, over, least, most))
+    return out
+
+
+_PART = (
+    "part int, bound int, edits int, i int, size int, start int, front boolean, mine boolean,"
+    " over int, least int, most int"
+)
+
+
+def _place(n: Column, classes: list[tuple[int, int]]) -> Column:
+    """The place in ``classes`` of a line of ``n`` characters."""
+    place = F.lit(0)
+    for i, (bound, _) in enumerate(classes[1:], 1):
+        place = F.when(n < bound, i - 1) if i == 1 else place.when(n < bound, i - 1)
+    return place.otherwise(len(classes) - 1) if len(classes) > 1 else place
 
 
 def segment_rows(
-    rows: DataFrame, steps: tuple, offsets: tuple[int, ...] = (0, -1), rest: bool = False
+    rows: DataFrame, steps: tuple | dict, offsets: tuple[int, ...] = (0, -1), rest: bool = False
 ) -> DataFrame:
     """The segments of ``rows`` (k, h, own, line): index entries (own) and other places looked up.
 
+    ``steps`` holds for all rows, or is given for each value of the column left_over; other rows have no segments. The segments
+    of all classes (a few thousand rows at most, whatever the corpus) are a table sent to the lines.
     Columns: k (of segment and the k before), h, own and, with ``rest``, edits of the class, left_over,
     the text on the far side of the segment (rest) and other columns of ``rows``.
     """
-    classes = length_classes(steps)
-    n = F.col("n")
-    place = F.lit(0)
-    for i, (bound, _) in list(enumerate(classes))[:0:-1]:
-        place = F.when(n >= bound, i) if i == len(classes) - 1 else place.when(n >= bound, i)
-    place = place.otherwise(0)
-    others = [c for c in rows.columns if c not in ("k", "h", "own", "line")] if rest else []
+    kinds = steps if isinstance(steps, dict) else {None: steps}
+    n_before, parts, part = 0, [], F.lit(None).cast("int")
+    for kind, of_kind in kinds.items():
+        classes = length_classes(of_kind)
+        parts += [(n_before + own, *others) for own, *others in _parts(classes, offsets)]
+        place = _place(F.col("n"), classes) + n_before
+        part = place if kind is None else F.when(F.col("left_over") == kind, place).otherwise(part)
+        n_before += len(classes)
+    known = ("k", "h", "own", "line", "left_over")
+    others = [c for c in rows.columns if c not in known] if rest else []
     cut = (
         rows.withColumn("n", F.char_length("line"))
-        .select(
-            "k", "h", "own", "line", "n", *others,
-            F.explode(F.get(F.expr(_parts(classes, offsets)), place)).alias("p"),
-        )
-        .where("n BETWEEN p.least AND p.most")
-        .withColumn("at", F.expr("p.start + if(p.front, 0, n)"))
-        .where("p.size = 0 OR (at >= 1 AND at + p.size - 1 <= n)")
+        .select("k", "h", "own", "line", "n", part.alias("part"), *others)
+        .join(F.broadcast(rows.sparkSession.createDataFrame(parts, _PART)), "part")
+        .where("n BETWEEN least AND most")
+        .withColumn("at", F.expr("start + if(front, 0, n)"))
+        .where("size = 0 OR (at >= 1 AND at + size - 1 <= n)")
     )
-    part = F.expr("if(p.size = 0, '', substr(line, at, p.size))")
     found = [
-        F.xxhash64("k", "p.bound", "p.i", part).alias("k"),
+        F.xxhash64("k", "bound", "i", F.expr("if(size = 0, '', substr(line, at, size))")).alias("k"),
         "h",
-        (F.col("own") & F.col("p.own")).alias("own"),
+        (F.col("own") & F.col("mine")).alias("own"),
     ]
     if rest:
-        far = F.expr("if(p.front, substr(line, at + p.size), substr(line, 1, greatest(at - 1, 0)))")
-        found += ["p.edits", "p.left_over", far.alias("rest"), *others]
+        far = F.expr("if(front, substr(line, at + size), substr(line, 1, greatest(at - 1, 0)))")
+        found += ["edits", F.col("over").alias("left_over"), far.alias("rest"), *others]
     return cut.select(*found)
 
 
@@ -249,7 +259,7 @@ def _crowd_links(
     """
     links, pairs = [], []
     rows = scratch(rows.withColumn("reached", F.lit(False)), "crowds")
-    most = max(edits for _, edits in steps)
+    by_edits = {edits: ((0, edits),) for edits in range(1, max(edits for _, edits in steps) + 1)}
     for level in range(depth + 1):
         hubs = rows.groupBy("k").agg(F.min(F.struct(~F.col("reached"), "h"))["h"].alias("hub"))
         members = scratch(rows.join(hubs, "k"), "members")
@@ -265,27 +275,23 @@ def _crowd_links(
         open_ = near.where("NOT reached").select("k").distinct()
         near = near.join(open_, "k", "left_semi")
         if level == depth:
-            pairs.append(_paired(near))
+            pairs.append(scratch(_paired(near), "pairs"))
             break
         source = near.select("k", "h", "own", F.col("rest").alias("line"), "reached", "left_over")
-        parts = None
-        for edits in range(1, most + 1):
-            own = source.where(F.col("left_over") == edits).drop("left_over")
-            cut = segment_rows(own, ((0, edits),), (0, -1, 1), rest=True)
-            parts = cut if parts is None else parts.union(cut)
-        parts = scratch(parts, "split")
+        parts = scratch(segment_rows(source, by_edits, (0, -1, 1), rest=True), "split")
         sizes = parts.groupBy("k").agg(
             F.count_distinct("h").alias("size"),
             F.max("own").alias("owned"),
             F.min("reached").alias("all_reached"),
         )
-        sized = parts.join(sizes.where("size > 1 AND owned AND NOT all_reached"), "k")
-        few = sized.where(F.col("size") <= crowd)
-        pairs.append(_paired(few))
-        rows = scratch(
-            sized.where(F.col("size") > crowd).select("k", "h", "own", "left_over", "rest", "reached"),
-            "crowds",
+        sized = scratch(
+            parts.join(sizes.where("size > 1 AND owned AND NOT all_reached"), "k").select(
+                "k", "h", "own", "left_over", "rest", "reached", "size"
+            ),
+            "sized",
         )
+        pairs.append(scratch(_paired(sized.where(F.col("size") <= crowd)), "pairs"))
+        rows = sized.where(F.col("size") > crowd).drop("size")
         if rows.isEmpty():
             break
     return links, pairs
@@ -315,7 +321,7 @@ def line_links(
     )
     sizes = met.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     few = met.join(sizes.where(F.col("n") <= crowd), "k")
-    pairs = [_paired(few.withColumn("reached", F.lit(False)))]
+    pairs = [scratch(_paired(few.withColumn("reached", F.lit(False))), "pairs")]
 
     wanted = met.select(F.col("h").alias("w")).distinct()
     if wanted.count() <= BROADCAST_IDS:
@@ -359,11 +365,8 @@ def line_links(
             # fall away when they are verified
             .select("c2", F.coalesce("whole", "lo").alias("hub"))
         )
-        pairs.append(
-            codes.join(hubs, F.col("c") == F.col("c2")).select(
-                F.col("hub").alias("a"), F.col("h").alias("b")
-            )
-        )
+        ends = codes.join(hubs, F.col("c") == F.col("c2"))
+        pairs.append(scratch(ends.select(F.col("hub").alias("a"), F.col("h").alias("b")), "pairs"))
         more = again.where("edits > 1").drop("edits")
         if not more.isEmpty():
             stars, split = _crowd_links(more, known, steps, crowd, depth)
