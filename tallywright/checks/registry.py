@@ -228,13 +228,13 @@ def _(s: Stages) -> DataFrame:
 
 @query("c1_first_payment")
 def _(s: Stages) -> DataFrame:
-    first = keys.first_per_key(s.cleaned["payment_gateway"], "merchant_reference", ["src_row"])
+    first = keys.first_per_key(s.clean("payment_gateway"), "merchant_reference", ["src_row"])
     return first.select("merchant_reference", "gateway_transaction_id", "amount", "src_row")
 
 
 @query("c2_first_bank_row")
 def _(s: Stages) -> DataFrame:
-    first = keys.first_per_key(s.cleaned["bank_transactions"], "reference_number", ["src_row"])
+    first = keys.first_per_key(s.clean("bank_transactions"), "reference_number", ["src_row"])
     return first.select("reference_number", "bank_transaction_id", "credit_amount", "src_row")
 
 
@@ -246,7 +246,7 @@ def _(s: Stages) -> DataFrame:
 
 @query("c4_repeated_ids")
 def _(s: Stages) -> DataFrame:
-    erp = s.cleaned["erp_transactions"].select("transaction_id", "src_row")
+    erp = s.clean("erp_transactions").select("transaction_id", "src_row")
     return keys.flag_repeated(
         erp, "transaction_id", ["src_row"], stats=s.key_stats("erp_transactions")
     )

@@ -55,25 +55,30 @@ def evidence(prefix: str = "") -> dict[str, str]:
     }
 
 
-def first_payments(payment: DataFrame) -> DataFrame:
-    """First payment per merchant reference, its columns prefixed ``p_``, keyed by ``_key``."""
+# What is taken over from a payment.
+PAYMENT_COLUMNS = [
+    "gateway_transaction_id",
+    "gateway",
+    "transaction_date",
+    "amount",
+    "customer_name",
+    "customer_name_clean",
+    "email_clean",
+    "src_row",
+]
+
+
+def first_payments(payment: DataFrame, others: tuple[str, ...] = ()) -> DataFrame:
+    """First payment per merchant reference, its columns prefixed ``p_``, keyed by ``_key``.
+
+    ``others`` are columns to keep under their own names.
+    """
     first = first_per_key(payment, "merchant_reference", ["src_row"])
     return first.select(
         F.col("merchant_reference").alias("_key"),
-        *[
-            F.col(c).alias(f"p_{c}")
-            for c in (
-                "gateway_transaction_id",
-                "gateway",
-                "transaction_date",
-                "amount",
-                "customer_name",
-                "customer_name_clean",
-                "email_clean",
-                "src_row",
-            )
-        ],
+        *[F.col(c).alias(f"p_{c}") for c in PAYMENT_COLUMNS],
         F.lit(True).alias("p_found"),
+        *others,
     )
 
 

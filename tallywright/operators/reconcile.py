@@ -8,7 +8,7 @@ from ..schemas import ORDER_COLUMNS, RECONCILIATION_COLUMNS
 from .joins import look_up
 from .keys import first_per_key, repeated_keys
 from .keystats import KeyStats, sketch_keys
-from .matching import evidence, first_payments, match_band, match_score, score_pairs
+from .matching import PAYMENT_COLUMNS, evidence, first_payments, match_band, match_score, score_pairs
 
 # Statistics of the ledger's and the payments' keys, by table.
 Stats = dict[str, KeyStats]
@@ -42,8 +42,12 @@ def status_of(
 
 
 def settled_payments(payment: DataFrame, bank: DataFrame, stats: Stats | None = None) -> DataFrame:
-    """First payment per reference with the first bank row of its gateway id, keyed by ``_key``."""
-    paid = first_payments(payment).withColumnRenamed("_key", "p_reference")
+    """First payment per reference with the first bank row of its gateway id, keyed by ``_key``.
+
+    Payments meet the bank before the first are taken: the rows are shuffled by gateway id and by
+    reference, and lie by ``_key`` as a join on it needs them.
+    """
+    paid = payment.where("merchant_reference IS NOT NULL").select("merchant_reference", *PAYMENT_COLUMNS)
     settled = first_per_key(bank, "reference_number", ["src_row"]).select(
         F.col("reference_number").alias("_key"),
         F.col("credit_amount").alias("b_amount"),
@@ -51,16 +55,38 @@ def settled_payments(payment: DataFrame, bank: DataFrame, stats: Stats | None =
         F.lit(True).alias("b_found"),
     )
     key = "gateway_transaction_id"
-    paid = paid.withColumnRenamed(f"p_{key}", key)
     mine = _of(stats, "payment_gateway")
     if mine is None:
-        # cheaper to scan than first rows, and a bound for them
         mine = KeyStats.of(sketch_keys(payment, [key]), [key])
-    return (
-        look_up(paid, key, [settled], ["p_src_row"], stats=mine)
-        .withColumnRenamed(key, f"p_{key}")
-        .withColumnRenamed("p_reference", "_key")
-    )
+    banked = look_up(paid, key, [settled], ["src_row"], stats=mine)
+    return first_payments(banked, ("b_amount", "b_date", "b_found"))
+
+
+# What the match table and the reconciliation take from a scored pair.
+PAIR_COLUMNS = [
+    "transaction_id",
+    "invoice_id",
+    "customer_id",
+    "customer_name",
+    "store_id",
+    "transaction_date",
+    "amount",
+    "src_row",
+    "copies",
+    "p_gateway_transaction_id",
+    "p_gateway",
+    "p_transaction_date",
+    "p_amount",
+    "p_customer_name",
+    "p_found",
+    "b_amount",
+    "b_date",
+    "b_found",
+    "own_score",
+    "own_band",
+    "entity_match_score",
+    "entity_match_confidence",
+]
 
 
 def scored_pairs(

@@ -86,22 +86,27 @@ class Stages:
 
     @property
     def cleaned(self) -> dict[str, DataFrame]:
-        if any(name not in self._tables for name in RAW_COLUMNS):
-            if not self.raw:
-                raise FileNotFoundError("the run has neither raw nor cleaned sources")
-            for name, df in cleaning.clean_all(self.raw, self.date_formats).items():
-                self._stage(name, lambda df=df: df)
-        return {name: self._tables[name] for name in RAW_COLUMNS}
+        return {name: self.clean(name) for name in RAW_COLUMNS}
+
+    def clean(self, name: str) -> DataFrame:
+        """One cleaned source; the others are not built for it."""
+        if name not in self._tables and not self.raw:
+            raise FileNotFoundError("the run has neither raw nor cleaned sources")
+        return self._stage(name, lambda: cleaning.clean(name, self.raw[name], self.date_formats))
 
     @property
     def ledger(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        c = self.cleaned
-        return c["erp_transactions"], c["payment_gateway"], c["bank_transactions"]
+        return self.clean("erp_transactions"), self.clean("payment_gateway"), self.clean("bank_transactions")
 
     @property
     def pairs(self) -> DataFrame:
-        """Ledger rows with payment, bank row and scores; scored once for all that follows."""
-        return self._stage("ledger_pairs", lambda: reconcile.scored_pairs(*self.ledger, self.stats))
+        """Ledger rows with payment, bank row and scores; scored once for all that follows, and of no
+        more columns than that reads."""
+
+        def build():
+            return reconcile.scored_pairs(*self.ledger, self.stats).select(*reconcile.PAIR_COLUMNS)
+
+        return self._stage("ledger_pairs", build)
 
     @property
     def matches(self) -> DataFrame:
@@ -190,7 +195,7 @@ class Stages:
             "exception_register": lambda: self.exceptions,
             "anomaly_detection": lambda: self.flags(forest),
         }
-        return {n: build[n]() if n in build else self.cleaned[n] for n in names}
+        return {n: build[n]() if n in build else self.clean(n) for n in names}
 
 
 def from_files(

@@ -165,7 +165,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     if fmt == "csv":
         writer.options(**CSV_OUT).csv(path)
     else:
-        writer.parquet(path)
+        writer.option("compression", "zstd").parquet(path)
     return path
 
 
