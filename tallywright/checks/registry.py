@@ -588,49 +588,49 @@ def _transaction_table(s: Stages, forest: bool) -> DataFrame:
 
 
 _both("k1_exception_table", _exception_table)
-_both("k2_exception_totals", lambda s, f: bi.exception_totals(s.exception_table(f)))
+_both("k2_exception_totals", lambda s, f: bi.exception_totals(s.report("exception_table", f)))
 _both("k3_transaction_table", _transaction_table)
-_named("k3_transaction_totals", lambda s: bi.transaction_totals(s.transaction_table(False)))
+_named("k3_transaction_totals", lambda s: bi.transaction_totals(s.report("transaction_table", False)))
 
 
 @query("k4_selected_exceptions")
 def _(s: Stages) -> DataFrame:
     return dashboard.select_exceptions(
-        s.exception_table(False), ["CRITICAL", "HIGH"], ["Payments", "Finance"], ["OPEN"]
+        s.report("exception_table", False), ["CRITICAL", "HIGH"], ["Payments", "Finance"], ["OPEN"]
     ).select("exception_id", "transaction_id", "severity", "owner", "status", "financial_impact")
 
 
 @query("k5_kpis")
 def _(s: Stages) -> DataFrame:
-    chosen = dashboard.select_exceptions(s.exception_table(False))
-    return dashboard.kpis(s.transaction_table(False), chosen)
+    chosen = dashboard.select_exceptions(s.report("exception_table", False))
+    return dashboard.kpis(s.report("transaction_table", False), chosen)
 
 
 @query("k6_status_counts")
 def _(s: Stages) -> DataFrame:
     return dashboard.value_counts(
-        s.transaction_table(False), "reconciliation_status", "transactions"
+        s.report("transaction_table", False), "reconciliation_status", "transactions"
     )
 
 
 @query("k6_severity_counts")
 def _(s: Stages) -> DataFrame:
-    return dashboard.value_counts(s.exception_table(False), "severity", "exceptions")
+    return dashboard.value_counts(s.report("exception_table", False), "severity", "exceptions")
 
 
-_named("k7_by_root_cause", lambda s: dashboard.exposure_per(s.exception_table(False), "root_cause"))
-_named("k7_by_gateway", lambda s: dashboard.exposure_per(s.exception_table(False), "gateway"))
+_named("k7_by_root_cause", lambda s: dashboard.exposure_per(s.report("exception_table", False), "root_cause"))
+_named("k7_by_gateway", lambda s: dashboard.exposure_per(s.report("exception_table", False), "gateway"))
 _both(
     "k8_anomaly_counts",
     lambda s, f: dashboard.value_counts(
-        s.transaction_table(f), "potential_anomaly", "transactions"
+        s.report("transaction_table", f), "potential_anomaly", "transactions"
     ),
 )
-_named("k9_register_view", lambda s: dashboard.register_view(s.exception_table(False)))
+_named("k9_register_view", lambda s: dashboard.register_view(s.report("exception_table", False)))
 _named("k10_workbook_summary", lambda s: dashboard.workbook_summary(s.exceptions))
 _named("k10_workbook_types", lambda s: dashboard.workbook_types(s.exceptions))
-_both("k11_measures", lambda s, f: bi.measures(s.exception_table(f)))
-_both("k11_measures_by_gateway", lambda s, f: bi.measures(s.exception_table(f), ["gateway"]))
+_both("k11_measures", lambda s, f: bi.measures(s.report("exception_table", f)))
+_both("k11_measures_by_gateway", lambda s, f: bi.measures(s.report("exception_table", f), ["gateway"]))
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

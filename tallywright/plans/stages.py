@@ -92,7 +92,10 @@ class Stages:
         """One cleaned source; the others are not built for it."""
         if name not in self._tables and not self.raw:
             raise FileNotFoundError("the run has neither raw nor cleaned sources")
-        return self._stage(name, lambda: cleaning.clean(name, self.raw[name], self.date_formats))
+        return self._stage(name, lambda: self._clean(name))
+
+    def _clean(self, name: str) -> DataFrame:
+        return cleaning.clean(name, self.raw[name], self.date_formats)
 
     @property
     def ledger(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -146,22 +149,28 @@ class Stages:
     def flags(self, forest: bool = True) -> DataFrame:
         return self.anomalies if forest else self.amount_anomalies
 
-    def exception_table(self, forest: bool = True) -> DataFrame:
-        return self._stage(
-            "exception_table" if forest else "exception_table_amounts",
-            lambda: bi.exception_table(
-                self.exceptions,
-                self.reconciliation,
-                self.flags(forest),
-                self.key_stats("exception_register"),
-            ),
+    def report(self, table: str, forest: bool = True) -> DataFrame:
+        """A reporting table as a plan that is not written: what reads it makes only the columns that it
+        needs. A table that is already staged or saved is read."""
+        name = table if forest else f"{table}_amounts"
+        if name in self._tables:
+            return self._tables[name]
+        if table == "transaction_table":
+            return bi.transaction_table(self.reconciliation, self.flags(forest))
+        return bi.exception_table(
+            self.exceptions,
+            self.reconciliation,
+            self.flags(forest),
+            self.key_stats("exception_register"),
         )
 
+    def exception_table(self, forest: bool = True) -> DataFrame:
+        name = "exception_table" if forest else "exception_table_amounts"
+        return self._stage(name, lambda: self.report("exception_table", forest))
+
     def transaction_table(self, forest: bool = True) -> DataFrame:
-        return self._stage(
-            "transaction_table" if forest else "transaction_table_amounts",
-            lambda: bi.transaction_table(self.reconciliation, self.flags(forest)),
-        )
+        name = "transaction_table" if forest else "transaction_table_amounts"
+        return self._stage(name, lambda: self.report("transaction_table", forest))
 
     def publish(self, names: list[str] = PUBLISHED, forest: bool = True) -> None:
         """Make stage tables known to SQL under their names."""
@@ -170,15 +179,20 @@ class Stages:
     def save_all(self, folder: str, fmt: str = "parquet", forest: bool = True) -> dict[str, str]:
         """Write the nine published tables and the two reports to ``folder/<table>``, and a manifest
         that marks the run as whole; the paths by table. Without ``forest`` the anomalies are those of
-        the amount rules, under the same names. Parquet runs also keep the statistics of keys."""
+        the amount rules, under the same names. Parquet runs also keep the statistics of keys. Nothing
+        is built from invoices, customers, matches and reports: those not staged yet are written here only."""
         tables = {n: lambda n=n: self.pick([n], forest)[n] for n in PUBLISHED}
-        tables["exception_table"] = lambda: self.exception_table(forest)
-        tables["transaction_table"] = lambda: self.transaction_table(forest)
+        if self.raw:
+            for name in ("customer_master", "invoice"):
+                tables[name] = lambda n=name: self._tables.get(n) or self._clean(n)
+        tables["entity_matches"] = lambda: self._tables.get("entity_matches") or matching.match_table(self.pairs)
+        for name in REPORTS:
+            tables[name] = lambda n=name: self.report(n, forest)
         if fmt == "parquet":
             for name, keys in KEYS.items():
                 tables[f"{name}.keys"] = lambda n=name, k=keys: sketch_keys(self._tables[n], k)
         parameters = {"created": self.created, "date_formats": self.date_formats, "forest": forest}
-        paths = save_run(self.spark, folder, tables, parameters, fmt, PARTITIONED)
+        paths = save_run(self.spark, folder, tables, parameters, fmt, PARTITIONED, laid_out=True)
         return {name: path for name, path in paths.items() if not name.endswith(".keys")}
 
     def close(self) -> None:

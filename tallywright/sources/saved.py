@@ -37,10 +37,11 @@ def save_run(
     parameters: dict,
     fmt: str = "parquet",
     partition_by: dict[str, str] | None = None,
+    laid_out: bool = False,
 ) -> dict[str, str]:
     """Write ``tables`` to ``folder/<table>`` and then the manifest; the paths by table.
 
-    Parquet gives back what was saved; CSV gives empty texts back as null.
+    ``laid_out`` says that the tables in ``partition_by`` are read from files partitioned alike. Parquet gives back what was saved; CSV gives empty texts back as null.
     """
     partition_by = partition_by or {}
     _write_manifest(spark, folder, [])
@@ -48,7 +49,7 @@ def save_run(
     for name, build in tables.items():
         df, paths[name] = build(), f"{folder}/{name}"
         by = partition_by.get(name) if fmt == "parquet" else None
-        n = write_counted(df, paths[name], fmt, by)
+        n = write_counted(df, paths[name], fmt, by, laid_out)
         rows.append((name, fmt, by, df.schema.json(), n, given, len(tables)))
     _write_manifest(spark, folder, rows)
     return paths

@@ -154,9 +154,12 @@ def load_raw(
     return {t: read_raw(spark, f"{folder}/{t}", t, fmt, ordered, multi_line) for t in RAW_COLUMNS}
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None):
-    """Write a table, replacing what was there."""
-    if partition_by:
+def write_table(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None, laid_out: bool = False
+):
+    """Write a table, replacing what was there. ``laid_out`` says that ``df`` is read from files that are
+    partitioned alike: a task then holds few values, and rows are not shuffled."""
+    if partition_by and not laid_out:
         # few files per value, and large values still split
         df = df.hint("rebalance", partition_by)
     writer = df.write.mode("overwrite")
@@ -169,10 +172,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     return path
 
 
-def write_counted(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> int:
+def write_counted(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None, laid_out: bool = False
+) -> int:
     """The same, and the number of rows, counted as they are written."""
     seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt, partition_by)
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, fmt, partition_by, laid_out)
     return seen.get["rows"]
 
 

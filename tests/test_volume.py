@@ -5,10 +5,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tallywright.operators import reconcile
+from tallywright.checks import registry
+from tallywright.operators import bi, reconcile
 from tallywright.operators.cleaning import clean
 from tallywright.plans.stages import Stages
 from tallywright.schemas import RAW_COLUMNS, raw_schema
+from tallywright.sources.tables import write_table
 
 
 def sources(spark, n=40):
@@ -104,3 +106,40 @@ def test_a_bank_row_belongs_to_the_first_payment_alone(spark):
     bank = bank.withColumn("reference_number", F.lit("P5X"))
     found = reconcile.settled_payments(payment, bank).collect()
     assert [(r._key, r.p_gateway_transaction_id, r.b_found) for r in found] == [("T5", "P5", None)]
+
+
+def test_totals_do_not_write_the_reports(spark, tmp_path):
+    s = Stages(spark, sources(spark))
+    key = (spark.sparkContext.applicationId, "volume")
+    registry._open[key] = s
+    try:
+        totals = registry.QUERIES["k3_transaction_totals"](spark, "volume").first()
+        assert (totals.row_count, totals.unique_transactions) == (42, 41)  # null is an id of its own
+        assert registry.QUERIES["k5_kpis"](spark, "volume").first().exceptions == 5
+        assert registry.QUERIES["k11_measures_amounts"](spark, "volume").first().total_exceptions == 5
+    finally:
+        del registry._open[key]
+    reports = {"transaction_table_amounts", "exception_table_amounts"}
+    assert reports.isdisjoint(written(s))
+    s.save_all(str(tmp_path / "run"), forest=False)
+    assert (reports | {"invoice", "customer_master", "entity_matches"}).isdisjoint(written(s))
+    opened = Stages.open(spark, str(tmp_path / "run"))
+    assert bi.transaction_totals(opened.transaction_table(False)).first().row_count == 42
+    assert opened.exception_table(False).count() == 5
+    # as a stage it is still written
+    assert s.transaction_table(False).count() == 42 and "transaction_table_amounts" in written(s)
+
+
+def test_a_partitioned_stage_is_saved_without_a_shuffle(spark, tmp_path):
+    s = Stages(spark, sources(spark))
+    rows = s.reconciliation
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("saved again", "")
+    try:
+        write_table(rows, str(tmp_path / "r"), "parquet", "reconciliation_status", laid_out=True)
+        stages = [i for j in tracker.getJobIdsForGroup("saved again") for i in tracker.getJobInfo(j).stageIds]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(stages) == 1
+    again = spark.read.schema(rows.schema).parquet(str(tmp_path / "r"))
+    assert rows.exceptAll(again).count() == again.exceptAll(rows).count() == 0
