@@ -4,10 +4,13 @@ How many edits are allowed follows from the length of the shorter line. Lines of
 split into one segment more than the edits of that class, so two lines within that distance share a
 segment, near the same distance from the start or from the end. Segments stand in an index under
 their class, number and content; a line looks up its own class, and the class below where it is
-short enough, at the few starts that can matter. Lines that meet are verified with a banded
-bit-parallel edit distance. Lines that are linked form classes, of which the first line stays.
+short enough, at the few starts that can matter. Lines that meet are compared where they meet, in
+groups of a bounded size: counts of characters tell most of them apart, the edit distance decides.
+Lines that are linked form classes, of which the first line stays.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,52 +19,51 @@ from .components import connected_components
 
 EDITS = ((0, 1), (80, 2), (120, 3))  # (least length, edits): for the shorter of two lines
 MIN_CHARS = 20
-CROWD = 64  # lines under one segment beyond which they are not paired
-DEPTH = 4  # further segments by which a crowd is split
+CROWD = 64  # lines under one segment beyond which not all near pairs are given
+GATHER = 16  # crowds of lines that one group compares
+GATHER_CHARS = 1 << 24  # characters that one group compares
+TILES = 8  # parts of a crowd beyond which it is split by hubs and further segments
+DEPTH = 4  # further segments by which such a crowd is split
 BROADCAST_IDS = 500_000
 _BLANK = " \t\r\v\f"
 _LONGEST = 1 << 20  # lengths from here on are one class
 
 
+def _agree(a: str, i: int, b: str, j: int) -> int:
+    """How many characters of ``a`` from i on and ``b`` from j on are the same."""
+    n = min(len(a) - i, len(b) - j)
+    at, step = 0, 8
+    while at < n and a[i + at : i + at + step] == b[j + at : j + at + step]:
+        at += step
+        step *= 2
+    while step > 1 and at < n:
+        step //= 2
+        if at + step <= n and a[i + at : i + at + step] == b[j + at : j + at + step]:
+            at += step
+    return min(at, n)
+
+
 def within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance of two strings is at most ``most``.
 
-    Bit-parallel over a band of 2 most + 1 diagonals, which slides along the first string.
+    For each number of edits, the furthest place of the first string that each diagonal reaches;
+    equal characters are passed by comparing slices.
     """
-    if abs(len(a) - len(b)) > most:
+    last = len(b) - len(a)  # the diagonal on which both end
+    if abs(last) > most:
         return False
-    if a == b:
-        return True
-    start = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-    a, b = a[start:], b[start:]
-    if not a or not b:
-        return True
-    width = 2 * most + 1
-    full = (1 << width) - 1
-    # bit i of the band in column j (from 1) is row j - most + i (from 1) of the first string
-    vp, vn, distance = full & ~((1 << most) - 1), 0, 0
-    top = most  # the bit whose diagonal is followed: that of the main diagonal
-    for j, y in enumerate(b, 1):
-        same = 0
-        first = j - most
-        for i in range(max(0, 1 - first), min(width, len(a) - first + 1)):
-            if a[first + i - 1] == y:
-                same |= 1 << i
-        d0 = ((((same & vp) + vp) ^ vp) | same | vn) & full
-        hp = (vn | ~(d0 | vp)) & full
-        hn = d0 & vp
-        if j <= len(a):
-            distance += not d0 >> top & 1
-        else:
-            # below the last row of the first string: go along that row
-            at = len(a) - first
-            distance += (hp >> at & 1) - (hn >> at & 1)
-        vp = (hn | ~((d0 >> 1) | hp)) & full
-        vn = (d0 >> 1) & hp
-    # rows of the first string that are left are read from the last column
-    for i in range(top, top + len(a) - len(b)):
-        distance += (vp >> i & 1) - (vn >> i & 1)
-    return distance <= most
+    reach = {0: _agree(a, 0, b, 0)}
+    for edits in range(1, most + 1):
+        if reach.get(last) == len(a):
+            return True
+        left, now = most - edits, {}
+        for d in range(max(-edits, last - left), min(edits, last + left) + 1):
+            i = max(reach.get(d, -2) + 1, reach.get(d + 1, -2) + 1, reach.get(d - 1, -1))
+            i = min(i, len(a), len(b) - d)
+            if i >= 0 and i + d >= 0:
+                now[d] = i + _agree(a, i, b, i + d)
+        reach = now
+    return reach.get(last) == len(a)
 
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -141,8 +143,8 @@ def segment_rows(
 
     ``steps`` holds for all rows, or is given for each value of the column left_over; other rows have no segments. The segments
     of all classes (a few thousand rows at most, whatever the corpus) are a table sent to the lines.
-    Columns: k (of segment and the k before), h, own and, with ``rest``, edits of the class, left_over,
-    the text on the far side of the segment (rest) and other columns of ``rows``.
+    Columns: k (of segment and the k before), h, own, and the length of the line (chars) or, with ``rest``,
+    edits of the class, left_over, the text on the far side of the segment (rest) and other columns of ``rows``.
     """
     kinds = steps if isinstance(steps, dict) else {None: steps}
     n_before, parts, part = 0, [], F.lit(None).cast("int")
@@ -170,6 +172,8 @@ def segment_rows(
     if rest:
         far = F.expr("if(front, substr(line, at + size), substr(line, 1, greatest(at - 1, 0)))")
         found += ["edits", F.col("over").alias("left_over"), far.alias("rest"), *others]
+    else:
+        found.append(F.col("n").alias("chars"))
     return cut.select(*found)
 
 
@@ -234,30 +238,129 @@ def _verified(pairs: DataFrame, known: DataFrame, steps: tuple) -> DataFrame:
     )
 
 
-def _paired(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of rows under one k, one of them in the index, not both reached by a hub."""
-    left = rows.where("own").select("k", F.col("h").alias("a"), F.col("reached").alias("a_reached"))
-    right = rows.select(
-        "k", F.col("h").alias("b"), F.col("own").alias("b_own"), F.col("reached").alias("b_reached")
-    )
-    return (
-        left.join(right, "k")
-        .where("a != b AND (a < b OR NOT b_own) AND NOT (a_reached AND b_reached)")
-        .select("a", "b")
+def _tiles(size: Column, chars: Column, crowd: int) -> Column:
+    """Parts of a group of ``size`` lines, so that two of them are small enough to be compared in one task."""
+    return F.ceil(F.greatest(size / F.lit(max(1, GATHER * crowd)), chars / F.lit(GATHER_CHARS))).cast("int")
+
+
+def _near_rows(lines: list[str], mine: list, reached: list, side: list, steps: tuple, crowd: int):
+    """(i, j) of near lines of a group; beyond ``crowd`` lines, only as many as connect them."""
+    import numpy as np
+
+    n = len(lines)
+    mine, reached, side = np.array(mine), np.array(reached), np.array(side)
+    sizes = np.array([len(x) for x in lines])
+    if n > 3:
+        # code points by remainder: an edit changes two counts by one, or one
+        points = [np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) & 31 for x in lines]
+        counts = np.stack([np.bincount(x, minlength=32) for x in points]).astype(np.int32)
+    root = list(range(n)) if n > crowd else None
+
+    def top(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(n - 1):
+        most = allowed(int(sizes[i]), steps)  # no fewer than for a shorter line
+        meets = (mine[i + 1 :] | mine[i]) & ~(reached[i + 1 :] & reached[i])
+        meets &= (side[i + 1 :] != side[i]) | (side[i] < 0)
+        meets &= np.abs(sizes[i + 1 :] - sizes[i]) <= most
+        others = i + 1 + np.flatnonzero(meets)
+        if n > 3 and len(others):
+            others = others[np.abs(counts[others] - counts[i]).sum(axis=1) <= 2 * most]
+        for j in others.tolist():
+            if root is not None and top(i) == top(j):
+                continue
+            if within(lines[i], lines[j], allowed(int(min(sizes[i], sizes[j])), steps)):
+                if root is not None:
+                    root[top(i)] = top(j)
+                yield i, j
+
+
+def _compared(groups: DataFrame, known: DataFrame, steps: tuple, crowd: int) -> DataFrame:
+    """(a, b, id_a, id_b) of near lines under one k, one of them in the index, not both reached by a hub.
+
+    ``groups`` (k, h, own, reached, tiles) have a row for each line of a group. A group of several tiles
+    meets by twos of them, so that no task holds more than two; the lines of a k are sent as many times
+    as it has tiles.
+    """
+    tile = F.pmod("h", "tiles").cast("int")
+    lo, hi = F.least("tile", "other"), F.greatest("tile", "other")
+    placed = (
+        groups.join(known.select(F.col("h").alias("w"), "id", "line"), F.col("h") == F.col("w"))
+        .withColumn("tile", tile)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select(
+            F.when(F.col("tiles") == 1, F.col("k")).otherwise(F.xxhash64("k", lo, hi)).alias("k"),
+            F.when(F.col("tile") == F.col("other"), -1).when(F.col("tile") == lo, 0).otherwise(1).alias("side"),
+            "own",
+            "reached",
+            "h",
+            "id",
+            "line",
+        )
+        .repartition("k")
+        .sortWithinPartitions("k")
     )
 
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def near(group):
+            h, ids = group["h"].to_pylist(), group["id"]
+            fields = [group[c].to_pylist() for c in ("line", "own", "reached", "side")]
+            found = [(i, j) if h[i] < h[j] else (j, i) for i, j in _near_rows(*fields, steps, crowd) if h[i] != h[j]]
+            if found:
+                a, b = (pa.array(x, pa.int64()) for x in zip(*found, strict=True))
+                columns = [group["h"].take(a), group["h"].take(b), ids.take(a), ids.take(b)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "id_a", "id_b"])
+
+        held = []  # what has come of the last group
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch["k"].to_numpy()
+            starts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist()]
+            if held and held[-1]["k"][0].as_py() != keys[0]:
+                yield from near(_joined(held))
+                held = []
+            for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                held.append(batch.slice(start, end - start))
+                if end < batch.num_rows:
+                    if len(held) > 1 or end - start > 1:
+                        yield from near(_joined(held))
+                    held = []
+        if held:
+            yield from near(_joined(held))
+
+    kind = known.schema["id"].dataType.simpleString()
+    return placed.mapInArrow(run, f"a bigint, b bigint, id_a {kind}, id_b {kind}")
+
+
+def _joined(batches: list):
+    """Record batches as one."""
+    import pyarrow as pa
+
+    if len(batches) == 1:
+        return batches[0]
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
 
 def _crowd_links(
     rows: DataFrame, known: DataFrame, steps: tuple, crowd: int, depth: int
 ) -> tuple[list[DataFrame], list[DataFrame]]:
-    """(verified links, pairs to verify) of crowds: ``rows`` (k, h, own, left_over, rest).
+    """(links of hubs, other links) of crowds: ``rows`` (k, h, own, left_over, rest, chars).
 
     All of a crowd are compared with one of them, its hub. Where some are not reached, the crowd is
     split by segments of the text that is left, and lines meet again where they share one more,
     unless the hub has reached both. Groups that are still crowded are crowds in their turn. What is
-    crowded at the last depth is compared with the lines the hub has not reached.
+    crowded at the last depth is compared tile by tile with the lines the hub has not reached.
     """
-    links, pairs = [], []
+    links, near_rows = [], []
+    in_group = [F.max("own").alias("own"), F.max("reached").alias("reached"), F.max("tiles").alias("tiles")]
     rows = scratch(rows.withColumn("reached", F.lit(False)), "crowds")
     by_edits = {edits: ((0, edits),) for edits in range(1, max(edits for _, edits in steps) + 1)}
     for level in range(depth + 1):
@@ -275,26 +378,32 @@ def _crowd_links(
         open_ = near.where("NOT reached").select("k").distinct()
         near = near.join(open_, "k", "left_semi")
         if level == depth:
-            pairs.append(scratch(_paired(near), "pairs"))
+            sizes = near.groupBy("k").agg(
+                _tiles(F.count(F.lit(1)), F.sum("chars"), crowd).alias("tiles")
+            )
+            last = near.join(sizes, "k").groupBy("k", "h").agg(*in_group)
+            near_rows.append(scratch(_compared(last, known, steps, crowd), "near"))
             break
-        source = near.select("k", "h", "own", F.col("rest").alias("line"), "reached", "left_over")
+        source = near.select("k", "h", "own", F.col("rest").alias("line"), "reached", "left_over", "chars")
         parts = scratch(segment_rows(source, by_edits, (0, -1, 1), rest=True), "split")
         sizes = parts.groupBy("k").agg(
             F.count_distinct("h").alias("size"),
+            _tiles(F.count_distinct("h"), F.sum("chars"), crowd).alias("tiles"),
             F.max("own").alias("owned"),
             F.min("reached").alias("all_reached"),
         )
         sized = scratch(
             parts.join(sizes.where("size > 1 AND owned AND NOT all_reached"), "k").select(
-                "k", "h", "own", "left_over", "rest", "reached", "size"
+                "k", "h", "own", "left_over", "rest", "reached", "chars", "tiles"
             ),
             "sized",
         )
-        pairs.append(scratch(_paired(sized.where(F.col("size") <= crowd)), "pairs"))
-        rows = sized.where(F.col("size") > crowd).drop("size")
+        few = sized.where(F.col("tiles") <= TILES).groupBy("k", "h").agg(*in_group)
+        near_rows.append(scratch(_compared(few, known, steps, crowd), "near"))
+        rows = sized.where(F.col("tiles") > TILES).drop("tiles")
         if rows.isEmpty():
             break
-    return links, pairs
+    return links, near_rows
 
 
 def line_links(
@@ -303,9 +412,10 @@ def line_links(
     """Links (a, b) between the ids of different lines that are near enough.
 
     ``edits`` is a number, or (least length, number) for the shorter line. All such pairs are
-    linked, but for lines of which more than ``crowd`` share a segment. There lines within one edit
+    linked, but for lines of which more than ``crowd`` share a segment: each line is still connected with
+    all its neighbours. Where they are more than ``TILES`` groups, lines within one edit
     are linked by codes, if one is allowed, and others through hubs and further segments
-    (``_crowd_links``): each line is still connected with all its neighbours.
+    (``_crowd_links``).
     """
     steps = ((0, edits),) if isinstance(edits, int) else tuple(edits)
     start = lines.select(F.lit(0).cast("bigint").alias("k"), "h", F.lit(True).alias("own"), "line")
@@ -317,11 +427,12 @@ def line_links(
         .select("k")
     )
     met = scratch(
-        rows.join(live, "k").groupBy("k", "h").agg(F.max("own").alias("own")), "segments"
+        rows.join(live, "k")
+        .groupBy("k", "h")
+        .agg(F.max("own").alias("own"), F.max("chars").alias("chars")),
+        "segments",
     )
-    sizes = met.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    few = met.join(sizes.where(F.col("n") <= crowd), "k")
-    pairs = [scratch(_paired(few.withColumn("reached", F.lit(False))), "pairs")]
+    sizes = met.groupBy("k").agg(_tiles(F.count(F.lit(1)), F.sum("chars"), crowd).alias("tiles"))
 
     wanted = met.select(F.col("h").alias("w")).distinct()
     if wanted.count() <= BROADCAST_IDS:
@@ -333,14 +444,21 @@ def line_links(
         .agg(F.first("line").alias("line")),
         "lines",
     )
-    links = []
+    few = met.join(sizes.where(F.col("tiles") <= TILES), "k").withColumn("reached", F.lit(False))
+    links, pairs = [_compared(few, known, steps, crowd)], []
     crowded = scratch(
-        met.join(sizes.where(F.col("n") > crowd), "k").select("k", "h"), "crowded"
+        met.join(sizes.where(F.col("tiles") > TILES), "k").select("k", "h"), "crowded"
     )
     if not crowded.isEmpty():
         of_crowds = known.join(
             crowded.select(F.col("h").alias("w")).distinct(), F.col("h") == F.col("w"), "left_semi"
-        ).select(F.lit(0).cast("bigint").alias("k"), "h", F.lit(True).alias("own"), "line")
+        ).select(
+            F.lit(0).cast("bigint").alias("k"),
+            "h",
+            F.lit(True).alias("own"),
+            "line",
+            F.char_length("line").alias("chars"),
+        )
         again = scratch(
             segment_rows(of_crowds, steps, rest=True).join(
                 crowded.select("k").distinct(), "k", "left_semi"
@@ -370,14 +488,9 @@ def line_links(
         more = again.where("edits > 1").drop("edits")
         if not more.isEmpty():
             stars, split = _crowd_links(more, known, steps, crowd, depth)
-            links += stars
-            pairs += split
-    candidates = pairs[0]
-    for more in pairs[1:]:
-        candidates = candidates.union(more)
-    out = _verified(candidates, known, steps)
-    for more in links:
-        out = out.union(more)
+            links += stars + split
+    links += [_verified(of_codes, known, steps) for of_codes in pairs]
+    out = reduce(DataFrame.union, links)
     return out.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tallywright.llm import line_dedup
 from tallywright.llm.line_dedup import dedup_lines, line_links, lines_of, within
 from tallywright.llm.common import with_key
 from tallywright.llm.suffix_array import longest_earlier, suffix_array
@@ -120,6 +121,42 @@ def test_edits_follow_the_length(spark, long_lines, crowd, depth):
     assert together(pairs) == together(want)
 
 
+@pytest.mark.parametrize(("gather", "tiles"), [(1, 1), (1, 10_000), (100, 1)])
+def test_crowds_of_all_sizes(spark, long_lines, monkeypatch, gather, tiles):
+    """Hubs and further segments, tiles that meet by twos, and one group each: links are whole."""
+    monkeypatch.setattr(line_dedup, "GATHER", gather)
+    monkeypatch.setattr(line_dedup, "TILES", tiles)
+    lines = lines_of(with_key(spark.createDataFrame(long_lines, TEXT)), 20)
+    known = {tuple(r.id): r.line for r in lines.collect()}
+    pairs = {frozenset(known[tuple(x)] for x in r) for r in line_links(lines, crowd=3).collect()}
+    texts = sorted(known.values())
+    near = lambda a, b: within_edits(a, b, by_length(a, b))
+    assert all(near(*p) for p in pairs)
+    assert brute.components(texts, lambda a, b: frozenset((a, b)) in pairs) == brute.components(texts, near)
+
+
+@pytest.mark.parametrize("copies", [60, 400])
+def test_crowds_are_not_paired_row_by_row(spark, monkeypatch, copies):
+    """Lines that share much and are far from each other: no table grows with the square of their number."""
+    draw = random.Random(copies)
+    half = "".join(draw.choice("abcdefgh ") for _ in range(100))
+    texts = [half + "".join(draw.choice("abcdefgh ") for _ in range(99)) + "." for _ in range(copies)]
+    texts.append(texts[0][:150] + "??" + texts[0][150:])
+    written, write = {}, line_dedup.scratch
+
+    def counted(df, name):
+        made = write(df, name)
+        written[name] = max(written.get(name, 0), made.count())
+        return made
+
+    monkeypatch.setattr(line_dedup, "scratch", counted)
+    lines = lines_of(with_key(spark.createDataFrame(list(enumerate(texts)), TEXT)), 20)
+    links = line_links(lines).collect()
+    known = {tuple(r.id): r.line for r in lines.collect()}
+    assert [{known[tuple(x)] for x in r} for r in links] == [{texts[0], texts[-1]}]
+    assert max(written.values()) <= 25 * copies, written
+
+
 def plain_dedup(docs, least):
     lines = [(d, i, x.strip(" \t\r\v\f")) for d, t in docs for i, x in enumerate((t or "").split("\n"))]
     texts = sorted({x for _, _, x in lines if len(x) >= least})
